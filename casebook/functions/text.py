@@ -125,11 +125,14 @@ def first_phrase(
 
 
 def first_pattern(text: Column, patterns: Iterable[tuple[str, str]]) -> Column:
-    """The label of the first pattern that matches the lowered text, else the text itself."""
+    """The label of the first pattern that matches the lowered text, else the text itself.
+
+    Word boundaries count letters of every script, whichever Java runs.
+    """
     lowered = strip(F.lower(text))
     label = lowered
     for name, pattern in reversed(list(patterns)):
-        label = F.when(lowered.rlike(pattern), F.lit(name)).otherwise(label)
+        label = F.when(lowered.rlike(f"(?U){pattern}"), F.lit(name)).otherwise(label)
     return label
 
 

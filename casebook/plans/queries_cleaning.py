@@ -30,7 +30,8 @@ def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw incidents under the loader's names, values untouched."""
-    return C.rename(raw(spark, sf_dir), LOADER_RENAMES)
+    unified = C.unify_column(raw(spark, sf_dir), ["nwoundte", "nwoundter"], "nwoundter", 0.0)
+    return C.rename(unified, LOADER_RENAMES)
 
 
 READY = """

@@ -120,7 +120,10 @@ MOTIVES = [
 
 
 def _motive(x: str) -> str:
-    whens = " ".join(f"WHEN regexp_matches({x}, '{p}') THEN '{n}'" for n, p in MOTIVES)
+    edge = r"[^\p{L}\p{N}_]"
+    whens = " ".join(
+        f"WHEN regexp_matches({x}, '(^|{edge}){p.strip(chr(92) + 'b')}($|{edge})') THEN '{n}'" for n, p in MOTIVES
+    )
     return f"CASE {whens} ELSE {x} END"
 
 
@@ -250,16 +253,19 @@ def geo_consistency(spark, sf_dir):
     return out.drop("country").withColumn("distance_km", F.round("distance_km", 3))
 
 
+STORED_READY = READY.replace("ready AS", "ready AS MATERIALIZED")
 _GAZETTEER = """
 gazetteer AS (SELECT c_custkey AS ordinal, 'citi_' || (c_custkey % 211) AS name, CAST(c_custkey % 120 - 60 AS DOUBLE) AS lat,
   CAST(c_custkey % 340 - 170 AS DOUBLE) AS lon, lower(n_name) AS country, lower(c_mktsegment) || ' district' AS admin1
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
-places AS (SELECT DISTINCT country, provstate, city FROM ready
+places AS MATERIALIZED (SELECT DISTINCT country, provstate, city || '' AS city FROM ready
   WHERE NOT coalesce(latitude <> 0 AND longitude <> 0, false)),
-by_place AS (SELECT p.country, p.provstate, p.city, g.name AS matched, levenshtein(p.city, g.name) AS distance, g.lat, g.lon
-  FROM places p JOIN gazetteer g ON p.country = g.country AND contains(g.admin1, p.provstate)
-  WHERE p.city <> 'unknown' AND levenshtein(p.city, g.name) <= 6
-  QUALIFY row_number() OVER (PARTITION BY p.country, p.provstate, p.city ORDER BY levenshtein(p.city, g.name), g.ordinal) = 1)"""
+near AS MATERIALIZED (SELECT p.country, p.provstate, p.city, g.name || '' AS name, levenshtein(p.city, g.name) AS distance, g.ordinal,
+    g.lat, g.lon FROM places p JOIN gazetteer g ON p.country = g.country AND contains(g.admin1, p.provstate)
+  WHERE p.city <> 'unknown'),
+firsts AS (SELECT country, provstate, city, min(distance * 1000000000 + ordinal) AS place FROM near WHERE distance <= 6 GROUP BY ALL),
+by_place AS (SELECT country, provstate, city, name AS matched, distance, lat, lon FROM near JOIN firsts
+  USING (country, provstate, city) WHERE distance * 1000000000 + ordinal = place)"""
 
 
 def needy_places(spark, sf_dir):
@@ -273,7 +279,7 @@ def needy_places(spark, sf_dir):
     A.over(
         "prepared",
         "SELECT country, provstate, city, matched, distance, lat AS match_lat, lon AS match_lon FROM by_place",
-        READY,
+        STORED_READY,
         _GAZETTEER,
     ),
 )
@@ -296,13 +302,15 @@ def listed_cities(spark, sf_dir):
     "fuzzy_city",
     A.over(
         "prepared",
-        """SELECT p.city, k.name AS matched, levenshtein(p.city, k.name) AS distance, k.lat AS match_lat, k.lon AS match_lon
-        FROM (SELECT DISTINCT city FROM places WHERE city <> 'unknown') p,
-        (SELECT * FROM gazetteer QUALIFY row_number() OVER (PARTITION BY name ORDER BY ordinal) = 1) k
-        WHERE levenshtein(p.city, k.name) <= 6
-        QUALIFY row_number() OVER (PARTITION BY p.city ORDER BY levenshtein(p.city, k.name), k.ordinal) = 1""",
-        READY,
+        """SELECT city, name AS matched, distance, lat AS match_lat, lon AS match_lon FROM city_near
+        JOIN (SELECT city, min(distance * 1000000000 + ordinal) AS place FROM city_near WHERE distance <= 6 GROUP BY city)
+        USING (city) WHERE distance * 1000000000 + ordinal = place""",
+        STORED_READY,
         _GAZETTEER,
+        """listed AS MATERIALIZED (SELECT name || '' AS name, ordinal, lat, lon FROM gazetteer
+          WHERE ordinal IN (SELECT min(ordinal) FROM gazetteer GROUP BY name)),
+        city_near AS MATERIALIZED (SELECT p.city, k.name, levenshtein(p.city, k.name) AS distance, k.ordinal, k.lat, k.lon
+          FROM (SELECT DISTINCT city FROM places WHERE city <> 'unknown') p, listed k)""",
     ),
 )
 def fuzzy_city(spark, sf_dir):
@@ -317,10 +325,11 @@ internal AS (SELECT * FROM (VALUES (1, 'city_19', 11.5::DOUBLE, 12.5::DOUBLE), (
 learned AS (SELECT city AS name, avg(latitude) AS lat, avg(longitude) AS lon FROM ready
   WHERE latitude <> 0 AND longitude <> 0 AND city <> 'unknown' AND city NOT IN (SELECT name FROM internal) GROUP BY city),
 known AS (SELECT * FROM internal UNION ALL SELECT 3 + row_number() OVER (ORDER BY name), name, lat, lon FROM learned),
-by_city AS (SELECT p.city, k.lat, k.lon FROM (SELECT DISTINCT city FROM places LEFT JOIN by_place
-    USING (country, provstate, city) WHERE city <> 'unknown' AND matched IS NULL) p, known k
-  WHERE levenshtein(p.city, k.name) <= 6
-  QUALIFY row_number() OVER (PARTITION BY p.city ORDER BY levenshtein(p.city, k.name), k.ordinal) = 1),
+city_near AS MATERIALIZED (SELECT p.city, levenshtein(p.city, k.name) AS distance, k.ordinal, k.lat, k.lon
+  FROM (SELECT DISTINCT city FROM places LEFT JOIN by_place USING (country, provstate, city)
+    WHERE city <> 'unknown' AND matched IS NULL) p, known k),
+by_city AS (SELECT city, lat, lon FROM city_near JOIN (SELECT city, min(distance * 1000000000 + ordinal) AS place
+  FROM city_near WHERE distance <= 6 GROUP BY city) USING (city) WHERE distance * 1000000000 + ordinal = place),
 regions AS (SELECT lower(r_name) AS region, r_regionkey * 11.5::DOUBLE - 30 AS lat, r_regionkey * 31.25::DOUBLE - 80 AS lon
   FROM region WHERE r_regionkey > 0)"""
 
@@ -345,7 +354,7 @@ regions AS (SELECT lower(r_name) AS region, r_regionkey * 11.5::DOUBLE - 30 AS l
             LEFT JOIN by_city bc ON ready.city = bc.city
             LEFT JOIN centroids ON ready.country = centroids.country
             LEFT JOIN regions r ON ready.region = r.region)""",
-        READY,
+        STORED_READY,
         _GAZETTEER,
         _CENTROIDS,
         _CASCADE,
