@@ -143,12 +143,11 @@ def nearest_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[st
     """
     payload = [c for c in right.columns if c.startswith("r_")]
     place = F.struct(F.col("r_order"), F.struct(*[F.col(c) for c in payload]).alias("row"))
-    open_rows, found = left, None
+    open_rows, levels = left, None
     for d in range(k + 1):
         if d == 0:
-            pairs = left.join(
-                right, [left["l_text"] == right["r_text"], *[left[b].eqNullSafe(right[b]) for b in block]]
-            ).select("l_id", place.alias("place"))
+            same = [left["l_text"] == right["r_text"], *[left[b].eqNullSafe(right[b]) for b in block]]
+            pairs = left.join(right, same).select("l_id", place.alias("place"))
         else:
             pairs = pairs_within(open_rows, right, d, block).select("l_id", place.alias("place"))
             short = open_rows.where(F.length("l_text") <= d)
@@ -159,13 +158,14 @@ def nearest_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[st
                 short = short.select("l_id", first.scalar().alias("place"))
             pairs = pairs.unionByName(short.where(F.col("place").isNotNull()))
         best = pairs.groupBy("l_id").agg(F.min("place").alias("place"))
-        hits = materialize(best.select("l_id", F.lit(d).alias("distance"), "place.row.*"), f"within{d}")
-        found = hits if found is None else found.unionByName(hits)
-        if d < k:
-            open_rows = materialize(open_rows.join(hits.select("l_id"), "l_id", "left_anti"), f"open{d}")
-            if open_rows.isEmpty():
-                break
-    return found
+        level = materialize(open_rows.join(best, "l_id", "left"), f"within{d}")
+        hits = level.where(F.col("place").isNotNull()).select("l_id", F.lit(d).alias("distance"), "place")
+        levels = hits if levels is None else levels.unionAll(hits)
+        open_rows = level.where(F.col("place").isNull()).drop("place")
+        if d < k and open_rows.isEmpty():
+            break
+    found = levels.groupBy("l_id").agg(F.min(F.struct("distance", "place")).alias("hit"))
+    return found.select("l_id", F.col("hit.distance").alias("distance"), "hit.place.row.*")
 
 
 def cluster_names(names: DataFrame, k: int = 4) -> DataFrame:

@@ -15,7 +15,7 @@ PLACE = ["country", "provstate", "city"]
 
 def known_cities(df: DataFrame, internal: DataFrame) -> DataFrame:
     """(ordinal, name, latitude, longitude): the internal list, then cities of the data by name."""
-    means = city_centroids(df).withColumnRenamed("city", "name")
+    means = materialize(city_centroids(df).withColumnRenamed("city", "name"), "means")
     learned = means.join(internal.select("name"), "name", "left_anti")
     first = internal.agg(F.coalesce(F.max("ordinal"), F.lit(0))).scalar()
     numbered = dense_ids(learned, "ordinal", ["name"])

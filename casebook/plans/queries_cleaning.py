@@ -239,7 +239,7 @@ LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disc
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(LINE_ORDER)}) = 1""",
 )
 def dedupe_keep_first(spark, sf_dir):
-    lines = tables.table(spark, sf_dir, "lineitem")
+    lines = tables.spread(tables.table(spark, sf_dir, "lineitem"))
     kept = C.dedupe_keep_first(lines, ["l_orderkey", "l_linenumber"], [col(c) for c in LINE_ORDER])
     return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 

@@ -16,7 +16,7 @@ col = F.col
 
 
 def documents(spark, sf_dir):
-    return tables.table(spark, sf_dir, "documents")
+    return tables.spread(tables.table(spark, sf_dir, "documents"))
 
 
 @query("normalize_text", f"SELECT doc_id, {A.normalized('text')} AS text FROM documents")

@@ -313,4 +313,5 @@ def export_union_header(spark, sf_dir):
 
 @query("incremental_load", A.over("fact", "SELECT * FROM fact"))
 def incremental_load(spark, sf_dir):
-    return load_fact_stream(spark, cleaned_path(spark, sf_dir), star(spark, sf_dir).dimensions)
+    published = star(spark, sf_dir)
+    return load_fact_stream(spark, cleaned_path(spark, sf_dir), published.dimensions, files_per_batch=4)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +40,14 @@ class Star:
 def build(cleaned: DataFrame) -> Star:
     """Dimensions first, then the fact, then the flat extract partitioned by year."""
     spark = cleaned.sparkSession
-    dimensions = {}
-    for name, dim in W.DIMENSIONS.items():
-        source = W.reconcile(cleaned, dim.source)
-        dimensions[name] = materialize(W.build_dimension(source, dim), name)
+
+    def publish(name: str) -> DataFrame:
+        dim = W.DIMENSIONS[name]
+        return materialize(W.build_dimension(W.reconcile(cleaned, dim.source), dim), name)
+
+    # The dimensions do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(len(W.DIMENSIONS)) as pool:
+        dimensions = dict(zip(W.DIMENSIONS, pool.map(publish, W.DIMENSIONS)))
     fact = materialize(W.load_fact(cleaned, dimensions), "fact_incidents")
     flat = W.star_flat(fact, dimensions)
     path = fresh_path(spark, "flat")
