@@ -535,14 +535,15 @@ def clip_ranges(spark, sf_dir):
         """SELECT count(*) FILTER (nkill < 0 OR nkill > 100) AS nkill_capped,
         count(*) FILTER (propvalue < 0) AS propvalue_capped,
         sum(CASE WHEN nkill < 0 THEN 0 WHEN nkill > 100 THEN 100 ELSE nkill END) AS nkill_sum,
-        round(sum(CASE WHEN propvalue < 0 THEN 0 ELSE propvalue END), 0) AS propvalue_sum FROM renamed""",
+        CAST(sum(CASE WHEN propvalue < 0 THEN 0 ELSE CAST(propvalue AS DECIMAL(15, 2)) END) AS DOUBLE) AS propvalue_sum FROM renamed""",
         RENAMED,
     ),
 )
 def cap_fixed(spark, sf_dir):
     df = renamed(spark, sf_dir).select("nkill", "propvalue")
     capped, counts = C.cap_fixed(df, {"nkill": (0.0, 100.0), "propvalue": (0.0, None)})
-    sums = capped.agg(F.sum("nkill").alias("nkill_sum"), F.round(F.sum("propvalue"), 0).alias("propvalue_sum"))
+    exact = F.sum(col("propvalue").cast("decimal(15,2)")).cast("double")
+    sums = capped.agg(F.sum("nkill").alias("nkill_sum"), exact.alias("propvalue_sum"))
     counted = counts.select(F.struct(*counts.columns)).scalar()
     return sums.select(*[counted[c].alias(c) for c in counts.columns], "nkill_sum", "propvalue_sum")
 

@@ -28,7 +28,7 @@ _RECONCILED = {
     "casualties": "SELECT eventid, nkill, nwound, nkillter, nwoundter, nkillus, nwoundus FROM cleaned",
     "terroristgroups": "SELECT eventid, group_name, uncertainty1, unknown_group FROM cleaned"
     " WHERE group_name IS NOT NULL AND uncertainty1 IS NOT NULL",
-    "properties": "SELECT eventid, CAST(propvalue AS DECIMAL(15, 2)) AS propvalue, extent, property, propvalue_category"
+    "properties": "SELECT eventid, CAST(CAST(propvalue AS DECIMAL(15, 2)) AS DOUBLE) AS propvalue, extent, property, propvalue_category"
     " FROM cleaned WHERE propvalue IS NOT NULL",
 }
 _SHORT = {"terroristgroups": "groups"}
@@ -37,7 +37,9 @@ _SHORT = {"terroristgroups": "groups"}
 def _add_reconciled(name: str) -> None:
     @query(f"reconcile_{_SHORT.get(name, name)}", A.over("cleaned", _RECONCILED[name]))
     def build(spark, sf_dir):
-        return W.reconcile(cleaned_view(spark, sf_dir), name)
+        part = W.reconcile(cleaned_view(spark, sf_dir), name)
+        money = [c for c, kind in part.dtypes if kind.startswith("decimal")]
+        return part.withColumns({c: col(c).cast("double") for c in money})
 
 
 for _name in _RECONCILED:
