@@ -48,6 +48,50 @@ def check_constraints(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return counted.unpivot([], list(rules), "rule", "violations")
 
 
+def warehouse_rules() -> dict[str, dict[str, Column]]:
+    """The declared constraints of the star's tables: required columns, ranges and domains."""
+
+    def zero_one(*columns: str) -> dict[str, Column]:
+        return {f"{c}_domain": F.col(c).isin(0, 1) for c in columns}
+
+    def required(*columns: str) -> dict[str, Column]:
+        return {f"{c}_required": not_null(c) for c in columns}
+
+    measures = ["nkill", "nwound", "nkillter", "nwoundter", "nkillus", "nwoundus", "total_casualties"]
+    flags = ["success", "propvalue_imputed", "us_casualty_imputed", "high_impact", "consistency_flag"]
+    return {
+        "dim_time": {
+            **required("year", "month", "day", "extended"),
+            "year_range": F.col("year").between(1970, 2017),
+            "month_range": F.col("month").between(1, 12),
+            "day_range": F.col("day").between(1, 31),
+            **zero_one("extended"),
+        },
+        "dim_location": {
+            **required("region", "country", "unknown_location_flag"),
+            "latitude_range": F.col("latitude").between(-90, 90),
+            "longitude_range": F.col("longitude").between(-180, 180),
+            "specificity_range": F.col("specificity").between(1, 5),
+            **zero_one("vicinity", "unknown_location_flag"),
+        },
+        "dim_attacktype": required("attack_type"),
+        "dim_targettype": required("target_type"),
+        "dim_terroristgroup": {
+            **required("group_name", "unknown_group_flag"),
+            **zero_one("uncertainty", "unknown_group_flag"),
+        },
+        "dim_propertydamage": {
+            **required("property"),
+            "property_range": F.col("property").between(-1, 1),
+        },
+        "fact_incidents": {
+            **required(*measures, *flags),
+            **{f"{m}_range": F.col(m) >= 0 for m in measures},
+            **zero_one(*flags),
+        },
+    }
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
 
@@ -142,3 +186,13 @@ def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
         row = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("step"), "row_count")
         out = row if out is None else out.unionAll(row)
     return out
+
+
+def point_lookup(df: DataFrame, column: str, value: str) -> DataFrame:
+    """Rows whose column equals a value given as text, cast to the column's type."""
+    return df.where(F.col(column) == F.lit(value).cast(df.schema[column].dataType))
+
+
+def sample_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
+    """The first n distinct values in order."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(n)

@@ -170,12 +170,12 @@ def valid_calendar_date(spark, sf_dir):
 
 @query(
     "date_features",
-    f"""SELECT eventid, CAST((month - 1) // 3 + 1 AS INTEGER) AS quarter,
+    f"""SELECT eventid, CAST(floor((month - 1) / 3) + 1 AS INTEGER) AS quarter,
     coalesce(dayname(try_cast(printf('%d-%02d-%02d', year, month, day) AS DATE)), 'unknown') AS weekday
-    FROM ({_SHIFTED}) WHERE month > 0""",
+    FROM ({_SHIFTED})""",
 )
 def date_features(spark, sf_dir):
-    df = shifted_dates(spark, sf_dir).where(col("month") > 0)
+    df = shifted_dates(spark, sf_dir)
     date = dates.date_of(col("year"), col("month"), col("day"))
     return df.select(
         "eventid", dates.quarter_of(col("month")).alias("quarter"), dates.weekday_of(date).alias("weekday")

@@ -15,7 +15,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_local_dirs: dict[str, str] = {}
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def build_session(app_name: str = "casebook", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     Only a local session, where driver and executors are one machine, may fall
-    back to a temporary folder.
+    back to a temporary folder, which goes when the program ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -42,8 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="casebook-")
-    return _local_dirs[app]
+        _local_dirs[app] = tempfile.TemporaryDirectory(prefix="casebook-", ignore_cleanup_errors=True)
+    return _local_dirs[app].name
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:

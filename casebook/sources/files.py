@@ -59,6 +59,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool
     df.write.mode(mode).option("header", True).option("quoteAll", quote_all).option("escape", '"').csv(path)
 
 
+def export_tables(frames: Mapping[str, DataFrame], folder: str) -> None:
+    """Each table as ``<name>.csv`` with a header row and every value quoted."""
+    for name, df in frames.items():
+        write_csv(df, f"{folder}/{name}.csv", quote_all=True)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

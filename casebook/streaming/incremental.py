@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casebook.operators.ordering import first_per_key
 from casebook.operators.warehouse import load_fact
@@ -20,26 +21,23 @@ def append_new(
     with the other partitions, so a retry neither loses nor repeats rows. The
     comparison reads the key columns alone.
     """
-    spark = batch.sparkSession
     rows = first_per_key(batch, key, [F.col(c) for c in order_by])
-    known = read_target(spark, target, skip=batch_id)
+    known = read_target(batch.sparkSession, target, rows.schema)
     if known is not None:
-        rows = rows.join(known.select(*key), list(key), "left_anti")
+        others = known.where(F.col("batch") != batch_id).select(*key)
+        rows = rows.join(others, list(key), "left_anti")
     rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
 
-def read_target(spark: SparkSession, target: str, skip: int | None = None) -> DataFrame | None:
-    """The loaded rows of all batches (but one); None before the first batch."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(path):
+def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame | None:
+    """The loaded rows with their batch number; None before the first batch."""
+    layout = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(layout).parquet(target)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
         return None
-    folders = [s.getPath().getName() for s in fs.listStatus(path)]
-    wanted = [f for f in folders if f.startswith("batch=") and f != f"batch={skip}"]
-    if not wanted:
-        return None
-    return spark.read.option("basePath", target).parquet(*[f"{target}/{f}" for f in wanted]).drop("batch")
 
 
 def load_stream(
@@ -90,4 +88,4 @@ def load_fact_stream(
         ["eventid"],
         ["time_id", "location_id"],
     )
-    return read_target(spark, target)
+    return read_target(spark, target, load_fact(cleaned, dimensions).schema).drop("batch")
