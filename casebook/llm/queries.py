@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import mixing, sharding, warc
+from casebook.llm import minhash, mixing, sharding, warc
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_member_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Rule(shingle=3, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -28,6 +33,7 @@ def op10_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_member_warc": op1_member_warc,
+    "op3_bbit_minhash": op3_bbit_minhash,
     "op6_temperature_mix": op6_temperature_mix,
     "op10_lookup_shards": op10_lookup_shards,
 }
@@ -57,4 +63,33 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id <> response THEN response END AS refers_to
         FROM digests JOIN holders USING (payload_digest)
     """,
+    # All pairs that share a shingle, and the smallest id reachable over the links.
+    "op3_bbit_minhash": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x20\\x09-\\x0D]+') IF x <> ''] AS words
+            FROM documents
+        ), s AS (
+            SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                   ELSE list_distinct([array_to_string(words[i:i + 2], ' ') FOR i IN range(1, len(words) - 1)]) END) AS g
+            FROM w
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+        ), reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+        ), c AS (
+            SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN c USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
 }
