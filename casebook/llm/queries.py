@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import minhash, mixing, sharding, warc
+from casebook.llm import minhash, mixing, quality, sharding, warc
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 def op10_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op1_member_warc": op1_member_warc,
     "op3_bbit_minhash": op3_bbit_minhash,
     "op6_temperature_mix": op6_temperature_mix,
+    "op9_covariance_outliers": op9_covariance_outliers,
     "op10_lookup_shards": op10_lookup_shards,
 }
 
