@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import minhash, mixing, quality, sharding, warc
+from casebook.llm import decontaminate, minhash, mixing, quality, sharding, warc
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
@@ -41,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op1_member_warc": op1_member_warc,
     "op3_bbit_minhash": op3_bbit_minhash,
     "op6_temperature_mix": op6_temperature_mix,
+    "op7_positional_index": op7_positional_index,
     "op9_covariance_outliers": op9_covariance_outliers,
     "op10_lookup_shards": op10_lookup_shards,
 }
@@ -99,4 +104,38 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d JOIN c USING (doc_id) LEFT JOIN sizes USING (doc_id)
     """,
+    # Every window of a document of the length of some benchmark window, looked up whole.
+    "op7_positional_index": """
+        WITH d AS (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF x <> ''] AS words
+            FROM documents
+        ), b AS (
+            SELECT item_id, [x FOR x IN regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF x <> ''] AS words
+            FROM benchmark
+        ), w AS (
+            SELECT DISTINCT item_id, least(len(words), 10) AS n,
+                   unnest([array_to_string(words[i:i + 9], ' ') FOR i IN range(1, greatest(2, len(words) - 8))]) AS g
+            FROM b WHERE len(words) > 0
+        ), lengths AS (
+            SELECT DISTINCT n FROM w
+        ), spots AS (
+            SELECT doc_id, n, unnest(range(1, len(words) - n + 2)) AS i, words FROM d, lengths WHERE len(words) >= n
+        ), hits AS (
+            SELECT doc_id, i, spots.n, item_id
+            FROM spots JOIN w ON w.n = spots.n AND w.g = array_to_string(words[i:i + spots.n - 1], ' ')
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+        ), listed AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
 }
