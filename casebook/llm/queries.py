@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontaminate, minhash, mixing, quality, sharding, warc
+from casebook.llm import decontaminate, minhash, mixing, pii, quality, sharding, warc
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_bootstrapped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op9_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
@@ -46,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op3_bbit_minhash": op3_bbit_minhash,
     "op6_temperature_mix": op6_temperature_mix,
     "op7_positional_index": op7_positional_index,
+    "op8_bootstrapped_contexts": op8_bootstrapped_contexts,
     "op9_covariance_outliers": op9_covariance_outliers,
     "op10_lookup_shards": op10_lookup_shards,
 }
