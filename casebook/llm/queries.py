@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontaminate, minhash, mixing, pii, quality, sharding, warc
+from casebook.llm import decontaminate, minhash, mixing, pii, quality, sharding, suffixes, warc
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_member_warc": op1_member_warc,
     "op3_bbit_minhash": op3_bbit_minhash,
+    "op4_suffix_family": op4_suffix_family,
     "op6_temperature_mix": op6_temperature_mix,
     "op7_positional_index": op7_positional_index,
     "op8_bootstrapped_contexts": op8_bootstrapped_contexts,
