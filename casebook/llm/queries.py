@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontaminate, minhash, mixing, pii, quality, sharding, suffixes, warc
+from casebook.llm import chunks, decontaminate, licenses, minhash, mixing, pii, quality, sharding, suffixes, warc
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ def op1_member_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.duplicate_runs(table(spark, sf_dir, "documents")).select(
+        "doc_id", "low", "high", "n_chunks", "first_doc_id", "other_doc_id"
+    )
+
+
 def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Rule(shingle=3, percent=85))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -27,6 +33,10 @@ def op4_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op5_tfidf_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(licenses.with_paths(table(spark, sf_dir, "documents")))
+
+
 def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -51,8 +61,10 @@ def op10_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_member_warc": op1_member_warc,
+    "op2_gear_chunks": op2_gear_chunks,
     "op3_bbit_minhash": op3_bbit_minhash,
     "op4_suffix_family": op4_suffix_family,
+    "op5_tfidf_licences": op5_tfidf_licences,
     "op6_temperature_mix": op6_temperature_mix,
     "op7_positional_index": op7_positional_index,
     "op8_bootstrapped_contexts": op8_bootstrapped_contexts,
