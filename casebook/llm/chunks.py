@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from casebook.llm.common import row_slices
+from casebook.llm.common import carried, row_slices, same_key
 from casebook.session import materialize
 
 GEAR = np.random.default_rng(20_240_603).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -160,9 +160,7 @@ def deduplicate(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     spans = duplicate_runs(documents, rule).groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("removed")).alias("_spans"))
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_spans")
     columns = documents.columns
-    rows = documents.withColumn("_of", F.xxhash64("text")).join(
-        spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_mark")), "left"
-    )
+    rows = carried(documents, documents["text"].alias("text")).join(spans, same_key("_id", "_mark"), "left")
     ordered = F.array_sort(F.array_distinct("_spans"))
     raw = F.encode("text", "UTF-8")
     # The bytes before each span, and those behind the last one.
@@ -173,4 +171,4 @@ def deduplicate(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     rest = F.substring(raw, F.element_at(ordered, -1)["high"] + 1, F.octet_length("text"))
     kept = F.aggregate(F.concat(before, F.array(rest)), F.lit(b""), lambda s, x: F.concat(s, x)).cast("string")
     text = F.when(F.size("_spans") > 0, kept).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*columns)
+    return rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns])

@@ -39,6 +39,19 @@ def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[p
             yield batch.slice(start, rows)
 
 
+def carried(documents: DataFrame, *more: Column) -> DataFrame:
+    """Whole input rows as the struct ``row`` beside their key doc_id, mark: no input name can clash with a working one."""
+    return documents.select(
+        F.struct(*[documents[c] for c in documents.columns]).alias("row"), documents["doc_id"].alias("doc_id"),
+        F.xxhash64(documents["text"]).alias("mark"), *more,
+    )
+
+
+def same_key(id_name: str, mark_name: str) -> Column:
+    """The key doc_id, mark equals the two named columns, null ids too."""
+    return F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col("mark") == F.col(mark_name))
+
+
 def signature_of(df: DataFrame, columns: Sequence[str]) -> tuple[int, int]:
     """Row count and order-free checksum of a stored frame."""
     row = df.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*columns)), F.lit(0))).first()

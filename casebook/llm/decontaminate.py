@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casebook.llm.common import ascii_lower, small, split_words
+from casebook.llm.common import ascii_lower, carried, small, split_words
 from casebook.session import materialize
 
 WINDOW = 10
@@ -111,7 +111,7 @@ def possible_starts(index: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def examine(documents: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame:
-    """The input rows with n_words, n_hit, hit_items (sorted) and contaminated in the struct ``found``."""
+    """Input rows as the struct ``row``, with n_words, n_hit, hit_items (sorted) and contaminated."""
     cut = windows(items, length)
     counts = term_counts(documents, materialize(cut.select(F.explode("words").alias("term")).distinct(), "terms"))
     anchors = rarest_terms(cut, counts)
@@ -121,9 +121,7 @@ def examine(documents: DataFrame, items: DataFrame, length: int = WINDOW) -> Dat
     by_document = possible.groupBy(*DOCUMENT).agg(F.collect_set(F.struct("start", "words", "items")).alias("possible"))
     mine = renamed(by_document, "_")
 
-    rows = documents.select(
-        F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").alias("text")
-    )
+    rows = carried(documents, documents["text"].alias("text"))
     rows = rows.join(mine, same_document("", "_"), "left").select("row", "_possible", words_of(F.col("text")).alias("words"))
     words = F.col("words")
     nothing = F.array().cast("array<struct<start:int,words:array<string>,items:array<string>>>")
@@ -144,10 +142,7 @@ def examine(documents: DataFrame, items: DataFrame, length: int = WINDOW) -> Dat
     )
     hit_items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["items"]))))
     return rows.select(
-        "row.*",
-        F.struct(
-            "n_words", covered.alias("n_hit"), hit_items.alias("hit_items"), (F.size("hits") > 0).alias("contaminated")
-        ).alias("found"),
+        "row", "n_words", covered.alias("n_hit"), hit_items.alias("hit_items"), (F.size("hits") > 0).alias("contaminated")
     )
 
 
@@ -155,15 +150,14 @@ def contamination(documents: DataFrame, items: DataFrame, length: int = WINDOW)
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every document."""
     found = examine(documents.select("doc_id", "text"), items, length)
     return found.select(
-        "doc_id", "found.n_words", "found.n_hit", F.size("found.hit_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("found.hit_items", ","), 256).alias("items_sha256"), "found.contaminated",
+        "row.doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), "contaminated",
     )
 
 
 def keep_clean(documents: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame:
     """The input rows in which no window of an item occurs."""
-    name = "found"
-    return examine(documents, items, length).where(~F.col(f"{name}.contaminated")).select(*documents.columns)
+    return examine(documents, items, length).where(~F.col("contaminated")).select("row.*")
 
 
 def proximity_matches(index: DataFrame, cut: DataFrame, anchors: DataFrame, slack: int) -> DataFrame:

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casebook.llm.common import carried, same_key
 from casebook.operators.ordering import running_total
 from casebook.session import materialize
 
@@ -153,11 +154,8 @@ def mix(documents: DataFrame, target: Target = Target()) -> DataFrame:
 def mix_rows(documents: DataFrame, target: Target = Target()) -> DataFrame:
     """The drawn documents with the columns of the input, once per copy."""
     drawn = mix(documents, target).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("mark").alias("_mark")
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("source").alias("_source")
     )
-    matches = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_from"))
-        & (F.xxhash64("text") == F.col("_mark"))
-    )
-    return documents.join(drawn, matches).select(*documents.columns)
+    rows = carried(documents, documents["source"].alias("source"))
+    same = same_key("_id", "_mark") & F.col("source").eqNullSafe(F.col("_source"))
+    return rows.join(drawn, same).select("row.*")

@@ -32,7 +32,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.llm.common import small, split_words
+from casebook.llm.common import carried, same_key, small, split_words
 from casebook.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -238,9 +238,11 @@ def verdicts(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def keep_good(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The input rows that the limits and the estimates keep."""
-    names = ["doc_id", "lang", "source"]
-    good = verdicts(documents, rule).where("kept").select("mark", *[F.col(c).alias(f"_{c}") for c in names]).distinct()
-    same = reduce(
-        lambda both, c: both & F.col(c).eqNullSafe(F.col(f"_{c}")), names, F.xxhash64("text") == F.col("mark")
-    )
-    return documents.join(good, same, "left_semi")
+    good = verdicts(documents, rule).where("kept").select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("lang").alias("_lang"), F.col("source").alias("_source")
+    ).distinct()
+    rows = carried(documents, documents["lang"].alias("lang"), documents["source"].alias("source"))
+    same = same_key("_id", "_mark")
+    for c in ("lang", "source"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rows.join(good, same, "left_semi").select("row.*")
