@@ -16,7 +16,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from casebook.plans import catalog, star  # noqa: E402
-from casebook.session import build_session, tune  # noqa: E402
+from casebook.session import build_session  # noqa: E402
 
 HEADLINE = """
 rename_project cast_with_guard drop_zero_dates quarantine_rows dedupe_keep_first impute_partial_counts
@@ -54,7 +54,7 @@ def main() -> None:
     names = list(functions) if picked == "all" else picked.split(",") if picked else HEADLINE
     seconds = {}
     start = time.time()
-    star.star(tune(spark), sf_dir)
+    star.star(spark, sf_dir)
     seconds["publish_star"] = round(time.time() - start, 3)
     for name in names:
         start = time.time()

@@ -33,10 +33,10 @@ def recode(value: Column, old, new) -> Column:
 
 
 def whole_number(value: Column, dtype: str = "int") -> Column:
-    """Cast to an integer type with NULL, NaN and infinities as 0."""
+    """Cast to an integer type with NULL, NaN, infinities and numbers outside the type's range as 0."""
     number = value.cast("double")
     bad = number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
-    return F.when(bad, F.lit(0)).otherwise(number).cast(dtype)
+    return F.coalesce(F.when(~bad, number).try_cast(dtype), F.lit(0).cast(dtype))
 
 
 def is_not_numeric(text: Column) -> Column:
@@ -105,7 +105,7 @@ def inconsistent_success(success: Column, nkill: Column) -> Column:
 def imputed_part(part: Column, total: Column, share: float = 0.5) -> tuple[Column, Column]:
     """(new part, condition): an absent sub-count of a positive total becomes a share of it."""
     condition = (F.coalesce(part, F.lit(0.0)) == 0) & (F.coalesce(total, F.lit(0.0)) > 0)
-    return F.greatest(F.lit(1), (total * share).cast("int")).cast("double"), condition
+    return F.greatest(F.lit(1), F.floor(total * share)).cast("double"), condition
 
 
 def bucket_value(extent: Column, table: Mapping[str, float] = V.EXTENT_VALUES) -> Column:

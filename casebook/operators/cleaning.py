@@ -107,12 +107,12 @@ def impute_by_bucket(df: DataFrame, table: Mapping[str, float], flag: str) -> Da
 def impute_capped_sample(
     df: DataFrame, key: str, flag: str, cap: int, value: float, seed: int | None = 42
 ) -> DataFrame:
-    """At most ``cap`` needy rows of unknown extent get a value: the first by hash, or by key when
-    no seed is given.
+    """At most ``cap`` needy rows of unknown extent get a value: the first by a seeded hash, or by key
+    when no seed is given.
 
     The cut is one scalar found by a top-``cap`` pass over two columns; no join follows.
     """
-    order = F.xxhash64(F.lit(seed), F.col(key)) if seed is not None else F.col(key)
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))) if seed is not None else F.col(key)
     eligible = needs_value() & (F.col("extent") == UNKNOWN)
     place = F.struct(order.alias("o"), F.col(key).alias("k"))
     cut = (

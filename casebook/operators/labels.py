@@ -50,10 +50,12 @@ def label_batch(
                 part = list(frame["prompt"].iloc[start : start + batch])
                 for _ in range(tries):
                     try:
-                        labels += list(predict(part))
-                        break
+                        found = list(predict(part))
                     except Exception:
                         continue
+                    if len(found) == len(part):  # an answer of another length is a failed try
+                        labels += found
+                        break
                 else:
                     labels += [fallback] * len(part)
             yield pd.DataFrame({key: frame[key], "predicted_motive": labels})
@@ -66,11 +68,13 @@ def write_back(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     return df.join(labels, key, "left")
 
 
-def motive_counts(df: DataFrame, column: str) -> DataFrame:
+def motive_counts(
+    df: DataFrame, column: str, patterns: Sequence[tuple[str, str]] = tuple(V.MOTIVE_PATTERNS)
+) -> DataFrame:
     """Normalised labels with counts, fewest first."""
     usable = df.where(text.usable_label(F.col(column)))
     return (
-        usable.groupBy(text.motive_class(F.col(column)).alias("motive"))
+        usable.groupBy(text.first_pattern(F.col(column), patterns).alias("motive"))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .orderBy("row_count", "motive")
     )

@@ -16,12 +16,8 @@ def incidents() -> Column:
 
 
 def distinct_incidents(condition: Column | None = None) -> Column:
-    """COUNT DISTINCT of events.
-
-    The fact load leaves one row per event, so the distinct count is a plain
-    count and needs no shuffle of event ids.
-    """
-    return F.count(EVENT if condition is None else F.when(condition, F.col(EVENT)))
+    """COUNT DISTINCT of events, all or those of a condition."""
+    return F.count_distinct(F.col(EVENT) if condition is None else F.when(condition, F.col(EVENT)))
 
 
 def casualties() -> Column:

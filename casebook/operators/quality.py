@@ -174,9 +174,19 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_missing") for c in columns])
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, members: Sequence[str]) -> DataFrame:
-    """Counts of rows × the given column members, 0 where a pair does not occur."""
-    return df.groupBy(rows).pivot(columns, list(members)).count().fillna(0)
+def crosstab(
+    df: DataFrame, rows: str, columns: str, members: Sequence[str] | None = None, rest: str = "rest"
+) -> DataFrame:
+    """Counts of rows × column members, 0 where a pair does not occur.
+
+    Without ``members`` they are taken from the data (Spark refuses more than
+    ``spark.sql.pivotMaxValues``); with them, ``rest`` counts the rows of all others.
+    """
+    if members is None:
+        return df.groupBy(rows).pivot(columns).count().fillna(0)
+    value = F.col(columns)
+    listed = F.coalesce(value.isin(list(members)), F.lit(False))
+    return df.groupBy(rows).agg(*[F.count_if(value == m).alias(m) for m in members], F.count_if(~listed).alias(rest))
 
 
 def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:

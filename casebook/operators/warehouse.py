@@ -27,14 +27,11 @@ RECONCILED_COLUMNS = {
 
 
 def reconcile(cleaned: DataFrame, name: str) -> DataFrame:
-    """One normalised table of the cleaned frame, rows outside its domain left out.
-
-    The cleaned frame holds one row per event, so the split needs no distinct.
-    """
+    """One normalised table of the cleaned frame: distinct rows, those outside its domain left out."""
     columns = RECONCILED_COLUMNS[name]
     if name == "incidents" and "summary" in cleaned.columns:
         columns = [*columns, "summary"]
-    part = cleaned.select(*columns)
+    part = cleaned.select(*columns).distinct()
     if name == "incidents":
         return part.where(
             in_range("year", 1970, 2017)
@@ -162,7 +159,7 @@ FACT_FLAGS = ["success", "propvalue_imputed", "us_casualty_imputed", "high_impac
 
 
 def load_fact(cleaned: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Look up all six ids, check domains, keep one row per event."""
+    """Look up all six ids, check domains, keep one row per event: the first in order of its columns."""
     keyed = cleaned
     for name, dim in DIMENSIONS.items():
         keyed = lookup_ids(keyed, dimensions[name], dim)
@@ -179,7 +176,9 @@ def load_fact(cleaned: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFr
         domain = domain & (F.col(m) >= 0)
     for c in FACT_FLAGS:
         domain = domain & in_set(c, [0, 1])
-    return fact.where(domain).withColumn("total_casualties", F.col("nkill") + F.col("nwound"))
+    valid = fact.where(domain & F.col("eventid").isNotNull())
+    one = first_per_key(valid, ["eventid"], [F.col(c) for c in valid.columns[1:]])
+    return one.withColumn("total_casualties", F.col("nkill") + F.col("nwound"))
 
 
 def star_flat(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:

@@ -95,7 +95,7 @@ parts AS (
 needy AS (
   SELECT *, property = 1 AND (propvalue IS NULL OR propvalue <= 0) AS needs FROM parts),
 sampled AS (
-  SELECT eventid FROM needy WHERE needs AND propextent_txt = 'unknown' ORDER BY eventid LIMIT 300),
+  SELECT eventid FROM needy WHERE needs AND propextent_txt = 'unknown' ORDER BY md5('42:' || eventid), eventid LIMIT 300),
 valued AS (
   SELECT *,
     CASE WHEN needs AND propextent_txt = 'minor' THEN 10000.0::DOUBLE

@@ -4,15 +4,10 @@ from __future__ import annotations
 
 from casebook.plans import queries_cleaning, queries_olap, queries_text, queries_warehouse  # noqa: F401
 from casebook.plans.registry import ORACLES, QUERIES, Query
-from casebook.session import tune
-
-
-def _tuned(function: Query) -> Query:
-    return lambda spark, sf_dir: function(tune(spark), sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {name: _tuned(function) for name, function in QUERIES.items()}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -93,7 +93,10 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataF
         df, in_country(rules.country), {"nkillus": "nkill", "nwoundus": "nwound"}, "us_casualty_imputed"
     )
     df = C.rename(C.select_existing(df, KEPT_COLUMNS), RENAMES)
-    df = C.dedupe_keep_first(df, ["event_id"], [F.col(c).asc_nulls_last() for c in ("year", "month", "day")])
+    missing_keys = df.where(F.col("event_id").isNull())
+    dates_first = sorted(df.columns, key=lambda c: c not in ("year", "month", "day"))
+    total_order = [F.col(c).asc_nulls_last() for c in dates_first if c != "event_id"]
+    df = C.dedupe_keep_first(df.where(F.col("event_id").isNotNull()), ["event_id"], total_order)
     df, zero_dates = C.drop_zero_dates(df)
 
     df = impute_property_values(df, rules)
@@ -122,7 +125,7 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataF
             "unknown_group": values.flag(F.col("group_name") == "unknown"),
         }
     )
-    return df, {**suspects, "zero_date": zero_dates}
+    return df, {**suspects, "missing_key": missing_keys, "zero_date": zero_dates}
 
 
 def impute_property_values(df: DataFrame, rules: CleaningRules) -> DataFrame:

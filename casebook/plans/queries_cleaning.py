@@ -34,14 +34,19 @@ def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.rename(unified, LOADER_RENAMES)
 
 
-READY = """
-ready AS (SELECT eventid, iyear AS year, imonth AS month, iday AS day, region_txt AS region,
+def loader_view(name: str, source: str) -> str:
+    """WITH member: the incident columns of ``source`` under the names of the loading lineage."""
+    return f"""
+{name} AS (SELECT eventid, iyear AS year, imonth AS month, iday AS day, region_txt AS region,
   country_txt AS country, provstate, city, latitude, longitude, specificity, vicinity, extended, success,
   attacktype1_txt AS attack_type, weaptype1_txt AS weapon_type, weapsubtype1_txt AS weapon_subtype,
   targtype1_txt AS target_type, targsubtype1_txt AS target_subtype, natlty1_txt AS nationality,
   gname AS group_name, guncertain1 AS uncertainty, nkill, nwound, nkillter, nwoundte AS nwoundter,
-  nkillus, nwoundus, property, propextent_txt AS extent, propvalue FROM prepared)"""
-RENAMED = READY.replace("ready AS", "renamed AS").replace("FROM prepared", "FROM raw")
+  nkillus, nwoundus, property, propextent_txt AS extent, propvalue FROM {source})"""
+
+
+READY = loader_view("ready", "prepared")
+RENAMED = loader_view("renamed", "raw")
 
 
 @query("scan_pruned", "SELECT c_custkey, c_mktsegment FROM customer")
@@ -239,7 +244,7 @@ LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disc
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(LINE_ORDER)}) = 1""",
 )
 def dedupe_keep_first(spark, sf_dir):
-    lines = tables.spread(tables.table(spark, sf_dir, "lineitem"))
+    lines = tables.table(spark, sf_dir, "lineitem")
     kept = C.dedupe_keep_first(lines, ["l_orderkey", "l_linenumber"], [col(c) for c in LINE_ORDER])
     return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
@@ -431,14 +436,14 @@ def impute_by_bucket(spark, sf_dir):
         "prepared",
         """SELECT eventid, CASE WHEN r <= 250 THEN 10000.0::DOUBLE ELSE propvalue END AS propvalue,
         CASE WHEN r <= 250 THEN 1 ELSE 0 END AS propvalue_imputed
-        FROM ready LEFT JOIN (SELECT eventid, row_number() OVER (ORDER BY eventid) AS r FROM ready
+        FROM ready LEFT JOIN (SELECT eventid, row_number() OVER (ORDER BY md5('42:' || eventid), eventid) AS r FROM ready
           WHERE property = 1 AND (propvalue IS NULL OR propvalue <= 0) AND extent = 'unknown') USING (eventid)""",
         READY,
     ),
 )
 def impute_capped_sample(spark, sf_dir):
     df = C.impute_capped_sample(
-        ready(spark, sf_dir), "eventid", "propvalue_imputed", 250, V.UNKNOWN_EXTENT_VALUE, seed=None
+        ready(spark, sf_dir), "eventid", "propvalue_imputed", 250, V.UNKNOWN_EXTENT_VALUE
     )
     return df.select("eventid", "propvalue", "propvalue_imputed")
 
@@ -818,13 +823,13 @@ def distinct_dates(spark, sf_dir):
     A.over(
         "prepared",
         """SELECT property, count(*) FILTER (extent = 'minor') AS minor, count(*) FILTER (extent = 'major') AS major,
-        count(*) FILTER (extent = 'catastrophic') AS catastrophic, count(*) FILTER (extent = 'unknown') AS "unknown"
+        count(*) FILTER (extent = 'catastrophic') AS catastrophic, count(*) FILTER (extent NOT IN ('minor', 'major', 'catastrophic') OR extent IS NULL) AS other
         FROM ready GROUP BY property""",
         READY,
     ),
 )
 def crosstab(spark, sf_dir):
-    return Q.crosstab(ready(spark, sf_dir), "property", "extent", [*EXTENT_VALUES, "unknown"])
+    return Q.crosstab(ready(spark, sf_dir), "property", "extent", [*EXTENT_VALUES], rest="other")
 
 
 @query(

@@ -8,7 +8,7 @@ from casebook.functions import text, values
 from casebook.operators import cleaning as C, fuzzy, labels as L, resolve
 from casebook.plans import answers as A
 from casebook.plans.cleaning import LOADER_RENAMES
-from casebook.plans.queries_cleaning import READY, RENAMED, ready
+from casebook.plans.queries_cleaning import READY, loader_view, ready
 from casebook.plans.registry import query
 from casebook.sources import tables
 
@@ -16,7 +16,7 @@ col = F.col
 
 
 def documents(spark, sf_dir):
-    return tables.spread(tables.table(spark, sf_dir, "documents"))
+    return tables.table(spark, sf_dir, "documents")
 
 
 @query("normalize_text", f"SELECT doc_id, {A.normalized('text')} AS text FROM documents")
@@ -119,53 +119,37 @@ MOTIVES = [
 ]
 
 
-def _motive(x: str) -> str:
+def _motive(x: str, otherwise: str | None = None) -> str:
     edge = r"[^\p{L}\p{N}_]"
     whens = " ".join(
         f"WHEN regexp_matches({x}, '(^|{edge}){p.strip(chr(92) + 'b')}($|{edge})') THEN '{n}'" for n, p in MOTIVES
     )
-    return f"CASE {whens} ELSE {x} END"
+    return f"CASE {whens} ELSE {otherwise or x} END"
 
 
-_FIRST_LINE = "split_part(text, chr(10), 1)"
-_USABLE = f"{A.strip('line')} <> '' AND lower({A.strip('line')}) <> 'nan'"
+_USABLE = f"{A.strip('text')} <> '' AND lower({A.strip('text')}) <> 'nan'"
+_LABELS = f"SELECT doc_id, {A.strip('lower(text)')} AS t FROM documents WHERE {_USABLE}"
 
 
-@query(
-    "classify_motive",
-    f"""SELECT doc_id, {_motive('t')} AS motive FROM (SELECT doc_id, {A.strip('lower(line)')} AS t
-    FROM (SELECT doc_id, {_FIRST_LINE} AS line FROM documents) WHERE {_USABLE})""",
-)
+@query("classify_motive", f"SELECT doc_id, {_motive('t')} AS motive FROM ({_LABELS})")
 def classify_motive(spark, sf_dir):
-    line = F.substring_index("text", "\n", 1)
-    df = documents(spark, sf_dir).select("doc_id", line.alias("line")).where(text.usable_label(col("line")))
-    return df.select("doc_id", text.first_pattern(col("line"), MOTIVES).alias("motive"))
+    df = documents(spark, sf_dir).select("doc_id", "text").where(text.usable_label(col("text")))
+    return df.select("doc_id", text.first_pattern(col("text"), MOTIVES).alias("motive"))
 
 
-@query(
-    "motive_counts",
-    """SELECT motive, count(*) AS row_count FROM (SELECT CASE
-      WHEN regexp_matches(t, '\\b(religion|islam|jihad|faith|holy)\\b') THEN 'religious'
-      WHEN regexp_matches(t, '\\b(anti[- ]?government|state|gov|dictator|regime)\\b') THEN 'anti-government'
-      WHEN regexp_matches(t, '\\b(politic|power|election|democracy|reform)\\b') THEN 'political'
-      WHEN regexp_matches(t, '\\b(ethnic|tribal|race|minority|ethno)\\b') THEN 'ethnic'
-      WHEN regexp_matches(t, '\\b(separat|independen|autonom|territor)\\b') THEN 'separatist'
-      WHEN regexp_matches(t, '\\b(retaliat|revenge|retribution|vengeance)\\b') THEN 'retaliation'
-      WHEN regexp_matches(t, '\\b(economic|financial|money|poverty)\\b') THEN 'economic'
-      WHEN regexp_matches(t, '\\b(crime|gang|drug|mafia|cartel)\\b') THEN 'criminal'
-      WHEN regexp_matches(t, '\\b(ideolog|doctrine|extremism)\\b') THEN 'ideological'
-      WHEN regexp_matches(t, '\\b(military|army|soldier|warfare|invasion)\\b') THEN 'military'
-      WHEN regexp_matches(t, '\\b(unknown|not known|no motive|unclear|unspecified)\\b') THEN 'unknown' ELSE t END AS motive
-      FROM (SELECT lower(trim(split_part(p_type, ' ', 1))) || ' ' || p_brand AS t FROM part)) GROUP BY motive""".replace(
-        "lower(trim(split_part(p_type, ' ', 1))) || ' ' || p_brand", "lower(p_type || ' ' || p_brand)"
-    ).replace("\\\\b", "\\b"),
-)
+@query("motive_counts", f"SELECT motive, count(*) AS row_count FROM (SELECT {_motive('t')} AS motive FROM ({_LABELS})) GROUP BY motive")
 def motive_counts(spark, sf_dir):
-    df = tables.table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_type", "p_brand").alias("label"))
-    return L.motive_counts(df, "label")
+    return L.motive_counts(documents(spark, sf_dir), "text", MOTIVES)
 
 
-@query("label_batch")
+_ONE_LINE = A.strip("replace(text, chr(10), ' ')")
+
+
+@query(
+    "label_batch",
+    f"""SELECT doc_id, {_motive('t', "'unknown'")} AS predicted_motive
+    FROM (SELECT doc_id, lower({_ONE_LINE}) AS t FROM documents WHERE text IS NOT NULL)""",
+)
 def label_batch(spark, sf_dir):
     prepared = L.prepare(documents(spark, sf_dir), "doc_id", "text")
     return L.label_batch(prepared, "doc_id", L.keyword_predictor(MOTIVES))
@@ -253,7 +237,8 @@ def geo_consistency(spark, sf_dir):
     return out.drop("country").withColumn("distance_km", F.round("distance_km", 3))
 
 
-STORED_READY = READY.replace("ready AS", "ready AS MATERIALIZED")
+STORED_READY = loader_view("materialized_ready", "prepared") + """,
+ready AS MATERIALIZED (SELECT * FROM materialized_ready)"""
 _GAZETTEER = """
 gazetteer AS (SELECT c_custkey AS ordinal, 'citi_' || (c_custkey % 211) AS name, CAST(c_custkey % 120 - 60 AS DOUBLE) AS lat,
   CAST(c_custkey % 340 - 170 AS DOUBLE) AS lon, lower(n_name) AS country, lower(c_mktsegment) || ' district' AS admin1

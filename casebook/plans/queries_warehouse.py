@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from casebook.operators import quality as Q, warehouse as W
 from casebook.plans import answers as A
 from casebook.plans.registry import query
-from casebook.plans.star import cleaned_path, cleaned_view, star
+from casebook.plans.cleaning import clean
+from casebook.plans.star import cleaned_path, cleaned_view, star, view_rules
 from casebook.sources import tables
 from casebook.sources.files import with_header_row
 from casebook.streaming.incremental import load_fact_stream
@@ -317,3 +318,27 @@ def export_union_header(spark, sf_dir):
 def incremental_load(spark, sf_dir):
     published = star(spark, sf_dir)
     return load_fact_stream(spark, cleaned_path(spark, sf_dir), published.dimensions, files_per_batch=4)
+
+
+@query(
+    "repeated_event_kpis",
+    A.over(
+        "flat",
+        """SELECT count(*) AS fact_rows, count(DISTINCT eventid) AS total_attacks,
+        count(DISTINCT CASE WHEN success = 1 THEN eventid END) AS successful_attacks,
+        CAST(sum(nkill) AS BIGINT) AS total_killed FROM flat""",
+    ),
+)
+def repeated_event_kpis(spark, sf_dir):
+    """A third of the events arrives twice and a seventh again without its key; the load keeps each once."""
+    raw = tables.raw_incidents(spark, sf_dir)
+    keyless = raw.where(col("eventid") % 7 == 0).withColumn("eventid", F.lit(None).cast("long"))
+    repeated = raw.unionAll(raw.where(col("eventid") % 3 == 0)).unionAll(keyless)
+    cleaned, _ = clean(repeated, view_rules(spark, sf_dir))
+    fact = W.load_fact(cleaned.withColumnRenamed("event_id", "eventid"), star(spark, sf_dir).dimensions)
+    return fact.agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.count_distinct("eventid").alias("total_attacks"),
+        F.count_distinct(F.when(col("success") == 1, col("eventid"))).alias("successful_attacks"),
+        F.sum("nkill").cast("long").alias("total_killed"),
+    )

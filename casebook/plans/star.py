@@ -25,7 +25,6 @@ def view_rules(spark: SparkSession, sf_dir: str) -> CleaningRules:
         extent_values=EXTENT_VALUES,
         centroids=tables.country_centroids(spark, sf_dir),
         sample_cap=300,
-        sample_seed=None,
     )
 
 

@@ -13,13 +13,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Generated methods above the size that the JVM compiles would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def build_session(app_name: str = "casebook", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with this library's settings; a cluster's own settings stay in force."""
+    """A session with this library's settings; ``conf`` overrides them, and both override a cluster's defaults."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -64,14 +66,3 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     The written table survives lost executors and later scans prune its columns.
     """
     return df.sparkSession.read.schema(df.schema).parquet(store(df, tag))
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Keep generated methods below the size the JVM still compiles.
-
-    Wide cleaning projections otherwise run interpreted; a limit the user chose stays.
-    """
-    key = "spark.sql.codegen.hugeMethodLimit"
-    if spark.conf.get(key) == "65535":
-        spark.conf.set(key, "8000")
-    return spark

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from casebook.session import build_session, tune  # noqa: E402
+from casebook.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,5 +21,5 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield tune(session)
+    yield session
     session.stop()
