@@ -299,13 +299,13 @@ def drop_all_unknown(spark, sf_dir):
 @query(
     "regex_flag",
     """SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)the|und|valu') THEN 1 ELSE 0 END AS damage_flag,
-    CASE WHEN regexp_matches(text, '(?i)claimed|responsibility') THEN 1 ELSE 0 END AS claimed_flag FROM documents""",
+    CASE WHEN regexp_matches(text, '(?i)worthless|licensed') THEN 1 ELSE 0 END AS claimed_flag FROM documents""",
 )
 def regex_flag(spark, sf_dir):
     return tables.table(spark, sf_dir, "documents").select(
         "doc_id",
         values.flag(text.matches(col("text"), "the|und|valu")).alias("damage_flag"),
-        values.flag(text.matches(col("text"), V.CLAIM_PATTERN)).alias("claimed_flag"),
+        values.flag(text.matches(col("text"), "worthless|licensed")).alias("claimed_flag"),
     )
 
 

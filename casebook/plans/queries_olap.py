@@ -76,12 +76,12 @@ def top_attack_excluding(spark, sf_dir):
     A.over(
         "flat",
         f"""SELECT region, attack_type, {COUNT}, {SUMS} FROM flat
-        WHERE {top('attack_type', 5, "'unknown'")} AND {top('region', 5)} GROUP BY ALL""",
+        WHERE {top('attack_type', 3, "'unknown'")} AND {top('region', 3)} GROUP BY ALL""",
     ),
 )
 def region_attack_intensity(spark, sf_dir):
     df = flat(spark, sf_dir)
-    kept = O.keep_top(O.keep_top(df, df, "attack_type", 5, exclude=["unknown"]), df, "region", 5)
+    kept = O.keep_top(O.keep_top(df, df, "attack_type", 3, exclude=["unknown"]), df, "region", 3)
     return O.summarize(kept, ["region", "attack_type"], measures("incident_count", "total_casualties"))
 
 
@@ -89,13 +89,13 @@ def region_attack_intensity(spark, sf_dir):
     "top_cities_known",
     A.over(
         "flat",
-        f"""SELECT city, {COUNT} FROM flat WHERE {top('city', 10)} AND year BETWEEN 1976 AND 2017 GROUP BY city
+        f"""SELECT city, {COUNT} FROM flat WHERE {top('city', 10)} AND year BETWEEN 1996 AND 2000 GROUP BY city
         HAVING min(unknown_location_flag) = 0""",
     ),
 )
 def top_cities_known(spark, sf_dir):
     df = flat(spark, sf_dir)
-    kept = O.keep_top(df, df, "city", 10).where(col("year").between(1976, 2017))
+    kept = O.keep_top(df, df, "city", 10).where(col("year").between(1996, 2000))
     return O.summarize(kept, ["city"], measures("incident_count"), known=["unknown_location_flag"]).orderBy(
         F.desc("incident_count"), "city"
     )
@@ -105,14 +105,14 @@ def top_cities_known(spark, sf_dir):
     "region_year_trend",
     A.over(
         "flat",
-        f"""SELECT region, year, {COUNT} FROM flat WHERE {top('attack_type', 5)} AND {top('region', 4)}
-        AND (year BETWEEN 1978 AND 2017 OR year IS NULL) GROUP BY ALL HAVING min(unknown_location_flag) = 0""",
+        f"""SELECT region, year, {COUNT} FROM flat WHERE {top('attack_type', 3)} AND {top('region', 4)}
+        AND (year BETWEEN 1996 AND 2000 OR year IS NULL) GROUP BY ALL HAVING min(unknown_location_flag) = 0""",
     ),
 )
 def region_year_trend(spark, sf_dir):
     df = flat(spark, sf_dir)
-    kept = O.keep_top(O.keep_top(df, df, "attack_type", 5), df, "region", 4)
-    kept = kept.where(O.year_or_null(col("year"), 1978, 2017))
+    kept = O.keep_top(O.keep_top(df, df, "attack_type", 3), df, "region", 4)
+    kept = kept.where(O.year_or_null(col("year"), 1996, 2000))
     return O.summarize(kept, ["region", "year"], measures("incident_count"), known=["unknown_location_flag"])
 
 
@@ -145,8 +145,8 @@ def exclude_pairs(spark, sf_dir):
     "target_distribution",
     A.over(
         "flat",
-        f"""SELECT target_type, region, {COUNT} FROM flat WHERE {_NO_PAIRS} AND {top('region', 5)}
-        AND region IN ('asia', 'europe', 'africa', 'america') AND {top('target_type', 10)}
+        f"""SELECT target_type, region, {COUNT} FROM flat WHERE {_NO_PAIRS} AND {top('region', 3)}
+        AND region IN ('asia', 'europe', 'africa', 'america') AND {top('target_type', 3)}
         GROUP BY ALL HAVING min(unknown_location_flag) = 0""",
     ),
 )
@@ -154,7 +154,7 @@ def target_distribution(spark, sf_dir):
     df = flat(spark, sf_dir)
     kept = O.drop_pairs(df, ["region", "target_type"], [("asia", "machinery"), ("europe", "building")])
     kept = kept.where(col("region").isin("asia", "europe", "africa", "america"))
-    kept = O.keep_top(O.keep_top(kept, df, "region", 5), df, "target_type", 10)
+    kept = O.keep_top(O.keep_top(kept, df, "region", 3), df, "target_type", 3)
     return O.summarize(kept, ["target_type", "region"], measures("incident_count"), known=["unknown_location_flag"])
 
 
@@ -163,14 +163,14 @@ def target_distribution(spark, sf_dir):
     A.over(
         "flat",
         f"""SELECT year, region, {COUNT}, count(nkill) AS fatal_rows FROM flat
-        WHERE NOT (region = 'asia' AND year IN (1995, 1996)) AND {top('country', 5)} AND year BETWEEN 1970 AND 2017
+        WHERE NOT (region = 'asia' AND year IN (1995, 1996)) AND {top('country', 5)} AND year BETWEEN 1995 AND 2000
         GROUP BY ALL HAVING min(unknown_location_flag) = 0""",
     ),
 )
 def dual_trend(spark, sf_dir):
     df = flat(spark, sf_dir)
     kept = O.drop_pairs(df, ["region", "year"], [("asia", 1995), ("asia", 1996)])
-    kept = O.keep_top(kept.where(col("year").between(1970, 2017)), df, "country", 5)
+    kept = O.keep_top(kept.where(col("year").between(1995, 2000)), df, "country", 5)
     return O.summarize(
         kept, ["year", "region"], measures("incident_count", "fatal_rows"), known=["unknown_location_flag"]
     )
@@ -180,12 +180,12 @@ def dual_trend(spark, sf_dir):
     "dual_trend_sum",
     A.over(
         "flat",
-        f"SELECT year, {COUNT}, sum(nkill) AS killed FROM flat WHERE {top('country', 5)} AND year BETWEEN 1970 AND 2017 GROUP BY year",
+        f"SELECT year, {COUNT}, sum(nkill) AS killed FROM flat WHERE {top('country', 5)} AND year BETWEEN 1996 AND 2000 GROUP BY year",
     ),
 )
 def dual_trend_sum(spark, sf_dir):
     df = flat(spark, sf_dir)
-    kept = O.keep_top(df.where(col("year").between(1970, 2017)), df, "country", 5)
+    kept = O.keep_top(df.where(col("year").between(1996, 2000)), df, "country", 5)
     return O.summarize(kept, ["year"], measures("incident_count", "killed"))
 
 
@@ -236,14 +236,14 @@ def geo_distribution_city(spark, sf_dir):
         "flat",
         f"""SELECT *, round(total_casualties / sum(total_casualties) OVER (), 6) AS pct_casualties
         FROM (SELECT region, attack_type, {COUNT}, {SUMS} FROM flat
-          WHERE NOT (region = 'africa' AND attack_type = '2-high') AND {top('attack_type', 5)}
-          AND year BETWEEN 1970 AND 2017 GROUP BY ALL HAVING min(unknown_location_flag) = 0)""",
+          WHERE NOT (region = 'africa' AND attack_type = '2-high') AND {top('attack_type', 3)}
+          AND year BETWEEN 1996 AND 2000 GROUP BY ALL HAVING min(unknown_location_flag) = 0)""",
     ),
 )
 def heatmap_pct_casualties(spark, sf_dir):
     df = flat(spark, sf_dir)
     kept = O.drop_pairs(df, ["region", "attack_type"], [("africa", "2-high")])
-    kept = O.keep_top(kept.where(col("year").between(1970, 2017)), df, "attack_type", 5)
+    kept = O.keep_top(kept.where(col("year").between(1996, 2000)), df, "attack_type", 3)
     grid = O.summarize(
         kept,
         ["region", "attack_type"],
@@ -258,12 +258,12 @@ def heatmap_pct_casualties(spark, sf_dir):
     A.over(
         "flat",
         f"""SELECT year, {SUMS}, {COUNT} FROM flat WHERE {top('region', 4)}
-        AND (year BETWEEN 1978 AND 2017 OR year IS NULL) GROUP BY year""",
+        AND (year BETWEEN 1996 AND 2000 OR year IS NULL) GROUP BY year""",
     ),
 )
 def incidents_vs_casualties(spark, sf_dir):
     df = flat(spark, sf_dir)
-    kept = O.keep_top(df.where(O.year_or_null(col("year"), 1978, 2017)), df, "region", 4)
+    kept = O.keep_top(df.where(O.year_or_null(col("year"), 1996, 2000)), df, "region", 4)
     return O.summarize(kept, ["year"], measures("total_casualties", "incident_count"))
 
 
@@ -272,14 +272,14 @@ def incidents_vs_casualties(spark, sf_dir):
     A.over(
         "flat",
         f"""SELECT group_name, region, {SUMS}, {COUNT} FROM flat
-        WHERE NOT (group_name = 'group_1' AND region = 'asia') AND {top('group_name', 10)} AND {top('region', 5)}
+        WHERE NOT (group_name = 'group_1' AND region = 'asia') AND {top('group_name', 10)} AND {top('region', 3)}
         GROUP BY ALL HAVING min(unknown_location_flag) = 0 AND min(unknown_group_flag) = 0""",
     ),
 )
 def group_impact_region(spark, sf_dir):
     df = flat(spark, sf_dir)
     kept = O.drop_pairs(df, ["group_name", "region"], [("group_1", "asia")])
-    kept = O.keep_top(O.keep_top(kept, df, "group_name", 10), df, "region", 5)
+    kept = O.keep_top(O.keep_top(kept, df, "group_name", 10), df, "region", 3)
     out = O.summarize(
         kept,
         ["group_name", "region"],
@@ -347,14 +347,14 @@ def set_in_out(spark, sf_dir):
         "flat",
         f"""SELECT CAST(extract(year FROM d) AS INTEGER) AS date_year, {COUNT}, count(DISTINCT eventid) AS distinct_incidents,
         sum(nkill) AS killed FROM (SELECT *, make_date(year, month, day) AS d FROM flat)
-        WHERE {top('attack_type', 5)} AND {top('region', 4)} AND (year BETWEEN 1978 AND 2017 OR year IS NULL) GROUP BY 1""",
+        WHERE {top('attack_type', 3)} AND {top('region', 4)} AND (year BETWEEN 1996 AND 2000 OR year IS NULL) GROUP BY 1""",
     ),
 )
 def kills_by_year(spark, sf_dir):
     df = flat(spark, sf_dir)
     date_year = F.year(dates.date_of(col("year"), col("month"), col("day")))
-    kept = O.keep_top(O.keep_top(df, df, "attack_type", 5), df, "region", 4)
-    kept = kept.withColumn("date_year", date_year).where(O.year_or_null(col("date_year"), 1978, 2017))
+    kept = O.keep_top(O.keep_top(df, df, "attack_type", 3), df, "region", 4)
+    kept = kept.withColumn("date_year", date_year).where(O.year_or_null(col("date_year"), 1996, 2000))
     return O.summarize(kept, ["date_year"], measures("incident_count", "distinct_incidents", "killed"))
 
 
@@ -398,11 +398,11 @@ def weapon_share(spark, sf_dir):
     "wounded_vs_killed",
     A.over(
         "flat",
-        "SELECT year, sum(nwound) AS wounded, sum(nkill) AS killed FROM flat WHERE year BETWEEN 1976 AND 2017 GROUP BY year",
+        "SELECT year, sum(nwound) AS wounded, sum(nkill) AS killed FROM flat WHERE year BETWEEN 1996 AND 2000 GROUP BY year",
     ),
 )
 def wounded_vs_killed(spark, sf_dir):
-    kept = flat(spark, sf_dir).where(col("year").between(1976, 2017))
+    kept = flat(spark, sf_dir).where(col("year").between(1996, 2000))
     return O.summarize(kept, ["year"], measures("wounded", "killed"))
 
 
@@ -451,12 +451,12 @@ def kpi_unpivot(spark, sf_dir):
     A.over(
         "flat",
         f"""SELECT attack_type, target_type, region, {COUNT} FROM flat
-        WHERE {top('attack_type', 5)} AND {top('target_type', 5)} GROUP BY ALL""",
+        WHERE {top('attack_type', 3)} AND {top('target_type', 3)} GROUP BY ALL""",
     ),
 )
 def attack_target_flow(spark, sf_dir):
     df = flat(spark, sf_dir)
-    kept = O.keep_top(O.keep_top(df, df, "attack_type", 5), df, "target_type", 5)
+    kept = O.keep_top(O.keep_top(df, df, "attack_type", 3), df, "target_type", 3)
     return O.summarize(kept, ["attack_type", "target_type", "region"], measures("incident_count"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casebook.functions import text, values
+from casebook.functions import fixed_values as V, text, values
 from casebook.operators import cleaning as C, fuzzy, labels as L, resolve
 from casebook.plans import answers as A
 from casebook.plans.cleaning import LOADER_RENAMES
@@ -46,24 +46,36 @@ def _replaced(x: str) -> str:
 _CLEAN = f"CASE WHEN text IS NULL OR text = '' THEN '' ELSE {_replaced(_CUT)} END"
 
 
-@query("clean_summary", f"SELECT doc_id, {_CLEAN} AS summary FROM documents")
+def with_reports(spark, sf_dir):
+    """Documents, every fourth opened by a sentence that holds the terms to be cleaned."""
+    opened = F.when(col("doc_id") % 4 == 0, F.concat(F.lit(REPORT), col("text"))).otherwise(col("text"))
+    return documents(spark, sf_dir).select("doc_id", opened.alias("text"))
+
+
+REPORT = "No group claimed responsibility for the atk on a govt org. "
+_REPORTS = f"(SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '{REPORT}' || text ELSE text END AS text FROM documents)"
+
+
+@query("clean_summary", f"SELECT doc_id, {_CLEAN} AS summary FROM {_REPORTS}")
 def clean_summary(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", text.clean_summary(col("text")).alias("summary"))
+    return with_reports(spark, sf_dir).select("doc_id", text.clean_summary(col("text")).alias("summary"))
 
 
 @query(
     "text_clean_stats",
     f"""SELECT round(avg(length({_CUT})), 4) AS mean_length_before, round(avg(length({_CLEAN})), 4) AS mean_length_after,
-    count(*) FILTER (regexp_matches({_CLEAN}, '(?i)claimed|responsibility')) AS claimed FROM documents""",
+    count(*) FILTER (regexp_matches({_CUT}, '(?i)claimed|responsibility')) AS claimed_before,
+    count(*) FILTER (regexp_matches({_CLEAN}, '(?i)claimed|responsibility')) AS claimed FROM {_REPORTS}""",
 )
 def text_clean_stats(spark, sf_dir):
-    lengths = documents(spark, sf_dir).select(
-        F.length(text.squeeze_comma(col("text"))).alias("before"), text.clean_summary(col("text")).alias("cleaned")
+    lengths = with_reports(spark, sf_dir).select(
+        text.squeeze_comma(col("text")).alias("before"), text.clean_summary(col("text")).alias("cleaned")
     )
     return lengths.agg(
-        F.round(F.avg("before"), 4).alias("mean_length_before"),
+        F.round(F.avg(F.length("before")), 4).alias("mean_length_before"),
         F.round(F.avg(F.length("cleaned")), 4).alias("mean_length_after"),
-        F.count_if(text.matches(col("cleaned"), "claimed|responsibility")).alias("claimed"),
+        F.count_if(text.matches(col("before"), V.CLAIM_PATTERN)).alias("claimed_before"),
+        F.count_if(text.matches(col("cleaned"), V.CLAIM_PATTERN)).alias("claimed"),
     )
 
 
@@ -72,12 +84,14 @@ def text_clean_stats(spark, sf_dir):
     A.over(
         "raw",
         r"""SELECT eventid, CASE WHEN regexp_matches(summary, '19[7-9]\d|200\d|201[0-7]')
-        AND NOT contains(lower(summary), CAST(iyear AS VARCHAR)) THEN 1 ELSE 0 END AS summary_date_mismatch_flag FROM raw""",
+        AND NOT contains(lower(summary), CAST(iyear AS VARCHAR)) THEN 1 ELSE 0 END AS summary_date_mismatch_flag
+        FROM (SELECT eventid, iyear, CASE WHEN eventid % 5 = 0 THEN summary || ' In 1996.' ELSE summary END AS summary FROM raw)""",
     ),
 )
 def flag_text_year(spark, sf_dir):
     df = tables.raw_incidents(spark, sf_dir, with_summary=True)
-    mismatch = values.flag(text.mentions_other_year(col("summary"), col("iyear")))
+    summary = F.when(col("eventid") % 5 == 0, F.concat(col("summary"), F.lit(" In 1996."))).otherwise(col("summary"))
+    mismatch = values.flag(text.mentions_other_year(summary, col("iyear")))
     return df.select("eventid", mismatch.alias("summary_date_mismatch_flag"))
 
 

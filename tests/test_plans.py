@@ -25,6 +25,22 @@ def test_only_one_query_lacks_sql():
     assert set(FUNCTIONS) - set(ANSWERS) == {"fuzzy_dedupe"}
 
 
+def test_sets_and_filters_keep_and_remove_rows(spark):
+    """Every member set is smaller than its dimension, and years lie on both sides of the ranges."""
+    flat = star.flat(spark, SF)
+    for dim, n in {"attack_type": 3, "region": 4, "target_type": 3, "country": 20, "city": 20, "group_name": 10}.items():
+        assert flat.select(dim).distinct().count() > n, dim
+    years = flat.agg(F.min("year"), F.max("year")).first()
+    assert years[0] < 1996 and years[1] > 2000
+    flags = {r[0]: r[1] for r in FUNCTIONS["flag_text_year"](spark, SF).groupBy("summary_date_mismatch_flag").count().collect()}
+    assert min(flags.get(0, 0), flags.get(1, 0)) > 10
+    for name, column in (("regex_flag", "damage_flag"), ("regex_flag", "claimed_flag")):
+        assert FUNCTIONS[name](spark, SF).select(column).distinct().count() == 2
+    stats = FUNCTIONS["text_clean_stats"](spark, SF).first()
+    assert stats.claimed_before > stats.claimed
+    assert {r.motive for r in FUNCTIONS["motive_counts"](spark, SF).collect()} >= {"the-like", "german", "french", "spanish"}
+
+
 def test_crosstab_counts_members_that_are_not_listed(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (2, "c")], "k int, v string")
     listed = Q.crosstab(df, "k", "v", ["a"]).collect()
