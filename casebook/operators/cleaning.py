@@ -294,7 +294,10 @@ def impute_centroid_levels(df: DataFrame, levels: Sequence[tuple[str, DataFrame]
 
 
 def geo_consistency(
-    df: DataFrame, centroids: DataFrame, sizes: Mapping[str, float], default_km: float
+    df: DataFrame,
+    centroids: DataFrame,
+    sizes: Mapping[str, float] = V.COUNTRY_SIZES_KM,
+    default_km: float = V.DEFAULT_COUNTRY_SIZE_KM,
 ) -> DataFrame:
     """Null coordinates farther from the country's centroid than the country's size; flag them."""
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()

@@ -169,10 +169,12 @@ def nearest_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[st
 
 
 def cluster_names(names: DataFrame, k: int = 4) -> DataFrame:
-    """Map every name to the first name within distance k, itself included.
+    """Map every name to the first name within distance k, itself included; 'unknown' stays apart.
 
-    ``names`` holds (name, ordinal) with distinct names. Returns (name, cluster).
+    ``names`` holds (name, ordinal) with distinct names, aliases applied. Returns (name, cluster).
     """
+    unknown = names.where(F.col("name") == "unknown").select("name", F.col("name").alias("cluster"))
+    names = names.where(F.col("name") != "unknown")
     left = names.select(F.col("name").alias("l_id"), F.col("name").alias("l_text"))
     right = names.select(F.col("ordinal").alias("r_order"), F.col("name").alias("r_text"))
     near = pairs_within(left, right, k).select("l_id", F.struct("r_order", "r_text").alias("place"))
@@ -187,7 +189,7 @@ def cluster_names(names: DataFrame, k: int = 4) -> DataFrame:
         part = part.select("l_id", F.col("place").cast(typed).alias("place"))
         every = part if every is None else every.unionAll(part)
     best = every.groupBy("l_id").agg(F.min("place").alias("place"))
-    return best.select(F.col("l_id").alias("name"), F.col("place.t").alias("cluster"))
+    return best.select(F.col("l_id").alias("name"), F.col("place.t").alias("cluster")).unionAll(unknown)
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
@@ -243,9 +245,12 @@ def similar_pairs(names: DataFrame, threshold: float) -> DataFrame:
         lambda m: F.greatest(F.lit(1), F.ceil(m / widest - slack)),
         lambda m: F.floor(m * widest + slack),
     )
+    # Levenshtein distance is never above the edits without replacement that the ratio allows.
+    edits = F.floor(share * (F.length("l_text") + F.length("r_text")) + slack)
     return (
         pairs.where(F.col("l_text") != F.col("r_text"))
         .distinct()
+        .where(F.levenshtein("l_text", "r_text") <= edits)
         .where(indel_ratio(F.col("l_text"), F.col("r_text")) >= threshold)
         .select(F.col("l_text").alias("name"), F.col("r_text").alias("other"))
     )

@@ -40,6 +40,12 @@ def keep_top(df: DataFrame, base: DataFrame, dim: str, n: int, exclude: Sequence
     return df.join(F.broadcast(top_members(base, dim, n, exclude)), dim, "left_semi")
 
 
+def keep_top_counted(counts: DataFrame, dim: str, n: int, measure: str) -> DataFrame:
+    """Counted rows of the n members with the largest sums, ties by name; the set is broadcast."""
+    sums = counts.where(F.col(dim).isNotNull()).groupBy(dim).agg(F.sum(measure).alias("_n"))
+    return counts.join(F.broadcast(sums.orderBy(F.desc("_n"), dim).limit(n).select(dim)), dim, "left_semi")
+
+
 def drop_pairs(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple]) -> DataFrame:
     """Leave out listed value combinations."""
     listed = F.lit(False)

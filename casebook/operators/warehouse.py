@@ -201,6 +201,7 @@ def lookup_min_id(
 
 FULL_PLACE = ["region", "country", "provstate", "city", "latitude", "longitude"]
 NAMED_PLACE = ["region", "country", "provstate", "city"]
+PLACE_DETAILS = ["specificity", "vicinity", "unknown_location_flag"]
 
 
 def with_location_key(df: DataFrame) -> DataFrame:
@@ -208,9 +209,18 @@ def with_location_key(df: DataFrame) -> DataFrame:
 
 
 def late_members(
-    df: DataFrame, dim_frame: DataFrame, id_column: str, natural_key: Sequence[str]
+    df: DataFrame, dim_frame: DataFrame, id_column: str, natural_key: Sequence[str], more: Sequence[str] = ()
 ) -> DataFrame:
-    """Distinct members of ``df`` the dimension lacks, numbered after its largest id."""
+    """Distinct members of ``df`` the dimension lacks, numbered after its largest id.
+
+    ``more`` are further columns of the dimension; of several values of a member the first in order stays.
+    """
+    if more:
+        first = df.groupBy(*natural_key).agg(F.min(F.struct(*more)).alias("_first"))
+        details = first.select(*[F.col(c).alias(f"_of_{c}") for c in natural_key], "_first.*")
+        found = late_members(df, dim_frame, id_column, natural_key)
+        same = null_safe(found, details, [(c, f"_of_{c}") for c in natural_key])
+        return found.join(details, same).select(id_column, *natural_key, *more)
     members = df.select(*natural_key).distinct()
     known = dim_frame.select(*[F.col(c).alias(f"_{c}") for c in natural_key]).distinct()
     pairs = [(c, f"_{c}") for c in natural_key]
@@ -234,8 +244,10 @@ def resolve_location(events: DataFrame, dim_location: DataFrame) -> tuple[DataFr
         out = out.withColumnRenamed("location_id", f"_{step}_id")
     found = F.coalesce(*[F.col(f"_{s}_id") for s in steps])
     missed = out.where(found.isNull())
-    new = late_members(missed, dim_location, "location_id", FULL_PLACE)
-    out = lookup_min_id(out, new, "location_id", FULL_PLACE)
+    new = late_members(
+        missed, dim_location, "location_id", FULL_PLACE, [c for c in PLACE_DETAILS if c in events.columns]
+    )
+    out = lookup_min_id(out, new.select("location_id", *FULL_PLACE), "location_id", FULL_PLACE)
     step_name = F.lit("new")
     for step in reversed(list(steps)):
         step_name = F.when(F.col(f"_{step}_id").isNotNull(), step).otherwise(step_name)

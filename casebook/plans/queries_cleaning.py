@@ -14,7 +14,7 @@ from casebook.plans.cleaning import (
 from casebook.plans.registry import query
 from casebook.plans.star import ATTACK_TYPES, EXTENT_VALUES
 from casebook.sources import tables
-from casebook.sources.files import quarantine
+from casebook.sources.files import quarantine_by_rule
 
 col = F.col
 
@@ -107,26 +107,30 @@ def drop_zero_dates(spark, sf_dir):
     "quarantine_rows",
     A.over(
         "raw",
-        """SELECT eventid, 'zero_date' AS reason FROM renamed WHERE year = 0 OR month = 0 OR day = 0
-        UNION ALL SELECT eventid, 'missing_coordinates' FROM renamed WHERE latitude IS NULL OR longitude IS NULL
-        UNION ALL SELECT eventid, 'damage_without_value' FROM renamed WHERE property = 1 AND propvalue IS NULL
-        UNION ALL SELECT eventid, 'inconsistent_casualties' FROM renamed
-          WHERE nkillter > nkill OR nwoundter > nwound OR nkillus > nkill OR nwoundus > nwound
-             OR (success = 0 AND nkill > 0) OR (success = 0 AND nwound > 0)""",
+        """SELECT eventid, year, month, day, country, city, reason FROM (
+          SELECT *, 'zero_date' AS reason FROM renamed WHERE year = 0 OR month = 0 OR day = 0
+          UNION ALL SELECT *, 'missing_coordinates' FROM renamed WHERE latitude IS NULL OR longitude IS NULL
+          UNION ALL SELECT *, 'damage_without_value' FROM renamed WHERE property = 1 AND propvalue IS NULL
+          UNION ALL SELECT *, 'inconsistent_casualties' FROM renamed
+            WHERE nkillter > nkill OR nwoundter > nwound OR nkillus > nkill OR nwoundus > nwound
+               OR (success = 0 AND nkill > 0) OR (success = 0 AND nwound > 0)
+          UNION ALL SELECT *, 'unknown_group' FROM renamed WHERE group_name = 'unknown'
+          UNION ALL SELECT *, 'unknown_city' FROM renamed WHERE city = 'unknown')""",
         RENAMED,
     ),
 )
 def quarantine_rows(spark, sf_dir):
-    df = renamed(spark, sf_dir)
-    _, zero = C.drop_zero_dates(df)
-    return quarantine(
-        {
-            "zero_date": zero.select("eventid"),
-            "missing_coordinates": df.where(col("latitude").isNull() | col("longitude").isNull()).select("eventid"),
-            "damage_without_value": df.where(damage_without_value()).select("eventid"),
-            "inconsistent_casualties": df.where(C.inconsistent_casualties()).select("eventid"),
-        }
-    )
+    zero = lambda c: col(c) == 0
+    rules = {
+        "zero_date": values.true_only(zero("year") | zero("month") | zero("day")),
+        "missing_coordinates": col("latitude").isNull() | col("longitude").isNull(),
+        "damage_without_value": damage_without_value(),
+        "inconsistent_casualties": C.inconsistent_casualties(),
+        "unknown_group": values.true_only(col("group_name") == "unknown"),
+        "unknown_city": values.true_only(col("city") == "unknown"),
+    }
+    found = quarantine_by_rule(renamed(spark, sf_dir), rules)
+    return found.select("eventid", "year", "month", "day", "country", "city", "reason")
 
 
 @query(

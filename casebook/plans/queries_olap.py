@@ -11,6 +11,7 @@ from casebook.plans.answers import top
 from casebook.plans.registry import query
 from casebook.plans.star import flat
 from casebook.schemas import HIERARCHIES
+from casebook.session import materialize
 
 col = F.col
 
@@ -638,7 +639,8 @@ def member_set_algebra(spark, sf_dir):
 )
 def cascading_filters(spark, sf_dir):
     """Each level's top set is taken within the level above."""
-    df = flat(spark, sf_dir)
-    for dim, n in (("region", 2), ("country", 5), ("city", 10)):
-        df = O.keep_top(df, df, dim, n)
-    return O.summarize(df, ["city"], measures("incident_count"))
+    dims = {"region": 2, "country": 5, "city": 10}
+    counts = materialize(O.summarize(flat(spark, sf_dir), list(dims), measures("incident_count")), "counts")
+    for dim, n in dims.items():
+        counts = O.keep_top_counted(counts, dim, n, "incident_count")
+    return counts.groupBy("city").agg(F.sum("incident_count").alias("incident_count"))

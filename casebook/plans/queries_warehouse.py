@@ -93,7 +93,8 @@ def lookup_min_id(spark, sf_dir):
 _EDITED = """
 edited AS (SELECT eventid, region, CASE WHEN eventid % 11 = 0 THEN 'new country' ELSE country END AS country, provstate,
   CASE WHEN eventid % 13 = 0 THEN 'new ' || city ELSE city END AS city,
-  CASE WHEN eventid % 5 = 0 THEN latitude + 0.25 ELSE latitude END AS latitude, longitude FROM cleaned)"""
+  CASE WHEN eventid % 5 = 0 THEN latitude + 0.25 ELSE latitude END AS latitude, longitude,
+  specificity, vicinity, unknown_location AS unknown_location_flag FROM cleaned)"""
 _KEY = "concat(region, '|', country, '|', provstate, '|', city, '|', printf('%.3f', latitude), '|', printf('%.3f', longitude))"
 
 
@@ -107,6 +108,9 @@ def edited_events(spark, sf_dir):
         F.when(e % 13 == 0, F.concat(F.lit("new "), col("city"))).otherwise(col("city")).alias("city"),
         F.when(e % 5 == 0, col("latitude") + 0.25).otherwise(col("latitude")).alias("latitude"),
         "longitude",
+        "specificity",
+        "vicinity",
+        col("unknown_location").alias("unknown_location_flag"),
     )
 
 
@@ -146,15 +150,19 @@ def resolve_location_fallback(spark, sf_dir):
     A.over(
         "dims",
         """SELECT row_number() OVER (ORDER BY region, country, provstate, city, latitude, longitude)
-        + (SELECT max(location_id) FROM dim_location) AS location_id, *
+          + (SELECT max(location_id) FROM dim_location) AS location_id, region, country, provstate, city, latitude, longitude,
+          first.specificity AS specificity, first.vicinity AS vicinity, first.unknown_location_flag AS unknown_location_flag
         FROM (SELECT DISTINCT region, country, provstate, city, latitude, longitude FROM edited
-          EXCEPT SELECT region, country, provstate, city, latitude, longitude FROM dim_location)""",
+          EXCEPT SELECT region, country, provstate, city, latitude, longitude FROM dim_location)
+        JOIN (SELECT region, country, provstate, city, latitude, longitude,
+            min({'specificity': specificity, 'vicinity': vicinity, 'unknown_location_flag': unknown_location_flag}) AS first
+          FROM edited GROUP BY ALL) USING (region, country, provstate, city, latitude, longitude)""",
         _EDITED,
     ),
 )
 def dim_late_arriving(spark, sf_dir):
     dim = star(spark, sf_dir).dimensions["dim_location"]
-    return W.late_members(edited_events(spark, sf_dir), dim, "location_id", W.FULL_PLACE)
+    return W.late_members(edited_events(spark, sf_dir), dim, "location_id", W.FULL_PLACE, W.PLACE_DETAILS)
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def read_csv(
@@ -78,6 +78,12 @@ def quarantine(rejected: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def quarantine_by_rule(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Rows that fail rules, once per rule, with the reason: one pass over the input."""
+    failed = F.array_compact(F.array(*[F.when(broken, F.lit(reason)) for reason, broken in rules.items()]))
+    return df.withColumn("reason", F.explode(failed))
+
+
 def write_quarantine(rejected: Mapping[str, DataFrame], path: str, mode: str = "overwrite") -> None:
     quarantine(rejected).write.mode(mode).partitionBy("reason").parquet(path)
 
