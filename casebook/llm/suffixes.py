@@ -174,6 +174,18 @@ BLOCK_SCHEMA = pa.schema([
 ])
 
 
+def block_batch(docs: list, marks: list, sizes: list[int], columns: list[np.ndarray], is_open: list[bool]) -> pa.RecordBatch:
+    """Rows of blocks from their columns and, per text, its name, number of blocks and state."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    spread = lambda values, kind: pa.array(values, kind).take(pa.array(of))
+    core, whole, *places = columns
+    return pa.RecordBatch.from_arrays(
+        [spread(docs, pa.int64()), spread(marks, pa.int64()), pa.array(core), pa.array(whole)]
+        + [pa.array(x.astype(np.int32)) for x in places] + [spread(is_open, pa.bool_())],
+        schema=BLOCK_SCHEMA,
+    )
+
+
 def keyed(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
 
@@ -184,14 +196,15 @@ def all_blocks(documents: DataFrame, size: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in row_slices(batches, 128):
+            docs, marks, sizes, parts = [], [], [], []
             for doc_id, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                for core, whole, last, low, high in blocks(text_bytes(text), hasher, size):
-                    n = len(core)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc_id] * n, pa.int64()), pa.array([mark] * n, pa.int64()), pa.array(core), pa.array(whole)]
-                        + [pa.array(x.astype(np.int32)) for x in (last, low, high)] + [pa.array([True] * n)],
-                        schema=BLOCK_SCHEMA,
-                    )
+                found = list(blocks(text_bytes(text), hasher, size))
+                docs.append(doc_id)
+                marks.append(mark)
+                sizes.append(sum(len(f[0]) for f in found))
+                parts += found
+            if parts:
+                yield block_batch(docs, marks, sizes, [np.concatenate(x) for x in zip(*parts)], [True] * len(docs))
 
     return keyed(documents).mapInArrow(cut, BLOCK)
 
@@ -248,7 +261,7 @@ def smaller_blocks(held: DataFrame, size: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in row_slices(batches, 1024):
-            parts = []
+            docs, marks, states, sizes, parts = [], [], [], [], []
             for doc_id, mark, last, base, low, high, is_open, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 hasher.read(np.frombuffer(data, np.uint8))
                 step = (last - np.arange(low, high + 1)) // size
@@ -257,16 +270,13 @@ def smaller_blocks(held: DataFrame, size: int) -> DataFrame:
                 places, lows, highs = last - step[first] * size, first + low, end + low
                 core, whole = fingerprints(hasher, places - base, lows - base, highs - base, size)
                 core = core ^ (step[first] * int(MIX[3] >> np.uint64(2)))
-                parts.append((doc_id, mark, core, whole, np.full(len(core), last), lows, highs, is_open))
+                docs.append(doc_id)
+                marks.append(mark)
+                states.append(is_open)
+                sizes.append(len(core))
+                parts.append((core, whole, np.full(len(core), last), lows, highs))
             if parts:
-                sizes = [len(p[2]) for p in parts]
-                repeat = lambda i, kind: pa.array([p[i] for p, n in zip(parts, sizes, strict=True) for _ in range(n)], kind)
-                joined = lambda i: np.concatenate([p[i] for p in parts])
-                yield pa.RecordBatch.from_arrays(
-                    [repeat(0, pa.int64()), repeat(1, pa.int64()), pa.array(joined(2)), pa.array(joined(3))]
-                    + [pa.array(joined(i).astype(np.int32)) for i in (4, 5, 6)] + [repeat(7, pa.bool_())],
-                    schema=BLOCK_SCHEMA,
-                )
+                yield block_batch(docs, marks, sizes, [np.concatenate(x) for x in zip(*parts)], states)
 
     asked = held.select("doc_id", "mark", "last", "base", "low", "high", "open", "data")
     return materialize(asked.mapInArrow(cut, BLOCK), "blocks")
