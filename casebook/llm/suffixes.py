@@ -167,13 +167,22 @@ class SuffixFamily:
         return found.distinct()
 
 
-BLOCK = "doc_id long, mark long, core long, whole long, last int, low int, high int, open boolean"
+#: ``times`` equal blocks in a row, as in a run of one letter, are one row: the first of them, up to window start ``end``.
+BLOCK = "doc_id long, mark long, core long, whole long, last int, low int, high int, end int, times int, open boolean"
 BLOCK_SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("mark", pa.int64()), ("core", pa.int64()), ("whole", pa.int64()),
-    ("last", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("open", pa.bool_()),
+    ("last", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("end", pa.int32()), ("times", pa.int32()),
+    ("open", pa.bool_()),
 ])
 
 
+def runs(core: np.ndarray, whole: np.ndarray, last: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Blocks of one text with those that equal the block before taken together; adds end and times."""
+    first = np.flatnonzero(np.r_[True, (core[1:] != core[:-1]) | (whole[1:] != whole[:-1])])
+    times = np.diff(np.r_[first, len(core)])
+    return core[first], whole[first], last[first], low[first], high[first], high[first + times - 1], times
+
+
 def block_batch(docs: list, marks: list, sizes: list[int], columns: list[np.ndarray], is_open: list[bool]) -> pa.RecordBatch:
     """Rows of blocks from their columns and, per text, its name, number of blocks and state."""
     of = np.repeat(np.arange(len(sizes)), sizes)
@@ -198,7 +207,7 @@ def all_blocks(documents: DataFrame, size: int) -> DataFrame:
         for batch in row_slices(batches, 128):
             docs, marks, sizes, parts = [], [], [], []
             for doc_id, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                found = list(blocks(text_bytes(text), hasher, size))
+                found = [runs(*block) for block in blocks(text_bytes(text), hasher, size)]
                 docs.append(doc_id)
                 marks.append(mark)
                 sizes.append(sum(len(f[0]) for f in found))
@@ -217,7 +226,7 @@ def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     row = F.struct("doc_id", "mark", "last", "low", "high")
     strings = materialize(
         rows.groupBy("core", "whole").agg(
-            F.count(F.lit(1)).alias("n"), F.max("open").alias("any_open"), F.min(row).alias("row")
+            F.sum("times").alias("n"), F.max("open").alias("any_open"), F.min(row).alias("row")
         ),
         "strings",
     )
@@ -227,7 +236,7 @@ def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed = strings.groupBy("core").agg(F.count(F.lit(1)).alias("strings"), F.max(is_open).alias("has_open"))
     mixed = mixed.where((F.col("strings") > 1) & F.col("has_open")).select("core")
     left = strings.join(mixed, "core").select("row.*", is_open.alias("open"))
-    return done.select("doc_id", "mark", "low", "high"), left
+    return done.select("doc_id", "mark", "low", F.col("end").alias("high")), left
 
 
 def same_text(a: str = "_id", b: str = "_mark"):
@@ -240,7 +249,7 @@ def snippets(documents: DataFrame, left: DataFrame) -> DataFrame:
     wanted = wanted.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "blocks")
     rows = keyed(documents).join(wanted, same_text()).select("doc_id", "mark", "text", "blocks")
     kind = "doc_id long, mark long, last int, low int, high int, open boolean, data binary"
-    schema = pa.schema([*[f for f in BLOCK_SCHEMA if f.name not in ("core", "whole")], ("data", pa.binary())])
+    schema = pa.schema([*[f for f in BLOCK_SCHEMA if f.name not in ("core", "whole", "end", "times")], ("data", pa.binary())])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches, 64):
@@ -273,8 +282,9 @@ def smaller_blocks(held: DataFrame, size: int) -> DataFrame:
                 docs.append(doc_id)
                 marks.append(mark)
                 states.append(is_open)
-                sizes.append(len(core))
-                parts.append((core, whole, np.full(len(core), last), lows, highs))
+                part = runs(core, whole, np.full(len(core), last), lows, highs)
+                sizes.append(len(part[0]))
+                parts.append(part)
             if parts:
                 yield block_batch(docs, marks, sizes, [np.concatenate(x) for x in zip(*parts)], states)
 
@@ -287,7 +297,8 @@ def repeated_windows(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
     family = SuffixFamily(documents.sparkSession)
     for i in range(batches):
         family.add(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
-    matched = family.repeated().select(F.col("core").alias("c"))
+    # Stored, so that the join below has two plain sides and a hot core can be split.
+    matched = materialize(family.repeated().select(F.col("core").alias("c")), "repeated")
     rows = materialize(
         all_blocks(documents, SIZES[0]).join(matched, F.col("core") == F.col("c"), "left_semi"), "blocks"
     )
