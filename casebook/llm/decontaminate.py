@@ -20,11 +20,9 @@ listed; repeated rows each get their result; extra columns pass through.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casebook.llm.common import ascii_lower, carried, small, split_words
+from casebook.llm.common import ascii_lower, carried, same_key, small, split_words
 from casebook.session import materialize
 
 WINDOW = 10
@@ -81,14 +79,6 @@ def rarest_terms(cut: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def same_document(left: str, right: str) -> Column:
-    """Null-safe equality of documents whose columns carry the given prefixes."""
-    return reduce(
-        lambda both, c: both & F.col(left + c).eqNullSafe(F.col(right + c)), DOCUMENT[1:],
-        F.col(f"{left}{DOCUMENT[0]}").eqNullSafe(F.col(f"{right}{DOCUMENT[0]}")),
-    )
-
-
 def renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(c).alias(prefix + c) for c in df.columns])
 
@@ -103,7 +93,7 @@ def possible_starts(index: DataFrame, anchors: DataFrame) -> DataFrame:
     seconds = renamed(index.join(small(anchors.select(F.col("second").alias("term")).distinct()), "term"), "_")
     return starts.join(
         seconds,
-        same_document("", "_")
+        same_key("_doc_id", "_mark")
         & (F.col("second") == F.col("_term"))
         & (F.col("start") + F.col("second_offset") == F.col("_position")),
         "left_semi",
@@ -122,7 +112,7 @@ def examine(documents: DataFrame, items: DataFrame, length: int = WINDOW) -> Dat
     mine = renamed(by_document, "_")
 
     rows = carried(documents, documents["text"].alias("text"))
-    rows = rows.join(mine, same_document("", "_"), "left").select("row", "_possible", words_of(F.col("text")).alias("words"))
+    rows = rows.join(mine, same_key("_doc_id", "_mark"), "left").select("row", "_possible", words_of(F.col("text")).alias("words"))
     words = F.col("words")
     nothing = F.array().cast("array<struct<start:int,words:array<string>,items:array<string>>>")
     same = lambda x: F.slice(words, x["start"] + 1, F.size(x["words"])) == x["words"]
@@ -179,7 +169,7 @@ def proximity_matches(index: DataFrame, cut: DataFrame, anchors: DataFrame, slac
     held = renamed(index.withColumn("bucket", bucket(F.col("position"))), "_")
     near = asked.join(
         held,
-        same_document("", "_") & (F.col("needed") == F.col("_term")) & (F.col("bucket") == F.col("_bucket"))
+        same_key("_doc_id", "_mark") & (F.col("needed") == F.col("_term")) & (F.col("bucket") == F.col("_bucket"))
         & (F.abs(F.col("position") - F.col("_position")) <= F.col("reach")),
     )
     met = near.select(*DOCUMENT, "window", "position", "needed").distinct()
