@@ -72,7 +72,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         "edges",
     )
     before = signature_of(stars, ["high", "low"])
-    for _ in range(most_rounds):
+    for _ in range(most_rounds if before[0] else 0):
         both = stars.select(F.col("high").alias("a"), F.col("low").alias("b")).union(
             stars.select(F.col("low").alias("a"), F.col("high").alias("b"))
         )
@@ -91,7 +91,8 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
             break
         before = after
     else:
-        raise RuntimeError("components did not settle")
+        if before[0]:
+            raise RuntimeError("components did not settle")
     return stars.select(F.col("high").alias("node"), F.col("low").alias("component")).union(
         stars.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
     )

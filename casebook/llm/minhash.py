@@ -3,19 +3,23 @@
 A document's set is its distinct word shingles. Of every permutation's minimum
 all bits serve the bands that find candidates; only the two low bits are kept in
 the packed signature, from which the similarity of a candidate is estimated by
-bit counts, corrected for chance agreement. What passes five standard errors
+bit counts, corrected for chance agreement. What passes 4.5 standard errors
 below the threshold is confirmed on the full shingle sets.
 
 Documents with equal sets are one node (128-bit digest), so copies never make
-pairs. Links are then found in two rounds, without listing a bucket's pairs:
-
-1. Each node is confirmed against the best of its buckets' two pivots, the
-   smallest and largest digest. Large groups of near copies mostly join here.
-2. Buckets that still hold more than one component list the pairs between
-   different components that pass the estimate; these are confirmed too.
-
-Pairs inside one component need no check, so the components are those of all
-banded links. 25 bands of 5 minima miss a link at similarity 0.85 with
+pairs. Links are then found without listing a bucket's pairs:
+
+1. In each turn a node is confirmed against the most similar of its buckets'
+   pivots, each of the first group of its bucket in the turn's order; linked
+   groups become one. Large groups of near copies are mostly one after few turns.
+2. Nodes leave that cannot be linked with another group, since too few of their
+   shingles occur in any: a copy with many words of its own meets nobody, however
+   large its bucket. The others take more turns and are looked at again.
+3. What pairs of different groups are left in the buckets and pass the estimate
+   are confirmed.
+
+Pairs inside one group need no check, so the components of all links found are
+those of all banded links. 25 bands of 5 minima miss a link at similarity 0.85 with
 probability 4e-7 and at 0.8 with 5e-5.
 
 Defined cases: a document without words has an empty set and is linked with
@@ -29,13 +33,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casebook.llm.common import components, row_slices
+from casebook.llm.common import carried, components, row_slices, same_key
 from casebook.operators.ordering import first_per_key
 from casebook.session import materialize
 
@@ -43,6 +48,10 @@ BANDS, ROWS, BITS = 25, 5, 2
 PERMUTATIONS = 128
 LANES = PERMUTATIONS * BITS // 64
 LOW_OF_PAIR = 0x5555555555555555
+#: Turns at most, and pairs a node below which no more are taken; results do not depend on them.
+TURNS, MORE_TURNS, PAIRS_PER_NODE = 3, 4, 20
+#: Standard errors below the threshold at which an estimate still counts: a link falls below it three times in a million.
+MARGIN = 4.5
 
 _random = np.random.default_rng(20_240_601)
 MULTIPLIERS = _random.integers(0, 1 << 64, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
@@ -157,25 +166,30 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def least_estimate(rule: Rule) -> float:
-    """Five standard errors below the threshold."""
+    """``MARGIN`` standard errors below the threshold."""
     chance, t = 2.0**-BITS, rule.percent / 100
     p = t + (1 - t) * chance
-    return t - 5 * math.sqrt(p * (1 - p) / PERMUTATIONS) / (1 - chance)
+    return t - MARGIN * math.sqrt(p * (1 - p) / PERMUTATIONS) / (1 - chance)
 
 
-def confirm(pairs: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
-    """Those pairs (a, b) of nodes whose full sets reach the threshold, stored."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    # One row stands for a node; it is named by id and text, so copies do not meet under one key.
+def texts_of(wanted: DataFrame, signed: DataFrame) -> DataFrame:
+    """Stored (node, text) of the wanted nodes.
+
+    One row stands for a node; it is named by id and text, so copies do not meet under one key.
+    """
     holders = (
         signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
         .join(wanted, "node").select("node", F.col("row.doc_id").alias("id"), F.col("row.mark").alias("text_mark"))
     )
-    texts = signed.select(F.col("node").alias("of"), "doc_id", "mark", "text").join(
+    found = signed.select(F.col("node").alias("of"), "doc_id", "mark", "text").join(
         holders,
         (F.col("of") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("text_mark")),
-    ).select("node", "text")
-    texts = materialize(texts, "texts")
+    )
+    return materialize(found.select("node", "text"), "texts")
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Those pairs (a, b) of nodes whose full sets reach the threshold, stored."""
     rows = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -189,7 +203,7 @@ def confirm(pairs: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
         for batch in row_slices(batches):
             keep = []
             for b, text_a, text_b in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
-                if b != last:  # rows arrive sorted by b
+                if b != last:  # rows mostly arrive sorted by b
                     last, held = b, shingle_set(text_b, rule.shingle, hashes)
                 other = shingle_set(text_a, rule.shingle, hashes)
                 shared = len(np.intersect1d(held, other, assume_unique=True))
@@ -200,57 +214,191 @@ def confirm(pairs: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
     return materialize(rows.mapInArrow(check, "a binary, b binary").distinct(), "links")
 
 
+def place(turn: int, group: str = "group", size: str = "size") -> Column:
+    """The order of groups in a turn: large ones first, equal ones at random."""
+    return F.struct((-F.col(size)).alias("size"), F.xxhash64(F.lit(turn), group).alias("turn"))
+
+
+def sized(labels: DataFrame) -> DataFrame:
+    """Labels (node, group, size), stored."""
+    sizes = labels.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    return materialize(labels.join(sizes, "group").select("node", "group", "size"), "labels")
+
+
+def group_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Distinct links (a, b) between the groups of linked nodes, with the size of b."""
+    of = lambda node, *names: labels.select(F.col("node").alias(node), *[F.col(c).alias(n) for c, n in names])
+    both = links.join(of("a", ("group", "ga")), "a").join(of("b", ("group", "gb"), ("size", "size_b")), "b")
+    return both.where(F.col("ga") != F.col("gb")).select(F.col("ga").alias("a"), F.col("gb").alias("b"), "size_b").distinct()
+
+
+def hook(labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+    """Labels after each group has joined the first one in the turn's order that its links reach.
+
+    All links lead to an earlier group, so there are no circles. Two jumps shorten the chains; what they leave
+    apart is joined in later turns and at the end.
+    """
+    to = F.min(F.struct(place(turn, "b", "size_b").alias("place"), F.col("b")))["b"]
+    first = group_links(labels, links).groupBy("a").agg(to.alias("to"))
+    first = materialize(first.select(F.col("a").alias("group"), "to"), "hooks")
+    for _ in range(2):
+        further = first.select(F.col("group").alias("to"), F.col("to").alias("on"))
+        first = first.join(further, "to", "left").select("group", F.coalesce("on", "to").alias("to"))
+    return sized(labels.join(first, "group", "left").select("node", F.coalesce("to", "group").alias("group")))
+
+
+def closed(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, group), stored, with one group per connected component of the links (a, b) between groups."""
+    found = components(group_links(labels, links)).select(F.col("node").alias("group"), "component")
+    return materialize(
+        labels.join(found, "group", "left").select("node", F.coalesce("component", "group").alias("group")), "labels"
+    )
+
+
+def pivot_pairs(labelled: DataFrame, rule: Rule, turn: int) -> DataFrame:
+    """For each node the most similar pivot (a, b) of an earlier group in its buckets, stored.
+
+    A bucket's pivot is a node of its first group in the turn's order.
+    """
+    node = F.xxhash64(F.lit(turn), "node")
+    order = F.struct(place(turn).alias("place"), F.col("group"), node.alias("n"), F.col("node"), F.col("signature"))
+    pivots = labelled.groupBy("bucket").agg(F.min(order).alias("pivot"))
+    best = (
+        labelled.join(pivots, "bucket")
+        .where(F.col("group") != F.col("pivot.group"))
+        .withColumn("similarity", estimate(F.col("signature"), F.col("pivot.signature")))
+        .where(F.col("similarity") >= least_estimate(rule))
+        .groupBy("node").agg(F.max(F.struct("similarity", "pivot.node")).alias("best"))
+    )
+    return materialize(best.select(F.col("node").alias("a"), F.col("best.node").alias("b")), "pivots")
+
+
+def support(rows: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """node, n (set size), s: how many of a node's shingles another group's nodes have, stored.
+
+    Two linked nodes of different groups share at most the smaller of their s, so s bounds what a node can be linked with.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in row_slices(batches):
+            sets = [shingle_set(text, rule.shingle, hashes).view(np.int64) for text in batch.column(2).to_pylist()]
+            of = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+            if len(of):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(np.concatenate(sets))],
+                    names=["name", "group", "shingle"],
+                )
+
+    nodes = rows.select("node", "group").distinct().join(texts, "node")
+    named = nodes.select(F.xxhash64("node").alias("name"), F.xxhash64("group").alias("group"), "text")
+    parts = named.mapInArrow(explode, "name long, group long, shingle long")
+    both = parts.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    both = both.where(F.col("low") != F.col("high")).select("shingle")
+    counts = parts.join(both, "shingle").groupBy("name").agg(F.count(F.lit(1)).alias("s"))
+    return materialize(counts, "support")
+
+
+def pairs_across(labelled: DataFrame) -> int:
+    """How many pairs of different groups the buckets hold."""
+    sizes = labelled.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
+    each = sizes.groupBy("bucket").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+    return int(each.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
+
+
+def mixed(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several groups, with the least set size in the bucket."""
+    each = rows.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min("n").alias("least"))
+    return rows.join(each.where(F.col("low") != F.col("high")).select("bucket", "least"), "bucket")
+
+
+def supported(labelled: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Rows of mixed buckets whose nodes may have a link into another group, with s, stored.
+
+    Left out, exactly, are nodes of which other groups have too few shingles: a link of sets with sizes n and m
+    shares percent / (100 + percent) * (n + m) shingles at least. What is left out no longer supports others, so
+    this repeats while it removes a tenth of the rows.
+    """
+    still = materialize(mixed(labelled).drop("least"), "mixed").withColumn("s", F.lit(0).cast("long"))
+    left = still.count()
+    while left:
+        counts = support(still, texts, rule)
+        counted = mixed(still.drop("s").withColumn("name", F.xxhash64("node")).join(counts, "name", "left").drop("name"))
+        s = F.coalesce("s", F.lit(0))
+        least = F.greatest(F.col("least"), F.ceil(F.col("n") * rule.percent / 100))
+        enough = s * (100 + rule.percent) >= rule.percent * (F.col("n") + least)
+        still = materialize(mixed(counted.where(enough).drop("least")).drop("least"), "mixed")
+        before, left = left, still.count()
+        if left > 0.9 * before:
+            break
+    return still
+
+
+def across(still: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs (a, b) of different groups that share a bucket of supported rows and may be linked, once each, stored."""
+    still = materialize(still.join(nodes.select("node", "bands"), "node"), "open")
+    side = lambda end: still.select(
+        F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("bucket", "group", "bands", "signature", "n", "s")]
+    )
+    # A pair that shares several buckets counts in the first of them.
+    first = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True)
+    met = side("a").join(
+        side("b"),
+        (F.col("bucket_a") == F.col("bucket_b")) & (F.col("group_a") < F.col("group_b"))
+        & (F.least("s_a", "s_b") * (100 + rule.percent) >= rule.percent * (F.col("n_a") + F.col("n_b")))
+        & (estimate(F.col("signature_a"), F.col("signature_b")) >= least_estimate(rule))
+        & (F.element_at("bands_a", first.cast("int")) == F.col("bucket_a")),
+    )
+    return materialize(met.select("a", "b"), "across")
+
+
+def take_turns(
+    rows: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule, turns: range, bound: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Labels after some turns over the rows (bucket, node, …), and the links found."""
+    links = []
+    for turn in turns:
+        labelled = materialize(rows.join(labels, "node"), "labelled")
+        if pairs_across(labelled) <= bound:
+            break
+        links.append(confirm(pivot_pairs(labelled, rule, turn), texts, rule))
+        if links[-1].isEmpty():
+            break
+        labels = hook(labels, links[-1], turn)
+    return labels, links
+
+
 def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per document: doc_id, mark, n_shingles, component_id, kept."""
     signed = signatures(documents, rule)
     filled = signed.where(F.col("node").isNotNull())
     nodes = materialize(
         filled.groupBy("node").agg(
-            F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
+            F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n"),
         ),
         "nodes",
     )
-    least = F.lit(least_estimate(rule))
-    rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("first"), F.max("node").alias("last")
-    ).where(F.col("n") > 1)
-    met = (
-        rows.join(shared, "bucket")
-        .select("node", F.explode(F.array("first", "last")).alias("pivot"))
-        .where(F.col("node") != F.col("pivot"))
-        .distinct()
+    every = nodes.select("node", "signature", "n", F.explode("bands").alias("bucket"))
+    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket")
+    rows = materialize(every.join(shared, "bucket"), "buckets")
+    labels = sized(rows.select("node").distinct().withColumn("group", F.col("node")))
+    texts = texts_of(labels.select("node"), signed)
+    bound = PAIRS_PER_NODE * labels.count()
+    labels, links = take_turns(rows, labels, texts, rule, range(TURNS), bound)
+    still = supported(rows.join(labels, "node"), texts, rule)
+    names = ["bucket", "node", "signature", "n"]
+    labels, more = take_turns(still.select(names), labels, texts, rule, range(TURNS, TURNS + MORE_TURNS), bound)
+    if more:
+        still = supported(still.select(names).join(labels, "node"), texts, rule)
+    links += [*more, confirm(across(still, nodes, rule), texts, rule)]
+    labels = closed(labels, reduce(DataFrame.union, links))
+
+    named = nodes.select("node", "id").join(labels, "node", "left").select(
+        "node", "id", F.coalesce("group", "node").alias("group")
     )
-    sign = lambda name, out: nodes.select(F.col("node").alias(name), F.col("signature").alias(out))
-    best = (
-        met.join(sign("node", "sa"), "node").join(sign("pivot", "sb"), "pivot")
-        .withColumn("similarity", estimate(F.col("sa"), F.col("sb")))
-        .where(F.col("similarity") >= least)
-        .groupBy("node").agg(F.max(F.struct("similarity", "pivot")).alias("best"))
-        .select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
-    )
-    links = confirm(materialize(best, "pivots"), signed, rule)
-    joined = materialize(components(links), "joined")
-
-    labelled = rows.join(joined, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("group"))
-    mixed = labelled.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-    mixed = mixed.where(F.col("low") != F.col("high")).select("bucket")
-    still = materialize(labelled.join(mixed, "bucket").join(nodes.select("node", "signature"), "node"), "open")
-    left = still.select("bucket", F.col("node").alias("a"), F.col("group").alias("ga"), F.col("signature").alias("sa"))
-    right = still.select("bucket", F.col("node").alias("b"), F.col("group").alias("gb"), F.col("signature").alias("sb"))
-    across = left.join(
-        right,
-        (left["bucket"] == right["bucket"]) & (F.col("ga") < F.col("gb")) & (estimate(F.col("sa"), F.col("sb")) >= least),
-    ).select("a", "b").distinct()
-    more = confirm(materialize(across, "across"), signed, rule)
-    stars = joined.where(F.col("node") != F.col("component")).select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = materialize(components(stars.union(more)), "components")
-
-    named = nodes.select("node", "id").join(final, "node", "left").select(
-        "node", "id", F.coalesce("component", "node").alias("component")
-    )
-    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    of_node = named.join(smallest, "component").select("node", "component_id")
+    smallest = named.groupBy("group").agg(F.min("id").alias("component_id"))
+    of_node = named.join(smallest, "group").select("node", "component_id")
     return signed.select("doc_id", "mark", "n_shingles", "node").join(of_node, "node", "left").select(
         "doc_id",
         "mark",
@@ -264,10 +412,7 @@ def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def keep_one(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The input rows less near-duplicates: of each group the row with the smallest id, repeated rows once."""
     kept = near_duplicates(documents, rule).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_of")
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")
     ).distinct()
-    rows = documents.withColumn("_mark", F.xxhash64("text"))
-    matched = rows.join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")), "left_semi"
-    )
-    return first_per_key(matched, ["doc_id", "_mark"], [F.col("_mark")]).select(*documents.columns)
+    matched = carried(documents).join(kept, same_key("_id", "_mark"), "left_semi")
+    return first_per_key(matched, ["doc_id", "mark"], [F.col("mark")]).select("row.*")
