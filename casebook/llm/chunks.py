@@ -4,9 +4,16 @@ A gear hash rolls over the bytes of a text: h = 2h + gear[byte], so a 32-bit val
 knows the last 32 bytes. A chunk ends where the top bits of h are zero, but not
 before ``least`` bytes and at the latest after ``most``. Ends depend on content
 alone: behind an insertion, chunks are soon the same again. Equal chunks (128-bit
-digest) of different documents are duplicates; the document with the smallest id
-keeps them. Runs of neighbouring duplicate chunks of at least ``run`` bytes are
-reported and removed; shorter ones are stock phrases.
+digest) of different documents are duplicates. ``duplicate_runs`` lists runs of them.
+
+Chunks at the edges of a passage hold other bytes too, so ``duplicate_passages``
+does not depend on whole chunks. It cuts where the gear hash of ``REACH`` bytes is
+the least of all that begin in a window, so wide that every stretch of ``run``
+bytes holds a cut with the ``core`` bytes behind it. Equal cores are candidates
+only: each is compared byte by byte, to both sides, with the first and the last
+place of its core, and what matches over ``run`` bytes or more is a passage; the
+pieces of a passage overlap and are put together. Texts below ``run`` bytes are
+compared as wholes. The first place of a passage (by id, then text) keeps it.
 
 The hash of a whole text comes from five doubling steps on arrays. Chunks are
 counted with partial aggregation; a chunk of many documents only moves a smallest
@@ -26,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casebook.llm.common import carried, row_slices, same_key
 from casebook.session import materialize
@@ -43,6 +50,12 @@ class Rule:
     bits: int = 5  # a chunk ends once in 2**bits bytes on average after ``least``
     most: int = 256
     run: int = 100
+    core: int = 64  # bytes behind a cut that make two places candidates
+
+    @property
+    def window(self) -> int:
+        """Cuts are at most this far apart."""
+        return self.run - self.core + 1
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -155,13 +168,213 @@ def renamed_join(rows: DataFrame, shared: DataFrame) -> DataFrame:
     )
 
 
+def least_cuts(data: np.ndarray, rule: Rule) -> np.ndarray:
+    """Places whose gear hash is the least of some window of places; of equal ones in a row, as few as leave no window empty."""
+    wide, found = rule.window, []
+    last = len(data) - rule.run  # the last place at which a stretch of ``run`` bytes can begin
+    places = last + wide  # a core fits behind each of them
+    for start in range(0, last + 1, PIECE):
+        stop = min(start + PIECE + wide - 1, places)
+        h = gear_hashes(data[start : stop + REACH - 1])[REACH - 1 :].astype(np.uint64)
+        least = (h << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
+        span = 1
+        while span < wide:
+            step = min(span, wide - span)
+            least, span = np.minimum(least[:-step], least[step:]), span + step
+        chosen = np.unique((least & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        same = np.flatnonzero(h[chosen[1:]] == h[chosen[:-1]])
+        if len(same):
+            drop, held = [], -1
+            for i in same.tolist():  # i and i + 1 are equal; i goes if the one kept before reaches i + 1
+                if held >= 0 and i > 0 and h[chosen[i - 1]] == h[chosen[i]] and chosen[i + 1] - chosen[held] <= wide:
+                    drop.append(i)
+                else:
+                    held = i
+            chosen = np.delete(chosen, drop)
+        found.append(chosen + start)
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def core_keys(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit key of the ``size`` bytes behind each place; equal keys are compared byte by byte later."""
+    key = np.full(len(at), 0x9E3779B97F4A7C15, np.uint64)
+    views = np.lib.stride_tricks.sliding_window_view(data, 8)
+    for i in [*range(0, size - 7, 8), *([size - 8] if size % 8 else [])]:
+        part = np.ascontiguousarray(views[at + i]).view(np.uint64).ravel()
+        key = (key ^ part) * np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+    return key.view(np.int64)
+
+
+def cuts(documents: DataFrame, rule: Rule) -> DataFrame:
+    """doc, mark, at and key of every cut; a text below ``run`` bytes has one, for the whole of it."""
+    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("key", pa.int64())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_slices(batches, 128):
+            docs, marks, counts, places, keys = [], [], [], [], []
+            for doc, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                if not raw:
+                    continue
+                if len(raw) < rule.run:
+                    at, key = np.zeros(1, np.int64), np.array([xxhash.xxh3_64_intdigest(raw, 1)], np.uint64).view(np.int64)
+                else:
+                    data = np.frombuffer(raw, np.uint8)
+                    at = least_cuts(data, rule)
+                    key = core_keys(data, at, rule.core)
+                docs.append(doc)
+                marks.append(mark)
+                counts.append(len(at))
+                places.append(at)
+                keys.append(key)
+            if docs:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(np.array(docs, np.int64), counts)), pa.array(np.repeat(np.array(marks, np.int64), counts)),
+                        pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(keys)),
+                    ],
+                    schema=schema,
+                )
+
+    return keyed(documents).mapInArrow(cut, "doc long, mark long, at int, key long")
+
+
+def keyed(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("mark"),
+        F.col("text").cast("string").alias("text"),
+    )
+
+
+def surroundings(documents: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+    """Each held cut with the bytes around it: ``left`` of them before it, the core, and those behind."""
+    schema = pa.schema([
+        ("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("left", pa.int32()), ("bytes", pa.binary()),
+    ])
+    reach = rule.window
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_slices(batches, 64):
+            for doc, mark, text, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                raw = text.encode("utf-8", "surrogatepass")
+                at = [p["at"] for p in places]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([doc] * len(at), pa.int64()), pa.array([mark] * len(at), pa.int64()), pa.array(at, pa.int32()),
+                        pa.array([p["key"] for p in places], pa.int64()), pa.array([min(a, reach) for a in at], pa.int32()),
+                        # One byte more than is compared, to see whether a character ends there.
+                        pa.array([raw[max(0, a - reach) : a + rule.core + reach + 1] for a in at], pa.binary()),
+                    ],
+                    schema=schema,
+                )
+
+    places = held.groupBy("doc", "mark").agg(F.collect_set(F.struct("at", "key")).alias("places"))
+    texts = keyed(documents).join(places, ["doc", "mark"]).select("doc", "mark", "text", "places")
+    return texts.mapInArrow(take, "doc long, mark long, at int, key long, left int, bytes binary")
+
+
+def common(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return next(i for i in range(n) if a[i] != b[i])
+
+
+def matched(a: bytes, left_a: int, b: bytes, left_b: int, rule: Rule) -> tuple[int, int] | None:
+    """The stretch around the cuts that is equal, from the cut in ``a``; whole characters only. None if too short."""
+    front_a, front_b, back_a, back_b = a[:left_a], b[:left_b], a[left_a:], b[left_b:]
+    if left_a == left_b == 0 and len(a) < rule.run and a == b:
+        return 0, len(a)
+    most = rule.core + rule.window
+    high = common(back_a[:most], back_b[:most])
+    low = -common(front_a[::-1], front_b[::-1])
+    if high < rule.core or high - low < rule.run:
+        return None
+    inside = lambda i: left_a + i < len(a) and a[left_a + i] & 0xC0 == 0x80
+    while low < high and inside(low):
+        low += 1
+    while low < high and inside(high):
+        high -= 1
+    return low, high
+
+
+def matches(pairs: DataFrame, rule: Rule) -> DataFrame:
+    """doc, mark, at, low, high, first (the place compared is the first one), whether it is in another document, and ids."""
+    schema = pa.schema([
+        ("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("low", pa.int32()), ("high", pa.int32()),
+        ("first", pa.bool_()), ("first_doc", pa.int64()), ("other_doc", pa.int64()),
+    ])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_slices(batches, 4096):
+            rows = []
+            for doc, mark, at, left, data, f, z in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                for first, p in ((True, f), (False, z)):
+                    if (p["doc"], p["mark"], p["at"]) == (doc, mark, at) or not first and p == f:
+                        continue
+                    got = matched(data, left, p["bytes"], p["left"], rule)
+                    if got:
+                        rows.append((doc, mark, at, at + got[0], at + got[1], first, min(doc, p["doc"]), p["doc"]))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), schema, strict=True)], schema=schema)
+
+    kind = "doc long, mark long, at int, low int, high int, first boolean, first_doc long, other_doc long"
+    return pairs.select("doc", "mark", "at", "left", "bytes", "f", "z").mapInArrow(compare, kind)
+
+
+def duplicate_passages(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Passages of ``run`` bytes or more that stand elsewhere too, and texts below that length that equal another text.
+
+    Columns as in ``duplicate_runs``; ``n_chunks`` counts the cuts that matched, and
+    ``other_doc_id`` is another document if the first or last place is in one, else
+    the document itself, which then repeats the passage.
+    """
+    place = F.xxhash64("doc", "mark", "at")
+    shared = cuts(documents, rule).groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    shared = materialize(shared.where(F.col("a") != F.col("b")).select("key"), "shared")
+    held = materialize(surroundings(documents, cuts(documents, rule).join(shared, "key"), rule), "held")
+    at = F.struct("doc", "mark", "at", "left", "bytes")
+    ends = materialize(held.groupBy("key").agg(F.min(at).alias("f"), F.max(at).alias("z")), "ends")
+    pieces = materialize(matches(held.join(ends, "key"), rule), "pieces")
+    # A piece begins a passage unless one before it reaches over its start.
+    order = Window.partitionBy("doc", "mark").orderBy("low", "high")
+    reached = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached > F.col("low"), 0).otherwise(1)
+    numbered = pieces.withColumn("begins", begins).withColumn(
+        "run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    passages = numbered.groupBy("doc", "mark", "run").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.count_distinct("at").alias("n_chunks"),
+        F.min("first_doc").alias("first"),
+        F.min(F.when(F.col("other_doc") != F.col("doc"), F.struct("at", "other_doc")))["other_doc"].alias("other"),
+        F.array_sort(F.collect_set(F.when(F.col("first"), F.struct("low", "high")))).alias("removed"),
+    )
+    named = lambda c: F.when(c != NO_ID, c)
+    return passages.select(
+        named(F.col("doc")).alias("doc_id"), "mark", "low", "high", "n_chunks", named(F.col("first")).alias("first_doc_id"),
+        named(F.coalesce("other", "doc")).alias("other_doc_id"), "removed",
+    )
+
+
+def joined(spans: Column) -> Column:
+    """Sorted spans with those that overlap or touch made one."""
+    start = F.array().cast("array<struct<low:int,high:int>>")
+    last = lambda s: F.element_at(s, -1)
+    return F.aggregate(spans, start, lambda s, x: F.when(
+        (F.size(s) > 0) & (F.get(s, F.size(s) - 1)["high"] >= x["low"]),
+        F.concat(F.slice(s, F.lit(1), F.size(s) - 1), F.array(F.struct(last(s)["low"].alias("low"), F.greatest(last(s)["high"], x["high"]).alias("high")))),
+    ).otherwise(F.concat(s, F.array(x))))
+
+
 def deduplicate(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The input rows without the chunks of reported runs that an earlier document keeps."""
-    spans = duplicate_runs(documents, rule).groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("removed")).alias("_spans"))
+    """The input rows without the parts of reported passages that an earlier place keeps."""
+    spans = duplicate_passages(documents, rule).groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("removed")).alias("_spans"))
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_spans")
     columns = documents.columns
     rows = carried(documents, documents["text"].alias("text")).join(spans, same_key("_id", "_mark"), "left")
-    ordered = F.array_sort(F.array_distinct("_spans"))
+    ordered = joined(F.array_sort(F.array_distinct("_spans")))
     raw = F.encode("text", "UTF-8")
     # The bytes before each span, and those behind the last one.
     before = F.transform(

@@ -220,3 +220,38 @@ def test_deduplicate_keeps_the_first_document_and_all_other_bytes(documents, cor
     assert texts[5] == [before[5]] and texts[60] == [""] and texts[61] == ["", ""]
     assert texts[66] == [None] and texts[65] == [""] and texts[7] == [before[7]]
     assert len(texts[53][0]) < len(before[53]) - 200 and before[53].startswith(texts[53][0][:50])
+
+
+def test_all_passages_of_51_words_are_found_with_their_bounds(documents, make_sentence):
+    rng = random.Random(21)
+    passages = [make_sentence(rng, 51, ["a", "of", "in", "bei", "über", "passage", "chunk"]) for _ in range(300)]
+    around = lambda n=40: make_sentence(rng, n)
+    rows = [(i, f"{around()} |{p}| {around()}") for i, p in enumerate(passages)]
+    rows += [(1000 + i, f"{around(3)} <{p}> {around(50)}") for i, p in enumerate(passages)]
+    assert min(len(p) for p in passages) < 250
+    got = defaultdict(list)
+    for r in chunks.duplicate_passages(documents(rows)).collect():
+        got[r.doc_id].append((r.low, r.high, r.first_doc_id, r.other_doc_id))
+    for doc_id, text in rows:
+        p = passages[doc_id % 1000].encode()
+        low = text.encode().index(p)
+        assert got[doc_id] == [(low, low + len(p), doc_id % 1000, (doc_id + 1000) % 2000)]
+
+
+def test_short_copies_repeats_inside_and_every_stretch_of_100_bytes(documents, make_sentence):
+    rng = random.Random(22)
+    short, line = make_sentence(rng, 8), make_sentence(rng, 40)[:100]
+    rows = [(1, "two words"), (2, "two words"), (3, short), (4, short), (5, f"{make_sentence(rng, 30)} | {short}"), (2, "two words")]
+    rows += [(6, f"{line} ! {make_sentence(rng, 60)} # {line}"), (7, "a" * 3000), (8, "a" * 2000), (9, ""), (None, None)]
+    for i in range(200):
+        stretch = "".join(rng.choice("abcdefgh") for _ in range(100))
+        rows += [(100 + i, f"{make_sentence(rng, 9)}({stretch}){make_sentence(rng, 9)}"), (400 + i, f"[{stretch}]")]
+    got = {}
+    for r in chunks.duplicate_passages(documents(rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.low, r.high, r.first_doc_id, r.other_doc_id))
+    assert got[1] == [(0, 9, 1, 2)] and got[2] == [(0, 9, 1, 1)] and got[3] == [(0, len(short.encode()), 3, 4)] and 5 not in got
+    assert sorted(x[2:] for x in got[6]) == [(6, 6)] * 2 and got[7] == [(0, 3000, 7, 8)] and got[8] == [(0, 2000, 7, 7)]
+    for doc_id, text in rows:
+        if doc_id is not None and doc_id >= 100:
+            low = text.encode().index(b"(" if doc_id < 400 else b"[") + 1
+            assert [x[:2] for x in got[doc_id]] == [(low, low + 100)]
