@@ -14,8 +14,9 @@ from counts of fine bins, so a hot source is only ever counted, and results do
 not depend on the order of rows. Distances use a Cholesky factor written out as
 column arithmetic on one row per group.
 
-Groups with fewer than ``least_rows`` rows are estimated together by language,
-and if still too few, all together. ``floors`` are standard deviations added to
+A source with fewer than ``least_rows`` rows is judged by an estimate from all rows
+of its language, large sources included, and if those are still too few, by one
+from all rows. Each row gets one verdict. ``floors`` are standard deviations added to
 every measure, so that a measure that hardly varies in a group cannot reject
 ordinary texts.
 
@@ -170,17 +171,21 @@ def log_bin(value: Column) -> Column:
 
 
 def with_groups(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Add the estimation group ``g`` to the rows that passed the limits."""
+    """Add ``g``, the group that judges a row, and ``feeds``, the groups that its source helps to estimate."""
     name = lambda c: F.coalesce(F.col(c), F.lit(""))
     rows = rows.withColumns({"_lang": name("lang"), "_source": name("source")})
     sizes = rows.where(~F.col("base_failed")).groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("n"))
-    rest = sizes.where(F.col("n") < rule.least_rows).groupBy("_lang").agg(F.sum("n").alias("n_lang"))
+    sizes = materialize(sizes, "sizes")
+    langs = sizes.groupBy("_lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
+    few = langs.agg(F.coalesce(F.max(F.col("n_lang") < rule.least_rows), F.lit(False)).alias("few"))
     label = lambda level, *parts: F.concat_ws("\u0001", F.lit(level), *parts)
-    groups = sizes.join(rest, "_lang", "left").select(
+    enough = F.col("n") >= rule.least_rows
+    own, lang, whole = label("0", F.col("_lang"), F.col("_source")), label("1", F.col("_lang")), label("2")
+    by_lang = (F.col("n_lang") >= rule.least_rows) & (F.col("least") < rule.least_rows)
+    groups = sizes.join(langs, "_lang").crossJoin(F.broadcast(few)).select(
         "_lang", "_source",
-        F.when(F.col("n") >= rule.least_rows, label("0", F.col("_lang"), F.col("_source")))
-        .when(F.col("n_lang") >= rule.least_rows, label("1", F.col("_lang")))
-        .otherwise(label("2")).alias("g"),
+        F.when(enough, own).when(F.col("n_lang") >= rule.least_rows, lang).otherwise(whole).alias("g"),
+        F.array_compact(F.array(F.when(enough, own), F.when(by_lang, lang), F.when(F.col("few"), whole))).alias("feeds"),
     )
     groups = small(materialize(groups, "groups"))
     return rows.join(groups, ["_lang", "_source"], "left").drop("_lang", "_source")
@@ -226,7 +231,7 @@ def verdicts(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     stored = materialize(with_statistics(documents, rule), "statistics")
     rows = stored.select("*", *[m.alias(name) for m, name in zip(measures(), MEASURES, strict=True)])
     rows = materialize(with_groups(rows, rule), "measured")
-    found = small(estimates(rows.where(~F.col("base_failed")).select("g", *MEASURES), rule))
+    found = small(estimates(rows.where(~F.col("base_failed")).select(F.explode("feeds").alias("g"), *MEASURES), rule))
     distance = F.when(~F.col("base_failed"), squared_distance() / F.col("scale"))
     return (
         rows.join(found, "g", "left")

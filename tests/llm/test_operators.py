@@ -393,6 +393,23 @@ def test_statistics_and_distances(documents, corpus, make_sentence):
     assert quality.keep_good(documents([(1, None), (2, "short")])).collect() == []
 
 
+def test_small_sources_are_judged_by_all_rows_of_their_language(documents, make_sentence):
+    rng = random.Random(15)
+    good = lambda: "\n".join(make_sentence(rng, 12) for _ in range(rng.randint(6, 20)))
+    rows = [(i, good(), "en", "big") for i in range(150)]
+    rows += [(200 + i, good().replace(" ", "### "), "en", "bad") for i in range(6)] + [(210 + i, good(), "en", "few") for i in range(6)]
+    rows += [(220, good().replace(" ", "### "), "xx", "bad"), (221, good(), None, None)]
+    got = {r.doc_id: r for r in quality.verdicts(documents(rows)).collect()}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    plain = lambda r: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_lines)
+    for judged, by in (([*range(150)], [*range(150)]), ([*range(200, 206), *range(210, 216)], [d for d, _, lang, _ in rows if lang == "en"]),
+                       ([220, 221], sorted(got))):
+        distances = dict(zip(by, brute_verdicts([plain(got[d]) for d in by], quality.Rule()), strict=True))
+        assert [got[d].distance for d in judged] == pytest.approx([distances[d] for d in judged], rel=1e-6)
+    assert {d for d, r in got.items() if not r.kept} >= {*range(200, 206), 220}
+    assert all(got[d].kept for d in [*range(210, 216), 221])
+
+
 # Sharding
 
 
