@@ -5,7 +5,9 @@ templates. Terms are weighted by their document frequency over all lines of the
 corpus, counted in ``BUCKETS`` hashed counters, so the table that tasks need has a
 fixed size. A line can only reach the threshold if it holds one of a template's
 heavier terms (by the Cauchy-Schwarz bound); texts without any are passed by, and
-nothing is lost.
+nothing is lost. ``licences`` also slides windows of each template's length over
+the terms of the text, across line breaks, wherever a heavy term stands, so notices
+that are wrapped or share a line with other words count as well.
 
 A file without a licence of its own takes that of the nearest directory above it
 that holds a licence file: its ancestors are joined to the directories' licences
@@ -56,7 +58,28 @@ TEMPLATES = {
     ],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or any later version",
+    ],
+    "LGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",
+        "Licensed under the GNU Lesser General Public License, version 3",
+    ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",
+        "Licensed under the GNU Affero General Public License, version 3",
+    ],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License, Version 2.0"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License"],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Licensed under the ISC License"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain"],
 }
+for _name, _texts in TEMPLATES.items():
+    _texts.append(f"SPDX-License-Identifier: {_name}")
 
 
 @dataclass(frozen=True)
@@ -130,10 +153,69 @@ def heavy_terms(vector: dict[str, float], share: float) -> set[str]:
     return found
 
 
-def scan(documents: DataFrame, rule: Rule = Rule(), templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
-    """One stored row per document: doc_id, mark, path, licence and score of its best notice, whole_licence, whole_score."""
+class Windows:
+    """The best cosine of a template to a stretch of as many terms as the template has."""
+
+    def __init__(self, weights: Weights, texts: list[tuple[str, str]], least: float) -> None:
+        self.weights, self.least, self.forms, self.heavy = weights, least, [], {}
+        for name, text in texts:
+            terms = TERM.findall(text.lower())
+            form = weights.vector(terms)
+            for term in heavy_terms(form, least):
+                self.heavy.setdefault(term, []).append(len(self.forms))
+            self.forms.append((name, len(terms), form, norm(form)))
+
+    def best(self, terms: list[str]) -> tuple[float, str | None]:
+        spots: dict[int, list[int]] = {}
+        for i, term in enumerate(terms):
+            for k in self.heavy.get(term, ()):
+                spots.setdefault(k, []).append(i)
+        found: tuple[float, str | None] = (0.0, None)
+        for k in sorted(spots):
+            name, length, form, size = self.forms[k]
+            low = high = -1
+            for spot in [*spots[k], None]:
+                if spot is not None and low >= 0 and spot - length < high:
+                    high = spot + length
+                    continue
+                if low >= 0:
+                    score = self.slide(terms[low:high], length, form, size)
+                    if score > found[0]:
+                        found = (score, name)
+                if spot is not None:
+                    low, high = max(0, spot - length + 1), spot + length
+        return found
+
+    def slide(self, terms: list[str], length: int, form: dict[str, float], size: float) -> float:
+        # No window can be closer than one that has all of the stretch's terms of the template.
+        if math.sqrt(sum(form[t] ** 2 for t in set(terms) & form.keys())) < self.least * size:
+            return 0.0
+        idf = {t: float(self.weights.idf[bucket(t)]) for t in set(terms)}
+        counts: Counter[str] = Counter()
+        dot = square = most = 0.0
+        weight = lambda t: (1 + math.log(counts[t])) * idf[t] if counts[t] else 0.0
+        for i, term in enumerate(terms):
+            for t, change in ((term, 1), *(((terms[i - length], -1),) if i >= length else ())):
+                old = weight(t)
+                counts[t] += change
+                new = weight(t)
+                square += new * new - old * old
+                dot += (new - old) * form.get(t, 0.0)
+            if i + 1 >= min(length, len(terms)) and square > 0:
+                most = max(most, dot / (math.sqrt(square) * size))
+        return most
+
+
+def scan(
+    documents: DataFrame, rule: Rule = Rule(), templates: dict[str, list[str]] = TEMPLATES, across_lines: bool = False
+) -> DataFrame:
+    """One stored row per document: doc_id, mark, path, licence and score of its best notice, whole_licence, whole_score.
+
+    A notice is a line, or with ``across_lines`` also a window of terms.
+    """
     weights = Weights(materialize(line_frequencies(documents), "frequencies"))
     forms = [(name, weights.vector(TERM.findall(text.lower()))) for name, texts in sorted(templates.items()) for text in texts]
+    windows = Windows(weights, [(name, text) for name, texts in sorted(templates.items()) for text in texts], rule.notice)
     heavy = sorted(set().union(*[heavy_terms(v, min(rule.notice, rule.file)) for _, v in forms]))
     schema = pa.schema([
         ("doc_id", pa.int64()), ("path", pa.string()), ("licence", pa.string()), ("score", pa.float64()),
@@ -162,7 +244,13 @@ def scan(documents: DataFrame, rule: Rule = Rule(), templates: dict[str, list[st
                             got = best(TERM.findall(part))
                             if got[0] > line[0]:
                                 line = got
-                    whole = best(TERM.findall(low))
+                    terms = TERM.findall(low)
+                    whole = best(terms)
+                    if across_lines:
+                        got = windows.best(terms)
+                        # Sums that slide end a little off; an equal line keeps its template.
+                        if got[0] > line[0] + 1e-9:
+                            line = got
                 rows.append((*(line[::-1] if line[0] >= rule.notice else (None, None)),
                              *(whole[::-1] if whole[0] >= rule.file else (None, None))))
             yield pa.RecordBatch.from_arrays(
@@ -186,7 +274,7 @@ def licences(documents: DataFrame, rule: Rule = Rule(), templates: dict[str, lis
 
     ``documents`` has doc_id, path and text.
     """
-    found = scan(documents, rule, templates)
+    found = scan(documents, rule, templates, across_lines=True)
     files = found.where(F.col("whole_licence").isNotNull() & F.col("path").isNotNull()).select(
         F.array_join(F.slice(F.split("path", "/"), F.lit(1), F.size(F.split("path", "/")) - 1), "/").alias("directory"),
         "whole_licence", "whole_score", "doc_id",

@@ -145,6 +145,28 @@ def test_skipping_light_texts_loses_nothing(spark, make_sentence):
         assert (got[doc_id].whole_score or 0) == pytest.approx(whole if whole >= rule.file else 0, abs=1e-5)
 
 
+def test_wrapped_and_embedded_notices_are_found(spark, make_sentence):
+    rng = random.Random(3)
+    plain = lambda n=60: make_sentence(rng, n)
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n"
+           "# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.")
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    notices = [
+        ("GPL-3.0", gpl.format("", 3)), ("GPL-2.0", gpl.format("", 2)), ("LGPL-3.0", gpl.format("Lesser ", 3)), ("AGPL-3.0", gpl.format("Affero ", 3)),
+        ("BSD-3-Clause", bsd), ("MIT", "Copyright 2020 Foo Example Inc. Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
+        ("MIT", "Copyright (c) 2021 Jane Doe. Released under the MIT License. See LICENSE.txt for details."),
+        ("Apache-2.0", plain(30) + " Licensed under the Apache License, Version 2.0"), ("ISC", "Licensed under the\nISC License"),
+        ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed"),
+        (None, "the license of a driver and the version of the work"), (None, "free software is used in binary forms and in source"),
+    ]
+    rows = [(i, f"d{i}/x", f"{plain()}\n{text}\n{plain()}") for i, (_, text) in enumerate(notices)]
+    rows += [(100 + i, f"p{i}/x", "\n".join(plain(12) for _ in range(10))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.licence, r.origin) for r in licenses.licences(df).collect()}
+    assert [got[i] for i in range(len(notices))] == [(name, "own" if name else "none") for name, _ in notices]
+    assert all(got[100 + i] == (None, "none") for i in range(40))
+
+
 # Mixing
 
 
