@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pytest
@@ -194,7 +196,7 @@ def plain_nearest(rows, k=20):
     for q, (query_id, v) in enumerate(rows):
         if query_id is None or query_id % 20:
             continue
-        scored = [(-sum(x * y for x, y in zip(v, w)), i is None, i or 0, i) for i, w in rows if i != query_id]
+        scored = [(-reduce(add, (x * y for x, y in zip(v, w))), i is None, i or 0, i) for i, w in rows if i != query_id]
         found[query_id, v] = [(i, -s) for s, _, _, i in sorted(scored, key=lambda t: t[:3])[:k]]
     return found
 
