@@ -104,21 +104,33 @@ def impute_by_bucket(df: DataFrame, table: Mapping[str, float], flag: str) -> Da
     )
 
 
+def sample_place(key: str, seed: int | None) -> Column:
+    """Where a row stands in the sample's order: by a seeded hash of its key, or by key without a seed."""
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))) if seed is not None else F.col(key)
+    return F.struct(order.alias("o"), F.col(key).alias("k"))
+
+
+def in_sample() -> Column:
+    return needs_value() & (F.col("extent") == UNKNOWN)
+
+
+def sample_cut(df: DataFrame, key: str, cap: int, seed: int | None = 42) -> DataFrame:
+    """One row with the last place ``cut`` of the capped sample; NULL without needy rows."""
+    places = df.where(in_sample()).select(sample_place(key, seed).alias("place"))
+    return places.orderBy("place").limit(cap).agg(F.max("place").alias("cut"))
+
+
 def impute_capped_sample(
-    df: DataFrame, key: str, flag: str, cap: int, value: float, seed: int | None = 42
+    df: DataFrame, key: str, flag: str, cap: int, value: float, seed: int | None = 42, cut: Column | None = None
 ) -> DataFrame:
     """At most ``cap`` needy rows of unknown extent get a value: the first by a seeded hash, or by key
     when no seed is given.
 
-    The cut is one scalar found by a top-``cap`` pass over two columns; no join follows.
+    The cut is one scalar found by a top-``cap`` pass over two columns; no join
+    follows. A load in parts brings the ``cut`` of the whole, which no part knows.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))) if seed is not None else F.col(key)
-    eligible = needs_value() & (F.col("extent") == UNKNOWN)
-    place = F.struct(order.alias("o"), F.col(key).alias("k"))
-    cut = (
-        df.where(eligible).select(place.alias("place")).orderBy("place").limit(cap).agg(F.max("place"))
-    ).scalar()
-    hit = values.true_only(eligible & (place <= cut))
+    cut = sample_cut(df, key, cap, seed).scalar() if cut is None else cut
+    hit = values.true_only(in_sample() & (sample_place(key, seed) <= cut))
     kept = F.col(flag) if flag in df.columns else F.lit(0)
     return df.withColumns(
         {

@@ -1,16 +1,25 @@
 """Near-duplicate names by edit distance, without comparing all pairs.
 
-Candidates come from an equi-join on string segments. A string cut into k+1
-segments keeps at least one of them unchanged under k edits, and that segment can
-only have moved a little, so the partner's substrings of the right length in a
-narrow range of positions are enough to find every pair within distance k (the
-partition filter with multi-match-aware positions known from the literature on
-edit-distance joins). The filter loses no pair; each candidate is then verified.
+Two indexes serve all searches, and neither loses a pair.
+
+*Edit keys*, for up to two edits. A key of a name is what is left when some characters
+are deleted and some are replaced by a mark. Two names within k edits share a key
+for which deletions on both sides and marks add up to their distance, and a shared
+key with such a sum proves the distance. So a match needs no verification, and who
+wants the nearest or the first partner only needs the first name of each key: a
+name meets as many rows as it has keys, however many names resemble it.
+
+*Prefix tree*, for more edits or long names. Names hang below their prefixes of
+growing length. A search goes down level by level by joins and leaves out nodes
+that no prefix of the wanted name is close to, whose names are all too short or too
+long, or whose first name comes after a partner known already.
+
+Searches run in rounds: who is matched leaves, so only the rest goes on to more edits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -18,178 +27,252 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from casebook.operators.ordering import first_per_key
 from casebook.session import materialize
 
-Radius = Callable[[Column], Column]
+#: Stands for a replaced character in a key. A noncharacter; in names it counts as U+FFFD.
+MARK = "\uffff"
+#: A name has about 2 n² keys for two edits; longer ones are found in the tree.
+KEYED = 32
+#: Prefix lengths of the tree's levels.
+CUTS = (1, 3, 5, 8, 12, 18)
 
 
-def _cut(length: Column, i: Column, parts: Column) -> Column:
-    return F.floor(i * length / parts)
+# Edit keys
 
 
-def _segments(text: Column, radius: Radius) -> Column:
-    """[(length, part, segment)] of a string cut evenly into radius+1 parts."""
-    n = F.length(text)
-    parts = radius(n) + 1
+def edit_keys(text: Column, k: int) -> Column:
+    """Distinct (key, gone, marks): up to k characters deleted or marked."""
+    name = F.translate(text, MARK, "\ufffd")
+    n = F.length(name)
+    none = F.array().cast("array<struct<key:string,gone:int,marks:int>>")
 
-    def part(i):
-        start, end = _cut(n, i, parts), _cut(n, i + 1, parts)
-        return F.struct(
-            n.alias("n"), i.cast("int").alias("part"), F.substring(text, start + 1, end - start).alias("segment")
-        )
+    def piece(first: Column, last: Column) -> Column:
+        return F.substring(name, first, last - first + 1)
 
-    return F.when(
-        (parts > 0) & (n >= parts), F.transform(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long")), part)
-    )
+    def entry(key: Column, gone: int, marks: int) -> Column:
+        return F.struct(key.alias("key"), F.lit(gone).alias("gone"), F.lit(marks).alias("marks"))
+
+    def once(i: Column) -> Column:
+        before, after = piece(F.lit(1), i - 1), piece(i + 1, n)
+        return F.array(entry(F.concat(before, after), 1, 0), entry(F.concat(before, F.lit(MARK), after), 0, 1))
 
+    def twice(i: Column) -> Column:
+        before = piece(F.lit(1), i - 1)
 
-def _probes(text: Column, low: Column, high: Column, radius: Radius) -> Column:
-    """[(length, part, segment)] a partner of any length in low..high may hold unchanged."""
-    m = F.length(text)
-
-    def per_length(n):
-        k = radius(n)
-
-        def per_part(i):
-            start = _cut(n, i, k + 1)
-            size = _cut(n, i + 1, k + 1) - start
-            first = F.greatest(F.lit(0).cast("long"), start - i, start + (m - n) - (k - i))
-            last = F.least(m - size, start + i, start + (m - n) + (k - i))
-            spots = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-            return F.transform(
-                spots,
-                lambda p: F.struct(
-                    n.cast("int").alias("n"),
-                    i.cast("int").alias("part"),
-                    F.substring(text, p + 1, size).alias("segment"),
-                ),
+        def at(j: Column) -> Column:
+            between, after = piece(i + 1, j - 1), piece(j + 1, n)
+            return F.array(
+                entry(F.concat(before, between, after), 2, 0),
+                entry(F.concat(before, between, F.lit(MARK), after), 1, 1),
+                entry(F.concat(before, F.lit(MARK), between, after), 1, 1),
+                entry(F.concat(before, F.lit(MARK), between, F.lit(MARK), after), 0, 2),
             )
 
-        return F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), k.cast("long")), per_part))
+        later = F.when(i < n, F.transform(F.sequence(i + 1, n), at))
+        return F.coalesce(F.flatten(later), none)
 
-    lengths = F.when(low <= high, F.sequence(low.cast("long"), high.cast("long"))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    return F.array_distinct(F.flatten(F.transform(lengths, per_length)))
+    spots = F.when(n > 0, F.sequence(F.lit(1), n))
+    found = F.array(entry(name, 0, 0))
+    for step in (once, twice)[:k]:
+        found = F.concat(found, F.coalesce(F.flatten(F.transform(spots, step)), none))
+    return F.array_distinct(found)
 
 
-def segment_candidates(
-    left: DataFrame,
-    right: DataFrame,
-    radius: Radius,
-    low: Callable[[Column], Column],
-    high: Callable[[Column], Column],
-    block: Sequence[str] = (),
-) -> DataFrame:
-    """Pairs (left columns, right columns) that may lie within the radius of the right string.
+def keyed(df: DataFrame, text: str, k: int, longest: int) -> DataFrame:
+    """One row per edit key of every name of up to ``longest`` characters."""
+    return df.where(F.length(text) <= longest).select("*", F.inline(edit_keys(F.col(text), k)))
 
-    Both frames hold ``block`` columns and a text column named ``l_text`` or
-    ``r_text``. ``low`` and ``high`` bound the right length for a left length;
-    right strings too short to be cut are not found here. Pairs may repeat.
+
+def _payload(right: DataFrame) -> Column:
+    """Order first, so that a minimum takes the first row."""
+    return F.struct(F.col("r_order"), F.struct(*[c for c in right.columns if c.startswith("r_")]).alias("row"))
+
+
+def best_by_keys(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
+    """(l_id, distance, place): the nearest right row within k <= 2 edits of each left row that has one, first by order.
+
+    Left names of more than ``KEYED`` characters are not looked for.
     """
-    indexed = right.select("*", F.inline(_segments(F.col("r_text"), radius)))
-    m = F.length("l_text")
-    probing = left.select("*", F.inline(_probes(F.col("l_text"), low(m), high(m), radius)))
-    return probing.join(indexed, [*block, "n", "part", "segment"]).drop("n", "part", "segment")
+    index = (
+        keyed(right.select("*", _payload(right).alias("place")), "r_text", k, KEYED + k)
+        .groupBy(*block, "key", "marks", F.col("gone").alias("added"))
+        .agg(F.min("place").alias("place"))
+    )
+    probes = keyed(left, "l_text", k, KEYED).select("l_id", *block, "key", "marks", "gone")
+    edits = F.col("gone") + F.col("added") + F.col("marks")
+    met = probes.join(index, [*block, "key", "marks"]).where(edits <= k)
+    best = met.groupBy("l_id").agg(F.min(F.struct(edits.alias("distance"), F.col("place"))).alias("hit"))
+    return best.select("l_id", "hit.distance", "hit.place")
 
 
-def _fixed(k: int) -> Radius:
-    return lambda n: F.lit(k).cast("long")
+def pairs_by_keys(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
+    """All pairs within k <= 2 edits with a left name of up to ``KEYED`` characters, a pair once per shared key."""
+    index = keyed(right, "r_text", k, KEYED + k).withColumnRenamed("gone", "added")
+    probes = keyed(left, "l_text", k, KEYED)
+    met = probes.join(index, [*block, "key", "marks"]).where(F.col("gone") + F.col("added") + F.col("marks") <= k)
+    return met.drop("key", "marks", "gone", "added")
 
 
-def _swap(df: DataFrame) -> DataFrame:
-    """Exchange the l_ and r_ prefixes of all columns."""
-    other = {"l_": "r_", "r_": "l_"}
-    return df.toDF(*[other.get(c[:2], c[:2]) + c[2:] for c in df.columns])
+# Prefix tree
 
 
-def pairs_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
-    """Pairs within Levenshtein distance k where at least one string is longer than k.
+def prefix_tree(right: DataFrame, block: Sequence[str] = ()) -> DataFrame:
+    """Nodes (block, level, parent, node) with the first order and the shortest and longest name below; stored."""
+    steps = [
+        F.struct(
+            F.lit(level).alias("level"),
+            F.substring("r_text", 1, CUTS[level - 1] if level else 0).alias("parent"),
+            F.substring("r_text", 1, cut).alias("node"),
+        )
+        for level, cut in enumerate(CUTS)
+    ]
+    paths = right.select(*block, "r_order", F.length("r_text").alias("_n"), F.inline(F.array(*steps)))
+    nodes = paths.groupBy(*block, "level", "parent", "node").agg(
+        F.min("r_order").alias("least"), F.min("_n").alias("shortest"), F.max("_n").alias("longest")
+    )
+    return materialize(nodes, "tree")
 
-    Two strings of length k or less are always within k of each other; callers
-    treat them by aggregation instead of listing the pairs.
-    """
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        near = F.levenshtein("l_text", "r_text", k)
-        return pairs.where(near >= 0)
+def _within(one: Column, two: Column, radius: Column) -> Column:
+    return F.call_function("levenshtein", one, two, radius) >= 0
+
+
+def _reachable(text: Column, node: Column, cut: int, radius: Column) -> Column:
+    """Whether some prefix of the text, all of it if the node is a whole name, is within the radius of the node."""
+    size = F.length(node)
+    first = F.greatest(F.lit(0), size - radius)
+    last = F.least(F.length(text), size + radius)
+    some = F.exists(
+        F.when(first <= last, F.sequence(first, last)), lambda j: _within(F.substring(text, F.lit(1), j), node, radius)
+    )
+    return F.coalesce(F.when(size < cut, _within(text, node, radius)).otherwise(some), F.lit(False))
+
 
-    def candidates(one: DataFrame, two: DataFrame) -> DataFrame:
-        return segment_candidates(
-            one, two, _fixed(k), lambda m: F.greatest(F.lit(k + 1), m - k), lambda m: m + k, block
+def tree_candidates(
+    left: DataFrame, right: DataFrame, tree: DataFrame, block: Sequence[str] = (), before: bool = False
+) -> DataFrame:
+    """Pairs within ``_radius`` edits, a column of the left rows; with ``before``, right rows ordered below ``_before`` only."""
+    text, radius, n = F.col("l_text"), F.col("_radius"), F.length("l_text")
+    open_ = left.withColumn("_at", F.lit(""))
+    for level, cut in enumerate(CUTS):
+        nodes = tree.where(F.col("level") == level).drop("level").withColumnRenamed("parent", "_at")
+        good = (n >= F.col("shortest") - radius) & (n <= F.col("longest") + radius)
+        if before:
+            good = good & (F.col("least") < F.col("_before"))
+        open_ = (
+            open_.join(nodes, [*block, "_at"]).where(good & _reachable(text, F.col("node"), cut, radius))
+            .drop("_at", "least", "shortest", "longest").withColumnRenamed("node", "_at")
         )
+    leaves = right.withColumn("_at", F.substring("r_text", 1, CUTS[-1]))
+    met = open_.join(leaves, [*block, "_at"]).where(_within(text, F.col("r_text"), radius))
+    if before:
+        met = met.where(F.col("r_order") < F.col("_before"))
+    return met.drop("_at", "_radius", "_before")
 
-    long_right = candidates(left, right)
-    short_right = right.where(F.length("r_text") <= k)
-    long_left = left.where(F.length("l_text") > k)
-    turned = _swap(candidates(_swap(short_right), _swap(long_left)))
-    return verified(long_right.unionByName(turned))
 
+# Searches
 
-def _short_first(right: DataFrame, k: int, block: Sequence[str]) -> DataFrame:
-    """Per block, the first right row whose string has length k or less."""
-    place = F.struct(F.col("r_order"), F.struct(*[F.col(c) for c in right.columns if c.startswith("r_")]).alias("row"))
-    grouped = right.where(F.length("r_text") <= k).groupBy(*block)
-    return grouped.agg(F.min(place).alias("_short"))
+
+def pairs_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
+    """All pairs within Levenshtein distance k; equal rows of an input give their pairs once."""
+    if k > 2:
+        reach = left.withColumn("_radius", F.lit(k))
+        return tree_candidates(reach, right, prefix_tree(right, block), block).distinct()
+    long = left.where(F.length("l_text") > KEYED)
+    found = pairs_by_keys(left, right, k, block).distinct()
+    if long.isEmpty():
+        return found
+    far = tree_candidates(long.withColumn("_radius", F.lit(k)), right, prefix_tree(right, block), block)
+    return found.unionByName(far.distinct())
 
 
 def nearest_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
     """For every left row the right row at the smallest distance up to k, first by ``r_order``.
 
-    Left: ``l_id``, ``l_text`` and block columns; an id may occur in several
-    blocks. Right: ``r_order``, ``r_text``, further ``r_`` columns and block
-    columns. The radius grows from 0 to k and only unmatched rows go on: a
-    match at radius d is exactly d away, so only the first one counts, and two
-    strings of length d or less need no comparison at all. Returns l_id,
-    distance and the right columns.
+    Left: ``l_id``, ``l_text`` and block columns; an id may occur in several blocks.
+    Right: ``r_order``, ``r_text``, further ``r_`` columns and block columns. Two
+    edits are settled by keys in one step; the tree serves the rows that are left,
+    with half of the remaining edits first. Returns l_id, distance and the right columns.
     """
-    payload = [c for c in right.columns if c.startswith("r_")]
-    place = F.struct(F.col("r_order"), F.struct(*[F.col(c) for c in payload]).alias("row"))
-    open_rows, levels = left, None
-    for d in range(k + 1):
-        if d == 0:
-            same = [left["l_text"] == right["r_text"], *[left[b].eqNullSafe(right[b]) for b in block]]
-            pairs = left.join(right, same).select("l_id", place.alias("place"))
+    near = min(k, 2)
+    place = _payload(right).alias("place")
+    tree, found, open_ = None, None, left
+    for radius in sorted({near, (near + k) // 2, k} - {0} or {0}):
+        if radius == near:
+            hits = best_by_keys(open_, right, near, block)
+            whole = materialize(open_.join(hits, "l_id", "left"), "near")
         else:
-            pairs = pairs_within(open_rows, right, d, block).select("l_id", place.alias("place"))
-            short = open_rows.where(F.length("l_text") <= d)
-            first = _short_first(right, d, block)
-            if block:
-                short = short.join(first, list(block)).select("l_id", F.col("_short").alias("place"))
-            else:
-                short = short.select("l_id", first.scalar().alias("place"))
-            pairs = pairs.unionByName(short.where(F.col("place").isNotNull()))
-        best = pairs.groupBy("l_id").agg(F.min("place").alias("place"))
-        level = materialize(open_rows.join(best, "l_id", "left"), f"within{d}")
-        hits = level.where(F.col("place").isNotNull()).select("l_id", F.lit(d).alias("distance"), "place")
-        levels = hits if levels is None else levels.unionAll(hits)
-        open_rows = level.where(F.col("place").isNull()).drop("place")
-        if d < k and open_rows.isEmpty():
+            tree = tree or prefix_tree(right, block)
+            met = tree_candidates(open_.withColumn("_radius", F.lit(radius)), right, tree, block)
+            distance = F.levenshtein("l_text", "r_text").alias("distance")
+            best = met.groupBy("l_id").agg(F.min(F.struct(distance, place)).alias("hit"))
+            hits = best.select("l_id", "hit.distance", "hit.place")
+            whole = materialize(open_.join(hits, "l_id", "left"), f"within{radius}")
+        matched = whole.where(F.col("place").isNotNull()).select("l_id", "distance", "place").distinct()
+        found = matched if found is None else found.unionAll(matched)
+        open_ = whole.where(F.col("place").isNull()).drop("place", "distance")
+        if radius < k and open_.isEmpty():
             break
-    found = levels.groupBy("l_id").agg(F.min(F.struct("distance", "place")).alias("hit"))
-    return found.select("l_id", F.col("hit.distance").alias("distance"), "hit.place.row.*")
+    if k <= 2:
+        # Names too long for keys have not been looked for yet.
+        long = left.where(F.length("l_text") > KEYED).withColumn("_radius", F.lit(k))
+        met = tree_candidates(long, right, prefix_tree(right, block), block)
+        best = met.groupBy("l_id").agg(F.min(F.struct(F.levenshtein("l_text", "r_text").alias("distance"), place)).alias("hit"))
+        found = found.unionAll(best.select("l_id", "hit.distance", "hit.place"))
+    return found.select("l_id", "distance", "place.row.*")
 
 
-def cluster_names(names: DataFrame, k: int = 4) -> DataFrame:
+def first_within(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    """(l_id, place): for every left row the first right row by ``r_order`` within k edits.
+
+    Keys give a partner within two edits; that partner's own partner is within four,
+    so both bound the order of what the tree still has to look for.
+    """
+    near = min(k, 2)
+    place = _payload(right)
+    # The first partner by order, whatever its distance: the key's first row, not the nearest one.
+    index = keyed(right.select("*", place.alias("place")), "r_text", near, KEYED + near)
+    index = index.groupBy("key", "marks", F.col("gone").alias("added")).agg(F.min("place").alias("place"))
+    probes = keyed(left, "l_text", near, KEYED).select("l_id", "key", "marks", "gone")
+    met = probes.join(index, ["key", "marks"]).where(F.col("gone") + F.col("added") + F.col("marks") <= near)
+    first = met.groupBy("l_id").agg(F.min("place").alias("place"))
+    known = materialize(left.join(first, "l_id", "left"), "first")
+    if k >= 2 * near and near:
+        hop = known.where(F.col("place").isNotNull()).select(
+            F.col("l_text").alias("_text"), F.col("place").alias("_place")
+        ).groupBy("_text").agg(F.min("_place").alias("_place"))
+        known = known.join(hop, F.col("place.row.r_text") == F.col("_text"), "left").withColumn(
+            "place", F.least("place", "_place")
+        ).drop("_text", "_place")
+    rest = known.withColumns(
+        {"_radius": F.lit(k), "_before": F.coalesce("place.r_order", F.lit((1 << 63) - 1))}
+    )
+    if k == near:
+        rest = rest.where(F.length("l_text") > KEYED)
+    earlier = tree_candidates(rest.drop("place"), right, prefix_tree(right), before=True)
+    found = known.select("l_id", "place").unionAll(earlier.select("l_id", place.alias("place")))
+    return found.where(F.col("place").isNotNull()).groupBy("l_id").agg(F.min("place").alias("place"))
+
+
+def cluster_names(names: DataFrame, k: int = 4, aliases: DataFrame | None = None) -> DataFrame:
     """Map every name to the first name within distance k, itself included; 'unknown' stays apart.
 
-    ``names`` holds (name, ordinal) with distinct names, aliases applied. Returns (name, cluster).
+    ``names`` holds (name, ordinal) with distinct names. ``aliases`` holds (alias,
+    name): an alias is compared as the name it stands for, which has the ordinal of
+    the first of its spellings. Returns (name, cluster) for every given name.
     """
+    given = names
+    if aliases is not None:
+        spelled = aliases.select(F.col("alias").alias("name"), F.col("name").alias("_stands_for"))
+        given = names.join(spelled, "name", "left").withColumn("_as", F.coalesce("_stands_for", "name")).drop("_stands_for")
+        names = given.groupBy(F.col("_as").alias("name")).agg(F.min("ordinal").alias("ordinal"))
     unknown = names.where(F.col("name") == "unknown").select("name", F.col("name").alias("cluster"))
-    names = names.where(F.col("name") != "unknown")
+    names = materialize(names.where(F.col("name") != "unknown"), "names")
     left = names.select(F.col("name").alias("l_id"), F.col("name").alias("l_text"))
     right = names.select(F.col("ordinal").alias("r_order"), F.col("name").alias("r_text"))
-    near = pairs_within(left, right, k).select("l_id", F.struct("r_order", "r_text").alias("place"))
-    itself = names.select(F.col("name").alias("l_id"), F.struct("ordinal", "name").alias("place"))
-    first_short = right.where(F.length("r_text") <= k).agg(F.min(F.struct("r_order", "r_text"))).scalar()
-    short = (
-        left.where(F.length("l_text") <= k).select("l_id", first_short.alias("place"))
-    )
-    typed = "struct<o:bigint,t:string>"
-    every = None
-    for part in (near, itself, short):
-        part = part.select("l_id", F.col("place").cast(typed).alias("place"))
-        every = part if every is None else every.unionAll(part)
-    best = every.groupBy("l_id").agg(F.min("place").alias("place"))
-    return best.select(F.col("l_id").alias("name"), F.col("place.t").alias("cluster")).unionAll(unknown)
+    best = first_within(left, right, k)
+    found = best.select(F.col("l_id").alias("name"), F.col("place.row.r_text").alias("cluster")).unionAll(unknown)
+    if aliases is None:
+        return found
+    return given.select("name", "_as").join(found.withColumnRenamed("name", "_as"), "_as").drop("_as")
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
@@ -227,29 +310,21 @@ def similar_pairs(names: DataFrame, threshold: float) -> DataFrame:
 
     The ratio bounds the edits by the lengths: at most (1-t)(la+lb), and the
     lengths differ by no more than that, so a string of length n has a partner
-    only within n·(1-t)·2/t' edits. The segment filter uses that bound.
+    only within n·(1-t)·2/t' edits. The tree search uses that bound.
     """
     share = 1 - threshold / 100.0
     widest = (1 + share) / (1 - share)
     slack = 1e-9
 
-    def radius(n: Column) -> Column:
-        return F.floor(share * (n + n * widest) + slack)
-
-    left = names.select(F.col("name").alias("l_text"))
-    right = names.select(F.col("name").alias("r_text"))
-    pairs = segment_candidates(
-        left,
-        right,
-        radius,
-        lambda m: F.greatest(F.lit(1), F.ceil(m / widest - slack)),
-        lambda m: F.floor(m * widest + slack),
-    )
+    right = names.select(F.col("name").alias("r_text"), F.col("ordinal").alias("r_order"))
+    length = F.length("name")
+    radius = F.floor(share * (length + length * widest) + slack).cast("int")
+    left = names.select(F.col("name").alias("l_text"), radius.alias("_radius"))
+    pairs = tree_candidates(left, right, prefix_tree(right))
     # Levenshtein distance is never above the edits without replacement that the ratio allows.
     edits = F.floor(share * (F.length("l_text") + F.length("r_text")) + slack)
     return (
         pairs.where(F.col("l_text") != F.col("r_text"))
-        .distinct()
         .where(F.levenshtein("l_text", "r_text") <= edits)
         .where(indel_ratio(F.col("l_text"), F.col("r_text")) >= threshold)
         .select(F.col("l_text").alias("name"), F.col("r_text").alias("other"))

@@ -55,6 +55,7 @@ class CleaningRules:
     centroids: DataFrame | None = None  # (country, centroid_lat, centroid_lon)
     sample_cap: int = V.UNKNOWN_EXTENT_CAP
     sample_seed: int | None = 42  # None samples the smallest keys
+    sample_cut: tuple[str, int] | None = None  # (hash, key) of the sample's last row, for loads in parts
 
 
 def damage_without_value() -> Column:
@@ -82,8 +83,8 @@ def prepared(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(cleaned rows, rejected or suspect rows by reason)."""
+def one_per_event(raw: DataFrame, rules: CleaningRules) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Prepared rows with a key and a date, one per event, before values are imputed; and the rejected ones."""
     df = prepared(raw)
     suspects = {
         "damage_without_value": df.where(damage_without_value()),
@@ -98,7 +99,12 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataF
     total_order = [F.col(c).asc_nulls_last() for c in dates_first if c != "event_id"]
     df = C.dedupe_keep_first(df.where(F.col("event_id").isNotNull()), ["event_id"], total_order)
     df, zero_dates = C.drop_zero_dates(df)
+    return df, {**suspects, "missing_key": missing_keys, "zero_date": zero_dates}
 
+
+def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(cleaned rows, rejected or suspect rows by reason)."""
+    df, rejected = one_per_event(raw, rules)
     df = impute_property_values(df, rules)
     df = df.withColumn("propvalue_category", values.value_category(F.col("propvalue")))
     df = C.fill_missing(df, zero=["nkill", "nwound", "nkillter", "nwoundter", "nkillus", "nwoundus", "property"])
@@ -125,7 +131,7 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataF
             "unknown_group": values.flag(F.col("group_name") == "unknown"),
         }
     )
-    return df, {**suspects, "missing_key": missing_keys, "zero_date": zero_dates}
+    return df, rejected
 
 
 def impute_property_values(df: DataFrame, rules: CleaningRules) -> DataFrame:
@@ -135,6 +141,16 @@ def impute_property_values(df: DataFrame, rules: CleaningRules) -> DataFrame:
     disjoint, so the second step cannot see the first one's result.
     """
     df = C.impute_by_bucket(df, rules.extent_values, "propvalue_imputed")
+    cut = None
+    if rules.sample_cut is not None:
+        cut = F.struct(F.lit(rules.sample_cut[0]).alias("o"), F.lit(rules.sample_cut[1]).cast("long").alias("k"))
     return C.impute_capped_sample(
-        df, "event_id", "propvalue_imputed", rules.sample_cap, V.UNKNOWN_EXTENT_VALUE, rules.sample_seed
+        df, "event_id", "propvalue_imputed", rules.sample_cap, V.UNKNOWN_EXTENT_VALUE, rules.sample_seed, cut
     )
+
+
+def sample_cut(raw: DataFrame, rules: CleaningRules) -> tuple[str, int] | None:
+    """The last row of the capped sample over all of ``raw``: what a load of it in parts needs as ``sample_cut``."""
+    df = C.impute_by_bucket(one_per_event(raw, rules)[0], rules.extent_values, "propvalue_imputed")
+    cut = C.sample_cut(df, "event_id", rules.sample_cap, rules.sample_seed).first()["cut"]
+    return None if cut is None else (cut["o"], cut["k"])

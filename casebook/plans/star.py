@@ -11,7 +11,7 @@ from casebook.operators import warehouse as W
 from casebook.plans.cleaning import CleaningRules, clean
 from casebook.session import fresh_path, materialize, store
 from casebook.sources import tables
-from casebook.sources.files import replace_table
+from casebook.sources.versions import VersionedTable
 
 # Lists of the incident view that stands in for the event file.
 ATTACK_TYPES = ["1-urgent", "2-high", "3-medium", "5-low", "unknown"]
@@ -49,9 +49,9 @@ def build(cleaned: DataFrame) -> Star:
         dimensions = dict(zip(W.DIMENSIONS, pool.map(publish, W.DIMENSIONS)))
     fact = materialize(W.load_fact(cleaned, dimensions), "fact_incidents")
     flat = W.star_flat(fact, dimensions)
-    path = fresh_path(spark, "flat")
-    replace_table(flat, path, ("year",))
-    return Star(cleaned, dimensions, fact, spark.read.schema(flat.schema).parquet(path))
+    published = VersionedTable(spark, fresh_path(spark, "flat"))
+    published.replace(flat, ("year",))
+    return Star(cleaned, dimensions, fact, published.read())
 
 
 _cleaned: dict[tuple[str, str], str] = {}

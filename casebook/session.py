@@ -18,6 +18,8 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
+#: Folders of stored tables that go with their application.
+_ending: set[str] = set()
 
 
 def build_session(app_name: str = "casebook", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,9 +50,59 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app].name
 
 
+class Folder:
+    """A folder in whatever file system its path names, through the Hadoop API that Spark itself uses."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        root = self._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def names(self) -> list[str]:
+        """Names of what the folder holds; none if it is absent."""
+        here = self._at("")
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(here)) if self._fs.exists(here) else []
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self._at(name))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str) -> bool:
+        """Write a new file whole or not at all; False if it exists."""
+        draft = self._at(f".{name}-{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        done = not self._fs.exists(self._at(name)) and self._fs.rename(draft, self._at(name))
+        if not done:
+            self._fs.delete(draft, False)
+        return bool(done)
+
+    def remove(self, name: str = "") -> None:
+        self._fs.delete(self._at(name), True)
+
+    def remove_at_end(self) -> None:
+        """Remove the folder when the application's driver ends."""
+        self._fs.mkdirs(self._at(""))
+        self._fs.deleteOnExit(self._at(""))
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _ending:
+        Folder(spark, folder).remove_at_end()
+        _ending.add(folder)
+    return f"{folder}/{tag}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, tag: str) -> str:
@@ -66,3 +118,25 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     The written table survives lost executors and later scans prune its columns.
     """
     return df.sparkSession.read.schema(df.schema).parquet(store(df, tag))
+
+
+class Scratch:
+    """Stored tables that go when the block ends: ``with Scratch(spark) as keep: df = keep(df, "name")``.
+
+    For steps whose result is written before the block ends, so that long loads do not fill the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame, tag: str) -> DataFrame:
+        path = store(df, tag)
+        self._paths.append(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_: object) -> None:
+        for path in self._paths:
+            Folder(self._spark, path).remove()

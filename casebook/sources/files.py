@@ -99,12 +99,3 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
     """An empty Parquet table of the declared schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").format("parquet").saveAsTable(name)
 
-
-def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Clear and load in one step; readers of the old path must not feed ``df``.
-
-    Rebalancing keeps files even when one partition value holds most rows.
-    """
-    out = df.hint("rebalance", *partition_by) if partition_by else df
-    writer = out.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

@@ -10,7 +10,6 @@ from casebook.plans import catalog, star
 from casebook.plans.cleaning import clean
 from casebook.session import fresh_path
 from casebook.sources import files, tables
-from casebook.streaming.incremental import file_stream, load_fact_stream, load_stream, read_target
 
 SF = "/root/testdata/sf0.001"
 FUNCTIONS, ANSWERS = catalog.queries(), catalog.oracle_sql()
@@ -104,31 +103,6 @@ def test_exported_star_reads_back(spark):
     assert [r.year for r in Q.sample_values(back["dim_time"], "year", 2).collect()] == [1970, 1995]
 
 
-def test_stream_equals_batch_over_many_files(spark):
-    published = star.star(spark, SF)
-    path = fresh_path(spark, "chunks")
-    published.cleaned.repartition(4).write.parquet(path)
-    streamed = load_fact_stream(spark, path, published.dimensions, files_per_batch=1)
-    assert streamed.exceptAll(published.fact).isEmpty() and published.fact.exceptAll(streamed).isEmpty()
-
-
-def test_stream_skips_known_keys_and_new_files_continue(spark):
-    folder, target, progress = (fresh_path(spark, t) for t in ("events", "target", "progress"))
-    events = tables.table(spark, SF, "events").select("event_id", "user_id", "value")
-    first, second = events.where("event_id < 60"), events.where("event_id >= 50 AND event_id < 100")
-
-    def load():
-        source = file_stream(spark, folder, events, "*.parquet")
-        load_stream(source, lambda batch: batch, target, progress, ["event_id"], ["user_id", "value"])
-        return read_target(spark, target, events.schema).count()
-
-    first.repartition(3).write.mode("append").parquet(folder)
-    assert load() == 60
-    assert load() == 60
-    second.repartition(2).write.mode("append").parquet(folder)
-    assert load() == 100
-
-
 def test_files(spark):
     path = fresh_path(spark, "csv")
     rows = [(1, 'say "hi", ok\nnext', 1.5), (2, None, None)]
