@@ -81,26 +81,42 @@ def keyed(df: DataFrame, text: str, k: int, longest: int) -> DataFrame:
     return df.where(F.length(text) <= longest).select("*", F.inline(edit_keys(F.col(text), k)))
 
 
-def _payload(right: DataFrame) -> Column:
-    """Order first, so that a minimum takes the first row."""
-    return F.struct(F.col("r_order"), F.struct(*[c for c in right.columns if c.startswith("r_")]).alias("row"))
+def key_table(names: DataFrame, text: str, k: int, longest: int) -> DataFrame:
+    """The edit keys of the distinct names alone: (text, key, gone, marks)."""
+    return keyed(names.select(text).distinct(), text, k, longest)
 
 
-def best_by_keys(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
-    """(l_id, distance, place): the nearest right row within k <= 2 edits of each left row that has one, first by order.
+def met_by_keys(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
+    """(l_id, edits, r_order): for every left row and key the first right row of the block that shares the key.
 
-    Left names of more than ``KEYED`` characters are not looked for.
+    A name's keys are made once, however many rows hold it.
     """
+    asked = key_table(left, "l_text", k, KEYED)
+    held = key_table(right, "r_text", k, KEYED + k)
+    # Most keys occur on one side only; those go before names meet the rows that hold them.
+    shared = materialize(held.join(asked.select("key", "marks").distinct(), ["key", "marks"], "left_semi"), "keys")
     index = (
-        keyed(right.select("*", _payload(right).alias("place")), "r_text", k, KEYED + k)
+        shared.join(right.select("r_text", "r_order", *block), "r_text")
         .groupBy(*block, "key", "marks", F.col("gone").alias("added"))
-        .agg(F.min("place").alias("place"))
+        .agg(F.min("r_order").alias("r_order"))
     )
-    probes = keyed(left, "l_text", k, KEYED).select("l_id", *block, "key", "marks", "gone")
+    probes = asked.join(shared.select("key", "marks").distinct(), ["key", "marks"], "left_semi")
+    probes = probes.join(left.select("l_id", "l_text", *block), "l_text")
     edits = F.col("gone") + F.col("added") + F.col("marks")
     met = probes.join(index, [*block, "key", "marks"]).where(edits <= k)
-    best = met.groupBy("l_id").agg(F.min(F.struct(edits.alias("distance"), F.col("place"))).alias("hit"))
-    return best.select("l_id", "hit.distance", "hit.place")
+    return met.select("l_id", edits.alias("edits"), "r_order")
+
+
+def best_by_keys(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
+    """(l_id, distance, r_order): the nearest right row within k <= 2 edits of each left row that has one, first by order.
+
+    Left names of more than ``KEYED`` characters are not looked for.
+    """
+    met = met_by_keys(left, right, k, block)
+    # One minimum per distance: numbers alone, so the aggregation hashes and does not sort.
+    firsts = met.groupBy("l_id").agg(*[F.min(F.when(F.col("edits") == d, F.col("r_order"))).alias(f"_{d}") for d in range(k + 1)])
+    distance = F.coalesce(*[F.when(F.col(f"_{d}").isNotNull(), F.lit(d)) for d in range(k + 1)])
+    return firsts.select("l_id", distance.alias("distance"), F.coalesce(*[f"_{d}" for d in range(k + 1)]).alias("r_order"))
 
 
 def pairs_by_keys(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
@@ -184,72 +200,66 @@ def pairs_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[str]
     return found.unionByName(far.distinct())
 
 
+def best_by_tree(left: DataFrame, right: DataFrame, tree: DataFrame, radius: int, block: Sequence[str] = ()) -> DataFrame:
+    """(l_id, distance, r_order): the nearest right row within the radius, first by order."""
+    met = tree_candidates(left.withColumn("_radius", F.lit(radius)), right.select("r_order", "r_text", *block), tree, block)
+    distance = F.levenshtein("l_text", "r_text").alias("distance")
+    best = met.groupBy("l_id").agg(F.min(F.struct(distance, F.col("r_order"))).alias("hit"))
+    return best.select("l_id", "hit.*")
+
+
 def nearest_within(left: DataFrame, right: DataFrame, k: int, block: Sequence[str] = ()) -> DataFrame:
     """For every left row the right row at the smallest distance up to k, first by ``r_order``.
 
     Left: ``l_id``, ``l_text`` and block columns; an id may occur in several blocks.
-    Right: ``r_order``, ``r_text``, further ``r_`` columns and block columns. Two
-    edits are settled by keys in one step; the tree serves the rows that are left,
-    with half of the remaining edits first. Returns l_id, distance and the right columns.
+    Right: ``r_order``, which names a row, ``r_text``, further ``r_`` columns and block
+    columns. Two edits are settled by keys in one step; the tree serves the rows that
+    are left, with half of the remaining edits first. Returns l_id, distance and the right columns.
     """
     near = min(k, 2)
-    place = _payload(right).alias("place")
     tree, found, open_ = None, None, left
     for radius in sorted({near, (near + k) // 2, k} - {0} or {0}):
         if radius == near:
             hits = best_by_keys(open_, right, near, block)
-            whole = materialize(open_.join(hits, "l_id", "left"), "near")
         else:
             tree = tree or prefix_tree(right, block)
-            met = tree_candidates(open_.withColumn("_radius", F.lit(radius)), right, tree, block)
-            distance = F.levenshtein("l_text", "r_text").alias("distance")
-            best = met.groupBy("l_id").agg(F.min(F.struct(distance, place)).alias("hit"))
-            hits = best.select("l_id", "hit.distance", "hit.place")
-            whole = materialize(open_.join(hits, "l_id", "left"), f"within{radius}")
-        matched = whole.where(F.col("place").isNotNull()).select("l_id", "distance", "place").distinct()
-        found = matched if found is None else found.unionAll(matched)
-        open_ = whole.where(F.col("place").isNull()).drop("place", "distance")
+            hits = best_by_tree(open_, right, tree, radius, block)
+        hits = materialize(hits, f"within{radius}")
+        found = hits if found is None else found.unionAll(hits)
+        open_ = open_.join(hits.select("l_id"), "l_id", "left_anti")
         if radius < k and open_.isEmpty():
             break
     if k <= 2:
         # Names too long for keys have not been looked for yet.
-        long = left.where(F.length("l_text") > KEYED).withColumn("_radius", F.lit(k))
-        met = tree_candidates(long, right, prefix_tree(right, block), block)
-        best = met.groupBy("l_id").agg(F.min(F.struct(F.levenshtein("l_text", "r_text").alias("distance"), place)).alias("hit"))
-        found = found.unionAll(best.select("l_id", "hit.distance", "hit.place"))
-    return found.select("l_id", "distance", "place.row.*")
+        long = left.where(F.length("l_text") > KEYED)
+        if not long.isEmpty():
+            found = found.unionAll(best_by_tree(long, right, prefix_tree(right, block), k, block))
+            found = found.groupBy("l_id").agg(F.min(F.struct("distance", "r_order")).alias("hit")).select("l_id", "hit.*")
+    rows = right.select(*[c for c in right.columns if c.startswith("r_")])
+    return found.join(rows, "r_order").select("l_id", "distance", *rows.columns)
 
 
 def first_within(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
-    """(l_id, place): for every left row the first right row by ``r_order`` within k edits.
+    """(l_id, r_order): for every left row the first right row within k edits; ``r_order`` names a right row.
 
     Keys give a partner within two edits; that partner's own partner is within four,
     so both bound the order of what the tree still has to look for.
     """
     near = min(k, 2)
-    place = _payload(right)
-    # The first partner by order, whatever its distance: the key's first row, not the nearest one.
-    index = keyed(right.select("*", place.alias("place")), "r_text", near, KEYED + near)
-    index = index.groupBy("key", "marks", F.col("gone").alias("added")).agg(F.min("place").alias("place"))
-    probes = keyed(left, "l_text", near, KEYED).select("l_id", "key", "marks", "gone")
-    met = probes.join(index, ["key", "marks"]).where(F.col("gone") + F.col("added") + F.col("marks") <= near)
-    first = met.groupBy("l_id").agg(F.min("place").alias("place"))
+    first = met_by_keys(left, right, near).groupBy("l_id").agg(F.min("r_order").alias("r_order"))
     known = materialize(left.join(first, "l_id", "left"), "first")
-    if k >= 2 * near and near:
-        hop = known.where(F.col("place").isNotNull()).select(
-            F.col("l_text").alias("_text"), F.col("place").alias("_place")
-        ).groupBy("_text").agg(F.min("_place").alias("_place"))
-        known = known.join(hop, F.col("place.row.r_text") == F.col("_text"), "left").withColumn(
-            "place", F.least("place", "_place")
-        ).drop("_text", "_place")
-    rest = known.withColumns(
-        {"_radius": F.lit(k), "_before": F.coalesce("place.r_order", F.lit((1 << 63) - 1))}
-    )
+    if near and k >= 2 * near:
+        partner = right.select("r_order", F.col("r_text").alias("_text"))
+        onward = known.groupBy(F.col("l_text").alias("_text")).agg(F.min("r_order").alias("_next"))
+        hop = partner.join(onward, "_text").select("r_order", "_next")
+        known = known.join(hop, "r_order", "left").withColumn("r_order", F.least("r_order", "_next")).drop("_next")
+    last = F.lit((1 << 63) - 1)
+    rest = known.select(*left.columns, F.lit(k).alias("_radius"), F.coalesce("r_order", last).alias("_before"))
     if k == near:
         rest = rest.where(F.length("l_text") > KEYED)
-    earlier = tree_candidates(rest.drop("place"), right, prefix_tree(right), before=True)
-    found = known.select("l_id", "place").unionAll(earlier.select("l_id", place.alias("place")))
-    return found.where(F.col("place").isNotNull()).groupBy("l_id").agg(F.min("place").alias("place"))
+    earlier = tree_candidates(rest, right.select("r_order", "r_text"), prefix_tree(right), before=True)
+    found = known.select("l_id", "r_order").unionAll(earlier.select("l_id", "r_order"))
+    return found.where(F.col("r_order").isNotNull()).groupBy("l_id").agg(F.min("r_order").alias("r_order"))
 
 
 def cluster_names(names: DataFrame, k: int = 4, aliases: DataFrame | None = None) -> DataFrame:
@@ -268,8 +278,8 @@ def cluster_names(names: DataFrame, k: int = 4, aliases: DataFrame | None = None
     names = materialize(names.where(F.col("name") != "unknown"), "names")
     left = names.select(F.col("name").alias("l_id"), F.col("name").alias("l_text"))
     right = names.select(F.col("ordinal").alias("r_order"), F.col("name").alias("r_text"))
-    best = first_within(left, right, k)
-    found = best.select(F.col("l_id").alias("name"), F.col("place.row.r_text").alias("cluster")).unionAll(unknown)
+    best = first_within(left, right, k).join(right, "r_order")
+    found = best.select(F.col("l_id").alias("name"), F.col("r_text").alias("cluster")).unionAll(unknown)
     if aliases is None:
         return found
     return given.select("name", "_as").join(found.withColumnRenamed("name", "_as"), "_as").drop("_as")

@@ -40,9 +40,20 @@ def running_total(
     )
 
 
-def dense_ids(df: DataFrame, id_column: str, natural_key: Sequence[str], first: int = 1) -> DataFrame:
-    """Number distinct rows first, first+1, … in natural key order."""
-    numbered = running_total(df.select(*natural_key).distinct(), natural_key, id_column)
+#: So many distinct rows are numbered by one task; the number is counted first.
+FEW = 100_000
+
+
+def dense_ids(df: DataFrame, id_column: str, natural_key: Sequence[str], first: int = 1, few: int = FEW) -> DataFrame:
+    """Number distinct rows first, first+1, … in natural key order.
+
+    The distinct rows are stored. Up to ``few`` of them take one ordered window; more are ranged over the cluster.
+    """
+    members = materialize(df.select(*natural_key).distinct(), "members")
+    if members.count() <= few:
+        place = F.row_number().over(Window.orderBy(*natural_key)).cast("long")
+        return members.select((place + (first - 1)).alias(id_column), *natural_key)
+    numbered = running_total(members, natural_key, id_column)
     return numbered.select((F.col(id_column) + (first - 1)).alias(id_column), *natural_key)
 
 

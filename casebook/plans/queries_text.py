@@ -10,6 +10,7 @@ from casebook.plans import answers as A
 from casebook.plans.cleaning import LOADER_RENAMES
 from casebook.plans.queries_cleaning import READY, loader_view, ready
 from casebook.plans.registry import query
+from casebook.session import materialize
 from casebook.sources import tables
 
 col = F.col
@@ -360,7 +361,9 @@ regions AS (SELECT lower(r_name) AS region, r_regionkey * 11.5::DOUBLE - 30 AS l
     ),
 )
 def impute_coords_cascade(spark, sf_dir):
-    df = ready(spark, sf_dir).select("eventid", "region", "country", "provstate", "city", "latitude", "longitude")
+    # The cascade reads its input several times, so the cleaning before it is done once.
+    columns = ["eventid", "region", "country", "provstate", "city", "latitude", "longitude"]
+    df = materialize(ready(spark, sf_dir).select(*columns), "ready")
     internal = spark.createDataFrame(INTERNAL, "ordinal long, name string, latitude double, longitude double")
     out = resolve.impute_coords_cascade(
         df,

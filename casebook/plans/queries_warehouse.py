@@ -327,7 +327,7 @@ def export_union_header(spark, sf_dir):
 
 @query("incremental_load", A.over("flat", "SELECT * FROM flat"))
 def incremental_load(spark, sf_dir):
-    """Raw files in four batches through cleaning, growing dimensions and the fact; shown with its dimensions' columns."""
+    """Raw files in two batches through cleaning, growing dimensions and the fact; shown with its dimensions' columns."""
     raw = tables.raw_incidents(spark, sf_dir)
     path = fresh_path(spark, "raw")
     raw.repartition(8, "eventid").write.parquet(path)
@@ -335,7 +335,7 @@ def incremental_load(spark, sf_dir):
     rules = view_rules(spark, sf_dir)
     rules = replace(rules, sample_cut=sample_cut(raw, rules))
     grown = incremental.Star(fresh_path(spark, "grown"), buckets=16)
-    incremental.load_stream(spark, path, grown, fresh_path(spark, "progress"), rules, files_per_batch=2)
+    incremental.load_stream(spark, path, grown, fresh_path(spark, "progress"), rules, files_per_batch=4)
     return W.star_flat(*incremental.loaded(spark, grown, raw, rules))
 
 

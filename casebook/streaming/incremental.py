@@ -123,7 +123,7 @@ def grow(star: Star, cleaned: DataFrame, dim: W.Dimension, batch_id: int) -> Non
     spark = cleaned.sparkSession
     known = star.members(spark, dim, member_schema(cleaned, dim))
     known = known.where(F.col("batch") < batch_id).drop("batch") if known is not None else None
-    if known is None or known.isEmpty():
+    if known is None or (batch_id == 0 or known.isEmpty()):
         new = W.build_dimension(W.reconcile(cleaned, dim.source), dim)
     else:
         new = W.late_members(members_of(cleaned, dim), known, dim.id_column, dim.natural_key)

@@ -254,3 +254,43 @@ def test_label_batch_retries_and_falls_back(spark):
         raise RuntimeError("no answer")
 
     assert rows(L.label_batch(df, "id", broken)) == [(1, "unknown"), (2, "unknown")]
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_names_with_a_shared_prefix_meet_their_partners_alone(spark, k):
+    """Every row met by keys is a true pair, met a bounded number of times, however many names share the prefix."""
+    per_pair = []
+    for n in (100, 1000):
+        names = materialize(spark.range(n).select(F.concat(F.lit("city_"), F.col("id").cast("string")).alias("name"), F.col("id").alias("ordinal")), "names")
+        left = names.select(F.col("name").alias("l_id"), F.col("name").alias("l_text"))
+        right = names.select(F.col("ordinal").alias("r_order"), F.col("name").alias("r_text"))
+        met = materialize(fuzzy.pairs_by_keys(left, right, k), "met")
+        assert met.where(F.levenshtein("l_text", "r_text") > k).isEmpty()
+        per_pair.append(met.count() / met.distinct().count())
+        # A search for the nearest meets one row per key, not one per partner.
+        assert fuzzy.met_by_keys(left, right, k).groupBy("l_id").count().agg(F.max("count")).first()[0] <= 2 * 8**k + 16
+    assert per_pair[1] <= per_pair[0] * 1.3
+    assert fuzzy.cluster_names(names, 2 * k).where("cluster <> name").count() > 900
+
+
+def test_names_of_any_length_and_the_mark_itself(spark):
+    long = "x" * 50 + "abc"
+    names = ["", "a", "ab", long, long[:-1], "q" + long + "r", "é日\U0001f600", "日\U0001f600", "a￿b", "a�b", "a" * 33, "a" * 34, "a" * 32]
+    left = spark.createDataFrame([(w, w) for w in names], "l_id string, l_text string")
+    right = spark.createDataFrame(list(enumerate(names)), "r_order long, r_text string")
+    clear = {w: w.replace("￿", "�") for w in names}
+    for k in (0, 1, 2):
+        got = {(r.l_text, r.r_text) for r in fuzzy.pairs_within(left, right, k).collect()}
+        assert got == {(a, b) for a in names for b in names if levenshtein(clear[a], clear[b]) <= k}, k
+        near = {r.l_id: (r.distance, r.r_order) for r in fuzzy.nearest_within(left, right, k).collect()}
+        assert near == {a: min((levenshtein(clear[a], clear[b]), i) for i, b in enumerate(names)) for a in names}
+    shifted = left.withColumn("l_text", F.concat(F.lit("zzz"), "l_text"))
+    near = {r.l_id: (r.distance, r.r_order) for r in fuzzy.nearest_within(shifted, right, 3).collect()}
+    assert near == {a: min((levenshtein("zzz" + a, b), i) for i, b in enumerate(names)) for a in names}
+
+
+def test_aliases_are_clustered_as_what_they_stand_for(spark):
+    names = spark.createDataFrame([("alpha front", 1), ("af", 2), ("alpha frnt", 3), ("beta", 4), ("unknown", 5), ("bet group", 6)], "name string, ordinal long")
+    aliases = spark.createDataFrame([("af", "alpha front"), ("bet group", "beta")], "alias string, name string")
+    got = {r.name: r.cluster for r in fuzzy.cluster_names(names, 2, aliases).collect()}
+    assert got == {"alpha front": "alpha front", "af": "alpha front", "alpha frnt": "alpha front", "beta": "beta", "bet group": "beta", "unknown": "unknown"}
