@@ -231,24 +231,37 @@ def cap_iqr(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFr
     )
 
 
-def detect_iqr(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> tuple[DataFrame, DataFrame]:
-    """(clipped to the smallest and largest inlier plus outlier flags, outlier rows)."""
+def iqr_outliers(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFrame:
+    """The input with a flag ``<column>_outlier`` for each column."""
     bounds = as_one_row(iqr_bounds(df, columns, width), columns, ["low", "high"])
-    outlier = {
-        c: values.true_only((F.col(c) < bounds[f"{c}_low"]) | (F.col(c) > bounds[f"{c}_high"]))
+    outlier = {c: (F.col(c) < bounds[f"{c}_low"]) | (F.col(c) > bounds[f"{c}_high"]) for c in columns}
+    return df.withColumns({f"{c}_outlier": values.flag(values.true_only(o)) for c, o in outlier.items()})
+
+
+def outlier_rows(flagged: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """(key, measure, value): one row per outlying value of a flagged frame, as it was found."""
+    cells = [
+        F.when(F.col(f"{c}_outlier") == 1, F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")))
         for c in columns
-    }
-    inliers = df.agg(
-        *[F.min(F.when(~outlier[c], F.col(c))).alias(f"{c}_low") for c in columns],
-        *[F.max(F.when(~outlier[c], F.col(c))).alias(f"{c}_high") for c in columns],
+    ]
+    return flagged.select(key, F.inline(F.array_compact(F.array(*cells))))
+
+
+def clip_to_inliers(flagged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Outlying values of a flagged frame become the smallest or largest value that is none."""
+    inside = {c: F.when(F.col(f"{c}_outlier") == 0, F.col(c)) for c in columns}
+    ends = flagged.agg(
+        *[F.min(v).alias(f"{c}_low") for c, v in inside.items()], *[F.max(v).alias(f"{c}_high") for c, v in inside.items()]
     )
-    inner = inliers.select(F.struct(*inliers.columns)).scalar()
-    clipped = {c: values.clip(F.col(c), inner[f"{c}_low"], inner[f"{c}_high"]) for c in columns}
-    flags = {f"{c}_outlier": outlier[c].cast("int") for c in columns}
-    any_outlier = F.lit(False)
-    for c in columns:
-        any_outlier = any_outlier | outlier[c]
-    return df.withColumns({**clipped, **flags}), df.where(any_outlier)
+    inner = ends.select(F.struct(*ends.columns)).scalar()
+    return flagged.withColumns({c: values.clip(F.col(c), inner[f"{c}_low"], inner[f"{c}_high"]) for c in columns})
+
+
+def detect_iqr(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> tuple[DataFrame, DataFrame]:
+    """(clipped to the smallest and largest inlier plus outlier flags, outlier rows)."""
+    flagged = iqr_outliers(df, columns, width)
+    any_outlier = F.greatest(*[F.col(f"{c}_outlier") for c in columns], F.lit(0)) == 1
+    return clip_to_inliers(flagged, columns), flagged.where(any_outlier).select(*df.columns)
 
 
 def format_coords(df: DataFrame, digits: int = 4, null_as_zero: bool = True) -> DataFrame:

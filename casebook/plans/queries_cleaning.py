@@ -557,43 +557,72 @@ def cap_fixed(spark, sf_dir):
     return sums.select(*[counted[c].alias(c) for c in counts.columns], "nkill_sum", "propvalue_sum")
 
 
-_IQR = """
-bounds AS (SELECT quantile_cont(nkill, 0.25) AS a, quantile_cont(nkill, 0.75) AS b,
-  quantile_cont(propvalue, 0.25) AS c, quantile_cont(propvalue, 0.75) AS d FROM prepared),
-limits AS (SELECT a - 1.5 * (b - a) AS k_low, b + 1.5 * (b - a) AS k_high,
-  c - 1.5 * (d - c) AS v_low, d + 1.5 * (d - c) AS v_high FROM bounds)"""
+#: The columns whose outliers the cleaning lineages treat.
+CAPPED = ["nkill", "nwound", "propvalue", "nkillus", "nwoundus"]
+_IQR = (
+    "\nbounds AS (SELECT "
+    + ", ".join(f"quantile_cont({c}, 0.25) AS {c}_a, quantile_cont({c}, 0.75) AS {c}_b" for c in CAPPED)
+    + " FROM prepared),\nlimits AS (SELECT "
+    + ", ".join(f"{c}_a - 1.5 * ({c}_b - {c}_a) AS {c}_low, {c}_b + 1.5 * ({c}_b - {c}_a) AS {c}_high" for c in CAPPED)
+    + " FROM bounds)"
+)
+
+
+def _outside(c: str) -> str:
+    return f"coalesce({c} < {c}_low OR {c} > {c}_high, false)"
+
+
+def counts(spark, sf_dir):
+    return C.recode_sentinels(raw(spark, sf_dir)).select("eventid", *CAPPED)
 
 
 @query(
     "cap_iqr",
     A.over(
         "prepared",
-        """SELECT eventid, round(CASE WHEN nkill < k_low THEN k_low WHEN nkill > k_high THEN k_high ELSE nkill END, 4)
-        AS nkill, round(CASE WHEN propvalue < v_low THEN v_low WHEN propvalue > v_high THEN v_high ELSE propvalue END, 4)
-        AS propvalue FROM prepared, limits""",
+        "SELECT eventid, "
+        + ", ".join(f"round(CASE WHEN {c} < {c}_low THEN {c}_low WHEN {c} > {c}_high THEN {c}_high ELSE {c} END, 4) AS {c}" for c in CAPPED)
+        + " FROM prepared, limits",
         _IQR,
     ),
 )
 def cap_iqr(spark, sf_dir):
-    df = C.recode_sentinels(raw(spark, sf_dir)).select("eventid", "nkill", "propvalue")
-    capped = C.cap_iqr(df, ["nkill", "propvalue"])
-    return capped.withColumns({c: F.round(c, 4) for c in ("nkill", "propvalue")})
+    return C.cap_iqr(counts(spark, sf_dir), CAPPED).withColumns({c: F.round(c, 4) for c in CAPPED})
 
 
 @query(
     "detect_iqr_inlier_bounds",
     A.over(
         "prepared",
-        """SELECT eventid, CASE WHEN nkill < lo THEN lo WHEN nkill > hi THEN hi ELSE nkill END AS nkill,
-        CASE WHEN nkill < k_low OR nkill > k_high THEN 1 ELSE 0 END AS nkill_outlier
-        FROM prepared, limits, (SELECT min(nkill) AS lo, max(nkill) AS hi FROM prepared, limits
-          WHERE nkill >= k_low AND nkill <= k_high)""",
+        "SELECT eventid, "
+        + ", ".join(
+            f"CASE WHEN {c} < {c}_lo THEN {c}_lo WHEN {c} > {c}_hi THEN {c}_hi ELSE {c} END AS {c},"
+            f" CASE WHEN {_outside(c)} THEN 1 ELSE 0 END AS {c}_outlier"
+            for c in CAPPED
+        )
+        + " FROM prepared, limits, (SELECT "
+        + ", ".join(f"min({c}) FILTER (NOT {_outside(c)}) AS {c}_lo, max({c}) FILTER (NOT {_outside(c)}) AS {c}_hi" for c in CAPPED)
+        + " FROM prepared, limits)",
         _IQR,
     ),
 )
 def detect_iqr_inlier_bounds(spark, sf_dir):
-    clipped, _ = C.detect_iqr(raw(spark, sf_dir).select("eventid", "nkill"), ["nkill"])
-    return clipped
+    return C.clip_to_inliers(C.iqr_outliers(counts(spark, sf_dir), CAPPED), CAPPED)
+
+
+@query(
+    "iqr_outlier_rows",
+    A.over(
+        "prepared",
+        " UNION ALL ".join(
+            f"SELECT eventid, '{c}' AS measure, CAST({c} AS DOUBLE) AS value FROM prepared, limits WHERE {_outside(c)}" for c in CAPPED
+        ),
+        _IQR,
+    ),
+)
+def iqr_outlier_rows(spark, sf_dir):
+    """The values that are clipped, set aside as they were."""
+    return C.outlier_rows(C.iqr_outliers(counts(spark, sf_dir), CAPPED), "eventid", CAPPED)
 
 
 @query(

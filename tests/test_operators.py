@@ -80,6 +80,47 @@ def test_exact_quantiles_equal_pandas(spark):
         assert got[c] == pytest.approx((frame[c].quantile(0.25), frame[c].quantile(0.75)))
 
 
+@pytest.mark.parametrize("held, grid, accuracy", [(10_000, 128, 10_000), (3, 8, 50)])
+def test_order_statistics_are_exact(spark, monkeypatch, held, grid, accuracy):
+    """Every rank, also with brackets so small and sketches so rough that proposals miss or share a value with many rows."""
+    for name, value in (("HELD", held), ("GRID", grid), ("ACCURACY", accuracy)):
+        monkeypatch.setattr(ordering, name, value)
+    rnd = random.Random(held)
+    inf = float("inf")
+    columns = {
+        "steps": [float(rnd.choice([0, 0, 0, 0, 1, 7])) for _ in range(400)],
+        "wide": [rnd.choice([-1, 1]) * 10.0 ** rnd.randint(-300, 300) for _ in range(400)],
+        "ends": [rnd.choice([-inf, inf, 2.5, None, float("nan")]) for _ in range(400)],
+        "ints": [float(i) for i in range(400)],
+        "one": [None] * 399 + [3.0],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    clean = {c: sorted(v for v in vs if v is not None and v == v) for c, vs in columns.items()}
+    wanted = {c: sorted({0, len(v) - 1, len(v) // 4, len(v) // 3, len(v) // 2, 3 * len(v) // 4} & set(range(len(v)))) for c, v in clean.items()}
+    got = ordering.order_statistics(df, list(columns), lambda c, size: wanted[c] if size == len(clean[c]) else [])
+    assert got == {c: {r: clean[c][r] for r in wanted[c]} for c in columns}
+
+
+def test_quantiles_take_few_passes_and_no_shuffle_of_rows(spark):
+    df = spark.range(0, 200_000, 1, 4).select((F.hash("id") % 1000).cast("double").alias("a"), F.rand(3).alias("b"))
+    rows = sorted(r.b for r in df.select("b").collect())
+    passes = []
+    plain = ordering._Search.learn
+    try:
+        ordering._Search.learn = lambda self, seen: (passes.append(self.column), plain(self, seen))[1]
+        got = ordering.exact_quantiles(df, ["a", "b"], {"m": 0.5}).where("measure = 'b'").first().m
+    finally:
+        ordering._Search.learn = plain
+    assert got == pytest.approx((rows[99_999] + rows[100_000]) / 2) and passes.count("b") <= 8
+
+
+def test_outlier_rows_keep_their_values(spark):
+    df = spark.createDataFrame([(i, float(i % 5), float(i)) for i in range(100)] + [(200, 999.0, None), (201, None, -500.0)], "id long, a double, b double")
+    flagged = C.iqr_outliers(df, ["a", "b"])
+    assert rows(C.outlier_rows(flagged, "id", ["a", "b"])) == [(200, "a", 999.0), (201, "b", -500.0)]
+    assert rows(C.clip_to_inliers(flagged, ["a", "b"]).where("id >= 200").select("id", "a", "b")) == [(200, 4.0, None), (201, None, 0.0)]
+
+
 def test_iqr_detect_clips_to_inliers(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(1, 10)] + [(10, 1000.0)], "id int, v double")
     clipped, outliers = C.detect_iqr(df, ["v"])
