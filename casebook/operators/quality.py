@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from casebook.functions import dates, values
 
@@ -48,6 +48,35 @@ def check_constraints(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return counted.unpivot([], list(rules), "rule", "violations")
 
 
+def watch(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The frame and an observation that the next action on it fills: ``checked_rows`` and violations per rule.
+
+    The counts come from the pass that writes the frame, so checking costs no scan.
+    A rule that yields NULL passes, as a SQL CHECK does.
+    """
+    seen = Observation()
+    counts = [F.count_if(~rule).alias(name) for name, rule in rules.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("checked_rows"), *counts), seen
+
+
+def observed_report(spark: SparkSession, seen: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """(table_name, rule, violations, checked_rows) of the metrics that loads have left: a row per declared rule."""
+    rows = [
+        (table, rule, n, metrics["checked_rows"])
+        for table, metrics in seen.items()
+        for rule, n in metrics.items()
+        if rule != "checked_rows"
+    ]
+    return spark.createDataFrame(rows, "table_name string, rule string, violations long, checked_rows long")
+
+
+def require_clean(seen: Mapping[str, Mapping[str, int]]) -> None:
+    """Raise when a load has seen violations."""
+    broken = {f"{t}.{r}": n for t, metrics in seen.items() for r, n in metrics.items() if r != "checked_rows" and n}
+    if broken:
+        raise ValueError(f"constraints violated: {broken}")
+
+
 def warehouse_rules() -> dict[str, dict[str, Column]]:
     """The declared constraints of the star's tables: required columns, ranges and domains."""
 

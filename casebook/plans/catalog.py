@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casebook.plans import queries_cleaning, queries_olap, queries_text, queries_warehouse  # noqa: F401
+from casebook.plans import queries_checks, queries_cleaning, queries_olap, queries_text, queries_warehouse  # noqa: F401
 from casebook.plans.registry import ORACLES, QUERIES, Query
 
 

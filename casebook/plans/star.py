@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.operators import warehouse as W
+from casebook.operators import quality as Q, warehouse as W
 from casebook.plans.cleaning import CleaningRules, clean
 from casebook.session import fresh_path, materialize, store
 from casebook.sources import tables
@@ -34,24 +34,34 @@ class Star:
     dimensions: dict[str, DataFrame]
     fact: DataFrame
     flat: DataFrame
+    #: Per table the rows written and the violations of each declared rule, counted by the write itself.
+    checks: dict[str, dict[str, int]]
 
 
 def build(cleaned: DataFrame) -> Star:
     """Dimensions first, then the fact, then the flat extract partitioned by year."""
     spark = cleaned.sparkSession
+    rules = Q.warehouse_rules()
+    checks: dict[str, dict[str, int]] = {}
+
+    def checked(df: DataFrame, name: str) -> DataFrame:
+        watched, seen = Q.watch(df, rules[name])
+        stored = materialize(watched, name)
+        checks[name] = seen.get
+        return stored
 
     def publish(name: str) -> DataFrame:
         dim = W.DIMENSIONS[name]
-        return materialize(W.build_dimension(W.reconcile(cleaned, dim.source), dim), name)
+        return checked(W.build_dimension(W.reconcile(cleaned, dim.source), dim), name)
 
     # The dimensions do not depend on each other, so their jobs share the cluster.
     with ThreadPoolExecutor(len(W.DIMENSIONS)) as pool:
         dimensions = dict(zip(W.DIMENSIONS, pool.map(publish, W.DIMENSIONS)))
-    fact = materialize(W.load_fact(cleaned, dimensions), "fact_incidents")
+    fact = checked(W.load_fact(cleaned, dimensions), "fact_incidents")
     flat = W.star_flat(fact, dimensions)
     published = VersionedTable(spark, fresh_path(spark, "flat"))
     published.replace(flat, ("year",))
-    return Star(cleaned, dimensions, fact, published.read())
+    return Star(cleaned, dimensions, fact, published.read(), checks)
 
 
 _cleaned: dict[tuple[str, str], str] = {}

@@ -23,24 +23,20 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from casebook.operators import warehouse as W
 from casebook.operators.ordering import first_per_key
 from casebook.plans.cleaning import CleaningRules, clean
-from casebook.session import Scratch
+from casebook.session import Folder, Scratch
 
 
 def read_parts(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame | None:
     """A table of the target with its partition columns; None before the first batch."""
-    numbers = [T.StructField(p, T.LongType() if p == "batch" else T.IntegerType()) for p in partitions]
-    try:
-        return spark.read.schema(T.StructType([*schema.fields, *numbers])).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    if not Folder(spark, path).names():
         return None
+    numbers = [T.StructField(p, T.LongType() if p == "batch" else T.IntegerType()) for p in partitions]
+    return spark.read.schema(T.StructType([*schema.fields, *numbers])).parquet(path)
 
 
 # Rows appended once per key

@@ -8,7 +8,7 @@ from casebook import schemas
 from casebook.operators import quality as Q, warehouse as W
 from casebook.plans import catalog, star
 from casebook.plans.cleaning import clean
-from casebook.session import fresh_path
+from casebook.session import fresh_path, materialize
 from casebook.sources import files, tables
 
 SF = "/root/testdata/sf0.001"
@@ -90,6 +90,29 @@ def test_star_meets_its_declared_constraints(spark):
     assert not Q.check_constraints(broken, Q.warehouse_rules()["dim_time"]).where("violations > 0").isEmpty()
 
 
+def test_loads_count_violations_while_they_write(spark):
+    published = star.star(spark, SF)
+    tables_by_name = {**published.dimensions, "fact_incidents": published.fact}
+    for name, rules in Q.warehouse_rules().items():
+        assert set(published.checks[name]) == {"checked_rows", *rules}
+        assert published.checks[name]["checked_rows"] == tables_by_name[name].count()
+    Q.require_clean(published.checks)
+    df = spark.range(0, 100, 1, 4).withColumn("v", F.when(F.col("id") % 10 != 0, F.col("id")))
+    rules = {"small": F.col("v") < 50, "there": F.col("v").isNotNull()}
+    context = spark.sparkContext
+
+    def jobs(group, frame):
+        context.setJobGroup(group, group)
+        materialize(frame, "watched")
+        return len(context.statusTracker().getJobIdsForGroup(group))
+
+    watched, seen = Q.watch(df, rules)
+    assert jobs("watched", watched) == jobs("plain", df)
+    assert seen.get == {"checked_rows": 100, "small": 45, "there": 10}
+    with pytest.raises(ValueError, match="t.there"):
+        Q.require_clean({"t": seen.get})
+
+
 def test_exported_star_reads_back(spark):
     published = star.star(spark, SF)
     frames = {**published.dimensions, "fact_incidents": published.fact}
