@@ -51,6 +51,8 @@ class Rule:
     shard: int = 8192
     block: int = 4096
     width: int = 4
+    #: Tasks at most; shards weigh little in bytes and much in work, so they are not left to be put together by size.
+    tasks: int = 10_000
     #: Of the points already in the graph, the share that one batch may add, and the least and largest batch.
     growth: float = 0.1
     least: int = 32
@@ -197,7 +199,7 @@ def distinct_points(rows: DataFrame, keep: int, salts: int = 16) -> DataFrame:
     return some.groupBy("vector").agg(F.transform(ids, lambda x: x["vec_id"]).alias("ids"))
 
 
-def graph_table(points: DataFrame, width: int, rule: Rule) -> DataFrame:
+def graph_table(points: DataFrame, shards: int, width: int, rule: Rule) -> DataFrame:
     """Rows of (shard, vector, ids) with the node's number, edges and whether it is the entry."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -209,7 +211,8 @@ def graph_table(points: DataFrame, width: int, rule: Rule) -> DataFrame:
         ).append_column("is_entry", pa.array(np.arange(len(vectors)) == entry))
 
     schema = "shard int, vector array<double>, ids array<bigint>, node int, edges array<int>, is_entry boolean"
-    return points.select("shard", "vector", "ids").groupBy("shard").applyInArrow(run, schema)
+    dealt = points.select("shard", "vector", "ids").repartition(min(shards, rule.tasks), "shard")
+    return dealt.groupBy("shard").applyInArrow(run, schema)
 
 
 def search_shards(graph: DataFrame, queries: DataFrame, shards: int, blocks: int, width: int, rule: Rule) -> DataFrame:
@@ -249,8 +252,9 @@ def search_shards(graph: DataFrame, queries: DataFrame, shards: int, blocks: int
         return pa.table({n: pa.array(c, t) for n, c, t in zip(empty.column_names, columns, types)})
 
     # Each shard meets each block of queries: the graph is repeated once a block, the queries once a shard.
-    here = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    there = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    tasks = min(shards * blocks, rule.tasks)
+    here = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(tasks, "shard", "block")
+    there = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).repartition(tasks, "shard", "block")
     return here.groupBy("shard", "block").cogroup(there.groupBy("shard", "block")).applyInArrow(
         run, "query long, query_id long, vec_id long, score double"
     )
@@ -275,7 +279,7 @@ def nearest(embeddings: DataFrame, every: int = 20, rule: Rule = Rule()) -> Data
     points = materialize(distinct_points(rows, rule.k + 1), "points")
     shards = max(1, -(-points.count() // rule.shard))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
-    graph = materialize(graph_table(dealt, width, rule), "graph")
+    graph = materialize(graph_table(dealt, shards, width, rule), "graph")
     asked = rows.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // rule.block))
     # The hash names a query of its own where one vec_id has several vectors.
