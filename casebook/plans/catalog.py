@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from casebook.plans import queries_checks, queries_cleaning, queries_olap, queries_text, queries_warehouse  # noqa: F401
+from casebook.plans import (  # noqa: F401
+    queries_checks, queries_cleaning, queries_extract, queries_olap, queries_text, queries_warehouse,
+)
 from casebook.plans.registry import ORACLES, QUERIES, Query
 
 

@@ -26,7 +26,7 @@ def measures(*names: str):
         "fatal_rows": lambda: F.count("nkill"),
         "avg_latitude": lambda: F.round(F.avg("latitude"), 4),
         "avg_longitude": lambda: F.round(F.avg("longitude"), 4),
-        "event_id_sum": lambda: F.sum("eventid"),
+        "event_id_sum": lambda: F.sum(F.col("eventid").cast("decimal(38,0)")),
     }
     return {n: made[n]() for n in names}
 
@@ -465,7 +465,7 @@ def attack_target_flow(spark, sf_dir):
     "single_country_map",
     A.over(
         "flat",
-        f"""SELECT country, {MIDDLE}, {COUNT}, CAST(sum(eventid) AS BIGINT) AS event_id_sum FROM flat
+        f"""SELECT country, {MIDDLE}, {COUNT}, CAST(sum(eventid) AS DECIMAL(38, 0)) AS event_id_sum FROM flat
         WHERE country = 'nation_7' GROUP BY country""",
     ),
 )
