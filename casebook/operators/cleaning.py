@@ -411,12 +411,25 @@ def lump_rare(df: DataFrame, column: str, least: int = 5, label: str = "other")
     )
 
 
-def drop_all_unknown(df: DataFrame, triples: Sequence[Sequence[str]]) -> tuple[DataFrame, DataFrame]:
-    """(rows kept, distinct rows rejected because a whole attribute group is unknown)."""
+def all_unknown(triples: Sequence[Sequence[str]]) -> Column:
+    """True where every column of some group is unknown."""
     empty = F.lit(False)
     for columns in triples:
         blank = F.lit(True)
         for c in columns:
             blank = blank & values.true_only(F.col(c) == UNKNOWN)
         empty = empty | blank
+    return empty
+
+
+def drop_all_unknown(df: DataFrame, triples: Sequence[Sequence[str]]) -> tuple[DataFrame, DataFrame]:
+    """(rows kept, distinct rows rejected because a whole attribute group is unknown)."""
+    empty = all_unknown(triples)
     return df.where(~empty), df.where(empty).distinct()
+
+
+def fill_missing_group(df: DataFrame, column: str = "group_name", flag: str = "none_group_flag") -> DataFrame:
+    """A missing group becomes 'unknown'; once any was missing, the flag marks every unknown group, else no row."""
+    any_missing = df.agg(F.coalesce(F.bool_or(F.col(column).isNull()), F.lit(False))).scalar()
+    filled = F.coalesce(F.col(column), F.lit(UNKNOWN))
+    return df.withColumns({column: filled, flag: values.flag(any_missing & (filled == UNKNOWN))})

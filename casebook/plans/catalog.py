@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from casebook.plans import (  # noqa: F401
-    queries_checks, queries_cleaning, queries_extract, queries_olap, queries_text, queries_warehouse,
+    queries_checks, queries_cleaning, queries_extract, queries_olap, queries_outcomes, queries_text, queries_warehouse,
 )
 from casebook.plans.registry import ORACLES, QUERIES, Query
 

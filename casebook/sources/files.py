@@ -88,6 +88,43 @@ def write_quarantine(rejected: Mapping[str, DataFrame], path: str, mode: str = "
     quarantine(rejected).write.mode(mode).partitionBy("reason").parquet(path)
 
 
+ACCEPTED, SET_ASIDE = "accepted", "set_aside"
+
+
+def tag_outcomes(df: DataFrame, drops: Mapping[str, Column], suspects: Mapping[str, Column]) -> DataFrame:
+    """Add ``outcome`` and ``reason``: a row stands once as accepted unless a ``drops`` rule holds, and once per rule that holds.
+
+    Rows under a ``suspects`` rule are set aside for review and loaded all the same. A rule that yields NULL does not hold.
+    """
+    holds = {reason: F.coalesce(rule, F.lit(False)) for reason, rule in {**drops, **suspects}.items()}
+    dropped = F.lit(False)
+    for reason in drops:
+        dropped = dropped | holds[reason]
+
+    def tag(outcome: str, reason: str) -> Column:
+        return F.struct(F.lit(outcome).alias("outcome"), F.lit(reason).alias("reason"))
+
+    tags = [F.when(~dropped, tag(ACCEPTED, "none")), *[F.when(rule, tag(SET_ASIDE, reason)) for reason, rule in holds.items()]]
+    return df.select("*", F.inline(F.array_compact(F.array(*tags))))
+
+
+def write_outcomes(
+    df: DataFrame, path: str, run: int, drops: Mapping[str, Column], suspects: Mapping[str, Column]
+) -> None:
+    """Accepted and rejected rows in one pass over ``df``, a folder per run, outcome and reason.
+
+    Every run adds its own partition, and a run that is repeated replaces it. Rebalancing splits a reason that most rows have.
+    """
+    tagged = tag_outcomes(df, drops, suspects).hint("rebalance", "outcome", "reason")
+    tagged.write.mode("overwrite").partitionBy("outcome", "reason").parquet(f"{path}/run={run}")
+
+
+def read_outcomes(spark: SparkSession, path: str, outcome: str | None = None) -> DataFrame:
+    """All runs with the columns run, outcome and reason; one outcome alone reads only its folders."""
+    found = spark.read.parquet(path)
+    return found if outcome is None else found.where(F.col("outcome") == outcome)
+
+
 def with_header_row(df: DataFrame) -> DataFrame:
     """The column names as a first row above all values as text."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
