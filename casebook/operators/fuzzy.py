@@ -21,8 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from casebook.operators.ordering import first_per_key
 from casebook.session import materialize
@@ -285,34 +284,61 @@ def cluster_names(names: DataFrame, k: int = 4, aliases: DataFrame | None = None
     return given.select("name", "_as").join(found.withColumnRenamed("name", "_as"), "_as").drop("_as")
 
 
-def indel_ratio(a: Column, b: Column) -> Column:
-    """100 · 2·LCS / (len a + len b).
+#: So many bits of a long hold one column of the subsequence table; the sum of two such columns does not overflow.
+WORD = 62
 
-    The functions are local so that executors get their code with the task and
-    need no installed package.
-    """
 
-    def common_subsequence(x: str, y: str) -> int:
-        where: dict[str, int] = {}
-        for i, char in enumerate(x):
-            where[char] = where.get(char, 0) | (1 << i)
-        full = (1 << len(x)) - 1
-        state = full
-        for char in y:
-            hit = state & where.get(char, 0)
-            state = ((state + hit) | (state - hit)) & full
-        return len(x) - state.bit_count()
-
-    def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                200.0 * common_subsequence(x, y) / (len(x) + len(y)) if x or y else 100.0
-                for x, y in zip(left, right)
-            ],
-            dtype="float64",
+def _by_bits(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence, one column of bits per character of ``b``; a has up to ``WORD`` characters."""
+    n = F.length(a)
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    full = F.call_function("shiftleft", one, n) - 1
+
+    def places(char: Column) -> Column:
+        """The bits of the places at which ``a`` has the character."""
+        return F.aggregate(
+            F.sequence(F.lit(1), n), zero,
+            lambda bits, i: F.when(F.substring(a, i, F.lit(1)) == char, bits.bitwiseOR(F.call_function("shiftleft", one, i - 1))).otherwise(bits),
         )
 
-    return F.pandas_udf(ratio, T.DoubleType())(a, b)
+    def step(state: Column, hit: Column) -> Column:
+        return (state + hit).bitwiseOR(state - hit).bitwiseAND(full)
+
+    def column(state: Column, j: Column) -> Column:
+        return step(state, state.bitwiseAND(places(F.substring(b, j, F.lit(1)))))
+
+    last = F.aggregate(F.sequence(F.lit(1), F.length(b)), full, column)
+    return n - F.bit_count(last)
+
+
+def _by_rows(a: Column, b: Column) -> Column:
+    """The same for names of any length, by the rows of the table: a row is the running maximum of its candidates."""
+    n = F.length(a)
+
+    def row(before: Column, j: Column) -> Column:
+        char = F.substring(b, j, F.lit(1))
+
+        def grown(now: Column, i: Column) -> Column:
+            same = F.substring(a, i, F.lit(1)) == char
+            cell = F.when(same, F.element_at(before, i) + 1).otherwise(F.greatest(F.element_at(before, i + 1), F.element_at(now, i)))
+            return F.concat(now, F.array(cell))
+
+        return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0)), grown)
+
+    start = F.array_repeat(F.lit(0), n + 1)
+    return F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(b)), start, row), -1)
+
+
+def subsequence_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two texts, in expressions alone."""
+    some = (F.length(a) > 0) & (F.length(b) > 0)
+    return F.when(~some, 0).when(F.length(a) <= WORD, _by_bits(a, b)).when(F.length(b) <= WORD, _by_bits(b, a)).otherwise(_by_rows(a, b))
+
+
+def indel_ratio(a: Column, b: Column) -> Column:
+    """100 · 2·LCS / (len a + len b); 100 for two empty texts."""
+    size = F.length(a) + F.length(b)
+    return F.when(size > 0, F.lit(200.0) * subsequence_length(a, b) / size).otherwise(100.0)
 
 
 def similar_pairs(names: DataFrame, threshold: float) -> DataFrame:

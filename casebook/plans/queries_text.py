@@ -393,7 +393,27 @@ def cluster_names(spark, sf_dir):
     return fuzzy.cluster_names(part_names(spark, sf_dir), 4)
 
 
-@query("fuzzy_dedupe")
+# Subsequence tables row by row (a row is the running maximum of its candidates), then one overwrite per name in order.
+_DEDUPE = """
+WITH RECURSIVE counts AS (SELECT p_name AS name, count(*) AS n, min(p_partkey) AS ordinal FROM part GROUP BY 1),
+names AS (SELECT name, row_number() OVER (ORDER BY ordinal) AS i FROM counts WHERE n >= 5 AND name <> 'unknown'),
+lcs(a, b, j, cells) AS (
+  SELECT x.name, y.name, 0, [0 FOR k IN range(len(x.name) + 1)] FROM names x, names y WHERE x.name <> y.name
+  UNION ALL
+  SELECT a, b, j + 1, [list_max(candidates[1:k]) FOR k IN range(1, len(a) + 2)] FROM (
+    SELECT a, b, j, [CASE WHEN k > 1 AND substr(a, CAST(k AS INT) - 1, 1) = substr(b, j + 1, 1) THEN cells[k - 1] + 1 ELSE cells[k] END
+      FOR k IN range(1, len(a) + 2)] AS candidates FROM lcs WHERE j < len(b))),
+similar_names AS (SELECT a, b FROM lcs WHERE j = len(b) AND 200.0 * cells[len(a) + 1] / (len(a) + len(b)) >= 90),
+merging(i, name, now) AS (
+  SELECT CAST(0 AS BIGINT), name, name FROM names
+  UNION ALL
+  SELECT m.i + 1, m.name, CASE WHEN s.a IS NOT NULL THEN s.a ELSE m.now END FROM merging m JOIN names t ON t.i = m.i + 1
+    LEFT JOIN similar_names s ON s.a = t.name AND s.b = m.now)
+SELECT p_partkey, coalesce(now, p_name) AS p_name FROM part
+LEFT JOIN (SELECT name, now FROM merging WHERE i = (SELECT count(*) FROM names)) ON name = p_name"""
+
+
+@query("fuzzy_dedupe", _DEDUPE)
 def fuzzy_dedupe(spark, sf_dir):
     parts = tables.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return fuzzy.fuzzy_dedupe(parts, "p_name", "p_partkey")

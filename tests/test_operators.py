@@ -230,6 +230,15 @@ def test_nearest_within(spark, name_list):
     assert got == want
 
 
+def test_subsequence_length_of_short_and_long_texts(spark):
+    texts = ["", "a", "é日😀b", *words(3, "abc", 40, 12), *(w * 9 for w in words(4, "ab", 12, 4)), "x" * 62, "x" * 63 + "y", "y" * 64 + "x" * 3]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string").repartition(8)
+    found = df.select("a", "b", fuzzy.subsequence_length(F.col("a"), F.col("b")).alias("n"), fuzzy.indel_ratio(F.col("a"), F.col("b")).alias("r"))
+    for r in found.collect():
+        n = subsequence(r.a, r.b)
+        assert r.n == n and r.r == (200.0 * n / (len(r.a) + len(r.b)) if r.a or r.b else 100.0), (r.a, r.b)
+
+
 def test_fuzzy_dedupe_equals_sequential_overwrite(spark):
     rnd = random.Random(7)
     names = []
