@@ -44,8 +44,8 @@ class Rule:
     """``k`` neighbours; ``degree`` edges a point; beams of ``build_beam`` and ``beam``; pruning relaxed by ``alpha``."""
 
     k: int = 20
-    degree: int = 32
-    build_beam: int = 64
+    degree: int = 48
+    build_beam: int = 96
     beam: int = 128
     alpha: float = 1.2
     shard: int = 8192
