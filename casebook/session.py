@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,10 @@ SETTINGS = {
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 #: Folders of stored tables that go with their application.
 _ending: set[str] = set()
+#: Paths stored in the innermost open block of ``Passing``.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+#: Spark removes a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "casebook", master: str | None = None, **conf: str) -> SparkSession:
@@ -105,10 +112,28 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{folder}/{tag}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffle_files_go(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block leave no shuffle files: what they wrote is read from the table, never from the shuffle."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def store(df: DataFrame, tag: str) -> str:
     """Write ``df`` to the shared folder; returns the path."""
     path = fresh_path(df.sparkSession, tag)
-    df.write.mode("overwrite").parquet(path)
+    open_block = _passing.get()
+    if open_block is not None:
+        open_block.append(path)
+    with shuffle_files_go(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -120,6 +145,33 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(store(df, tag))
 
 
+class Passing:
+    """Every table stored in this block goes when it ends; only what ``keep`` stores stays, in the block around it.
+
+    For steps of many tables: ``with Passing(spark) as block: …; return block.keep(result, "name")``.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def __enter__(self) -> Passing:
+        self._token = _passing.set(self._paths)
+        self._outer = self._token.old_value if isinstance(self._token.old_value, list) else None
+        return self
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        token = _passing.set(self._outer)
+        try:
+            return materialize(df, tag)
+        finally:
+            _passing.reset(token)
+
+    def __exit__(self, *_: object) -> None:
+        _passing.reset(self._token)
+        for path in self._paths:
+            Folder(self._spark, path).remove()
+
+
 class Scratch:
     """Stored tables that go when the block ends: ``with Scratch(spark) as keep: df = keep(df, "name")``.
 
