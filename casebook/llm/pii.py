@@ -1,20 +1,27 @@
 """Personal data: fixed forms first, then bootstrapped contextual extraction.
 
-Base forms (email, ip, card, phone) are found in whole texts. They seed a
-bootstrap: the words around a seed are its patterns; a pattern is scored by the
-share of the distinct identifiers it surrounds that are known, and identifiers of
-no known form that stand in enough good patterns become known themselves, for
-the next round. Identifiers are the tokens with a digit that no base span
-touches. Spark keeps the graph of patterns and identifiers as a table of distinct
-pairs; every round is partial aggregations and joins on it, with new ones stored.
-
-Texts are read once, by Arrow batches; only spans and their contexts leave the
-task. Long runs cannot make matching quadratic: emails are grown from their
-"@", addresses begin where a run of digits begins.
-
-Defined cases: null or empty text has no spans; offsets are code points, end
-exclusive; forms may overlap between kinds; a found span never touches a base
-span; repeated rows each get their result; other columns are ignored.
+Base forms (email, ip, card, phone) are found in whole texts; with long hexadecimal keys
+(kind ``secret``) they are the seeds of a bootstrap. Texts are read as sequences of units: a seed
+span, a run of number words with single blanks between, or any other word without edge marks. A unit
+stands in up to three patterns: the two units before it, the two after it, one on each side.
+
+1. Patterns that surround ``support`` distinct known identifiers of a kind are looked up in all texts; whatever
+   stands in their slots, letters or digits, is counted. A pattern is good if ``precision`` of these distinct
+   identifiers are known as its kind.
+2. An identifier gets the score 1 - prod(1 - precision) over its good patterns. It becomes known from ``score`` on,
+   unless under ``share`` of all its occurrences stand in their slots: a common word in a good slot stays a word.
+3. New identifiers are looked up in all texts and bring patterns of their own. This repeats until none is added.
+
+A look-up is a scan by Arrow batches that compares hashes of units with a bit filter of fixed size, aggregates
+what passes within the batch, and is joined with the exact set afterwards: the filter only thins out what is
+shuffled. Spark keeps the graph as tables of distinct pairs. Identifiers and patterns are 64-bit hashes.
+
+Long runs cannot make matching quadratic: emails are grown from their "@", addresses begin where a run of digits begins.
+
+Defined cases: null or empty text has no spans; offsets are code points, end exclusive; base forms may overlap between
+kinds, and the units of overlapping spans are one, of the first kind as listed; a found span never touches a base span; of two kinds
+with equal scores the later name wins; very long texts are read whole, a slice of rows at a time; repeated rows
+each get their result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,13 +30,16 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from casebook.llm.common import row_slices
-from casebook.session import materialize
+from casebook.session import Passing, materialize
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,20 +47,24 @@ ADDRESS = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TOKEN = re.compile(r"\S*[0-9]\S*")
+KEY = re.compile(r"(?<![0-9A-Za-z])(?=[A-Fa-f]*+[0-9])(?=[0-9]*+[A-Fa-f])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")
+WORD = re.compile(r"\S+")
+NUMBER = re.compile(r"[0-9()+./-]*[0-9][0-9()+./-]*")
 NOT_DIGITS = re.compile(r"[^0-9]+")
 EDGES = ".,;:!?\"'()[]{}<>"
+#: Bits of the filter of a look-up, 1 MB in all. Beyond some two million entries it lets more through; results stay the same.
+FILTER_BITS = 23
+MIXERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern needs ``support`` known identifiers and ``precision``; an identifier ``patterns`` of them and ``score``."""
+    """See the module's steps: distinct seeds a pattern needs, its precision, an identifier's score and share of occurrences."""
 
-    rounds: int = 3
     support: int = 3
     precision: float = 0.6
-    patterns: int = 2
-    score: float = 0.8
+    score: float = 0.85
+    share: float = 0.5
 
 
 def luhn(digits: str) -> bool:
@@ -92,117 +106,260 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Patterns of a span: two words before, two after, and one on each side; words count without edge marks."""
-    plain = lambda words: [w for w in (x.strip(EDGES).lower() for x in words) if w]
-    before = plain(text[max(0, start - 80) : start].split())[-2:]
-    after = plain(text[end : end + 80].split())[:2]
-    found = []
-    if len(before) == 2:
-        found.append(f"{before[0]} {before[1]} _")
-    if len(after) == 2:
-        found.append(f"_ {after[0]} {after[1]}")
-    if before and after:
-        found.append(f"{before[-1]} _ {after[0]}")
-    return found
-
-
-def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Base spans and other tokens with a digit, with what they say and where they stand."""
-    if not base and not DIGIT.search(text):
-        return []
-    found = [(kind, start, end) for kind, start, end in base]
+def seed_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Base spans, and keys that touch none of them."""
+    found = list(base)
     taken = sorted((start, end) for _, start, end in base)
     at = 0
-    for m in TOKEN.finditer(text):
-        start, end = m.span()
-        while start < end and text[start] in EDGES:
-            start += 1
-        while start < end and text[end - 1] in EDGES:
-            end -= 1
-        # Spans are looked at in order; those that end before this token cannot touch a later one.
-        while at < len(taken) and taken[at][1] <= start:
+    for m in KEY.finditer(text):
+        while at < len(taken) and taken[at][1] <= m.start():
             at += 1
-        touched, look = False, at
-        while look < len(taken) and taken[look][0] < end and not touched:
-            touched = taken[look][1] > start
-            look += 1
-        if start < end and not touched:
-            found.append((None, start, end))
-    return [
-        {"kind": kind, "start": start, "end": end, "entity": text[start:end].lower(), "patterns": contexts(text, start, end)}
-        for kind, start, end in found
-    ]
+        if at == len(taken) or taken[at][0] >= m.end():
+            found.append((SECRET, *m.span()))
+    return found
+
+
+class Plain(dict):
+    """Hash of a word in lower case without edge marks, 0 if nothing is left; computed once per word of a task."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        left = word.strip(EDGES).lower()
+        found = self[word] = (xxhash.xxh3_64_intdigest(left.encode("utf-8", "surrogatepass")) or 1) if left else 0
+        return found
+
+
+def units(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None, str]]:
+    """start, end, kind (of seeds) and plain text of every unit, in order."""
+    found: list[tuple[int, int, str | None, str]] = []
+    order = (*KINDS, SECRET)
+    merged: list[list] = []
+    for kind, start, end in sorted(seed_spans(text, base), key=lambda x: (x[1], x[2])):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(end, merged[-1][1])
+            merged[-1][2] = min(merged[-1][2], kind, key=order.index)
+        else:
+            merged.append([start, end, kind])
+    at, run = 0, False
+
+    def words(start: int, stop: int) -> None:
+        nonlocal run
+        for m in WORD.finditer(text, start, stop):
+            low, high = m.span()
+            number = NUMBER.fullmatch(m[0].rstrip(EDGES)) is not None
+            while low < high and text[low] in EDGES:
+                low += 1
+            while low < high and text[high - 1] in EDGES:
+                high -= 1
+            if low == high:
+                continue
+            if number and run and low == found[-1][1] + 1 and text[low - 1] == " ":
+                found[-1] = (found[-1][0], high, None, text[found[-1][0] : high].lower())
+            else:
+                found.append((low, high, None, text[low:high].lower()))
+            run = number
+
+    for start, end, kind in merged:
+        words(at, start)
+        found.append((start, end, kind, text[start:end].lower()))
+        at, run = end, False
+    words(at, len(text))
+    return found
+
 
+def hashed(text: str, base: list[tuple[str, int, int]], plain: Plain) -> tuple[np.ndarray, list | None]:
+    """Hashes of a text's units, and the units themselves where words are not units already."""
+    if base or DIGIT.search(text):
+        listed = units(text, base)
+        return np.array([xxhash.xxh3_64_intdigest(u[3].encode("utf-8", "surrogatepass")) or 1 for u in listed], np.uint64), listed
+    words = text.split()
+    h = np.fromiter(map(plain.__getitem__, words), np.uint64, len(words))
+    return h[h != 0], None
 
-MENTION = "struct<kind:string,start:int,end:int,entity:string,patterns:array<string>>"
+
+def patterns_of(h: np.ndarray) -> np.ndarray:
+    """Three rows: the pattern of each unit by the two before it, the two after it, and one on each side; 0 where one is missing."""
+    n = len(h)
+    found = np.zeros((3, n), np.uint64)
+
+    def mix(form: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = (a ^ MIXERS[form]) * MIXERS[0]
+        x = ((x ^ (x >> np.uint64(29))) + b) * MIXERS[1]
+        return (x ^ (x >> np.uint64(32))) | np.uint64(1)
+
+    if n > 2:
+        found[0, 2:] = mix(0, h[:-2], h[1:-1])
+        found[1, :-2] = mix(1, h[1:-1], h[2:])
+        found[2, 1:-1] = mix(2, h[:-2], h[2:])
+    return found
+
+
+def bits_of(hashes: DataFrame, name: str) -> bytes:
+    """The bit filter of a column of hashes, two bits each; at most ``2**FILTER_BITS / 64`` rows come to the driver."""
+    mask = (1 << FILTER_BITS) - 1
+    bit = F.explode(F.array(F.col(name).bitwiseAND(mask), F.shiftrightunsigned(name, 40).bitwiseAND(mask)))
+    rows = hashes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("place")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
+    )
+    filled = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for row in rows.toLocalIterator():
+        filled[row.place] = row.bits
+    return filled.tobytes()
+
+
+def passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    mask, six, one = np.uint64((1 << FILTER_BITS) - 1), np.uint64(6), np.uint64(1)
+    test = lambda x: (bits[x >> six] >> (x & np.uint64(63))) & one
+    return (test(h & mask) & test((h >> np.uint64(40)) & mask)).astype(bool)
+
+
+def read_rows(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """One stored row per document: doc_id, mark, base (array of kind, start, end) and mentions."""
+    """One stored row per document: doc_id, mark, base (array of kind, start, end), seeds (kind, start, end, entity, patterns)."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    mention = pa.struct([*span, ("entity", pa.string()), ("patterns", pa.list_(pa.string()))])
-    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("base", pa.list_(span)), ("mentions", pa.list_(mention))])
+    seed = pa.struct([*span, ("entity", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("base", pa.list_(span)), ("seeds", pa.list_(seed))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            bases, said = [], []
+            bases, seeds = [], []
             for text in batch.column(2).to_pylist():
-                base = base_spans(text or "")
+                text = text or ""
+                base = base_spans(text)
                 bases.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in base])
-                said.append(mentions(text or "", base))
+                said = []
+                if base or KEY.search(text):
+                    h, listed = hashed(text, base, Plain())
+                    signed, around = h.view(np.int64), patterns_of(h).view(np.int64)
+                    for i, (start, end, kind, _) in enumerate(listed):
+                        if kind:
+                            near = [int(x) for x in around[:, i] if x]
+                            said.append({"kind": kind, "start": start, "end": end, "entity": int(signed[i]), "patterns": near})
+                seeds.append(said)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(bases, pa.list_(span)), pa.array(said, pa.list_(mention))],
-                schema=schema,
+                [batch.column(0), batch.column(1), pa.array(bases, pa.list_(span)), pa.array(seeds, pa.list_(seed))], schema=schema
             )
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
-    return materialize(
-        rows.mapInArrow(
-            read, f"doc_id long, mark long, base array<struct<kind:string,start:int,end:int>>, mentions array<{MENTION}>"
-        ),
-        "spans",
-    )
+    kinds = "kind:string,start:int,end:int"
+    return materialize(read_rows(documents).mapInArrow(
+        read, f"doc_id long, mark long, base array<struct<{kinds}>>, seeds array<struct<{kinds},entity:bigint,patterns:array<bigint>>>"
+    ), "spans")
 
 
-def bootstrap(mentioned: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Identifiers (entity, kind) that the rounds add to the seeds; stored.
+def look_up(documents: DataFrame, bits: bytes, by_pattern: bool) -> DataFrame:
+    """pattern, form, entity, n: how often a unit stands in a pattern, for patterns (or entities) that pass the filter.
 
-    ``mentioned`` has entity, kind (null for no base form) and patterns.
+    Summed within slices of rows only. By entity, an occurrence also counts as form -1, pattern 0.
     """
-    pairs = materialize(mentioned.select("entity", F.explode("patterns").alias("pattern")).distinct(), "graph")
-    totals = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
-    seeds = mentioned.where(F.col("kind").isNotNull()).select("entity", "kind").distinct()
-    known = materialize(seeds.withColumn("seed", F.lit(True)), "known")
-    for _ in range(rule.rounds):
-        held = pairs.join(known, "entity").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
-        good = held.join(totals, "pattern").select(
-            "pattern", "kind", "n", (F.col("n") / (F.col("total") + 1)).alias("precision")
-        ).where((F.col("n") >= rule.support) & (F.col("precision") >= rule.precision))
-        scored = (
-            pairs.join(good, "pattern")
-            .join(known.select("entity").distinct(), "entity", "left_anti")
-            .groupBy("entity", "kind")
-            .agg(F.count(F.lit(1)).alias("n"), (1 - F.exp(F.sum(F.log(1 - F.col("precision"))))).alias("score"))
-            .where((F.col("n") >= rule.patterns) & (F.col("score") >= rule.score))
-        )
-        best = scored.groupBy("entity").agg(F.max(F.struct("score", "kind")).alias("best"))
-        added = materialize(best.select("entity", F.col("best.kind").alias("kind"), F.lit(False).alias("seed")), "added")
-        if added.isEmpty():
+    names = ["pattern", "form", "entity", "n"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, table = Plain(), np.frombuffer(bits, np.uint64)
+        for batch in row_slices(batches):
+            parts = []
+            for text in batch.column(2).to_pylist():
+                h, _ = hashed(text, base_spans(text), plain) if text else (np.empty(0, np.uint64), None)
+                around = patterns_of(h) if len(h) else np.empty((3, 0), np.uint64)
+                met = None if by_pattern else passes(h, table)
+                for form in range(3):
+                    at = np.flatnonzero((around[form] != 0) & (passes(around[form], table) if by_pattern else met))
+                    if len(at):
+                        parts.append(np.stack([around[form, at].view(np.int64), np.full(len(at), form), h[at].view(np.int64)], axis=1))
+                if met is not None and met.any():
+                    here = h[met].view(np.int64)
+                    parts.append(np.stack([np.zeros_like(here), np.full(len(here), -1), here], axis=1))
+            if parts:
+                rows, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
+                columns = [np.ascontiguousarray(rows[:, i]) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(n.astype(np.int64))], names=names)
+
+    return read_rows(documents).mapInArrow(read, "pattern long, form long, entity long, n long")
+
+
+def occurrences(documents: DataFrame, bits: bytes) -> DataFrame:
+    """doc_id, mark, entity, start, end of every unit that passes the filter and is no seed."""
+    names = ["doc_id", "mark", "entity", "start", "end"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, table = Plain(), np.frombuffer(bits, np.uint64)
+        for batch in row_slices(batches):
+            rows = []
+            for doc, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                base = base_spans(text) if text else []
+                h, listed = hashed(text, base, plain) if text else (np.empty(0, np.uint64), None)
+                at = np.flatnonzero(passes(h, table))
+                if len(at):
+                    listed = listed or units(text, base)
+                    rows += [(doc, mark, int(h[i : i + 1].view(np.int64)[0]), *listed[i][:2]) for i in at.tolist() if not listed[i][2]]
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds, strict=True)], names=names)
+
+    return read_rows(documents).mapInArrow(read, "doc_id long, mark long, entity long, start int, end int")
+
+
+def bootstrap(documents: DataFrame, seeds: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Identifiers (entity, kind) that the rounds add to the seeds, stored. ``seeds`` has kind, entity, patterns."""
+    spark = documents.sparkSession
+    count = F.count(F.lit(1))
+    known = materialize(seeds.select("entity", "kind").distinct().withColumn("seed", F.lit(True)), "known")
+    around = materialize(seeds.select("entity", "kind", F.explode("patterns").alias("pattern")).distinct(), "around")
+    looked = slots = None
+    while True:
+        able = around.groupBy("pattern", "kind").agg(count.alias("n")).where(F.col("n") >= rule.support).select("pattern").distinct()
+        able = materialize(able if looked is None else able.join(looked, "pattern", "left_anti"), "patterns")
+        if not able.isEmpty():
+            found = look_up(documents, bits_of(able, "pattern"), True).join(able, "pattern")
+            found = materialize(found.groupBy("pattern", "form", "entity").agg(F.sum("n").alias("n")), "slots")
+            slots, looked = (found, able) if slots is None else (slots.union(found), looked.union(able))
+        if slots is None:
             break
-        known = materialize(known.union(added), "known")
+        held = around.groupBy("pattern", "kind").agg(count.alias("held"))
+        good = held.join(slots.groupBy("pattern").agg(count.alias("total")), "pattern").select(
+            "pattern", "kind", "held", (F.col("held") / (F.col("total") + 1)).alias("precision")
+        ).where((F.col("held") >= rule.support) & (F.col("precision") >= rule.precision))
+        with Passing(spark) as block:
+            met = slots.join(good, "pattern").join(known.select("entity").distinct(), "entity", "left_anti")
+            scored = met.groupBy("entity", "kind").agg(
+                (1 - F.exp(F.sum(F.log(1 - F.col("precision"))))).alias("score"),
+                F.greatest(*[F.sum(F.when(F.col("form") == form, F.col("n")).otherwise(0)) for form in range(3)]).alias("inside"),
+            ).where(F.col("score") >= rule.score)
+            best = scored.groupBy("entity").agg(F.max(F.struct("score", "kind", "inside")).alias("best"))
+            best = materialize(best.select("entity", "best.kind", "best.inside"), "candidates")
+            if best.isEmpty():
+                break
+            everywhere = materialize(
+                look_up(documents, bits_of(best, "entity"), False).join(best.select("entity"), "entity")
+                .groupBy("pattern", "form", "entity").agg(F.sum("n").alias("n")),
+                "everywhere",
+            )
+            totals = everywhere.where(F.col("form") == -1).select("entity", F.col("n").alias("all"))
+            added = best.join(totals, "entity").where(F.col("inside") >= rule.share * F.col("all")).select("entity", "kind")
+            added = block.keep(added.withColumn("seed", F.lit(False)), "added")
+            if added.isEmpty():
+                break
+            more = everywhere.where(F.col("form") >= 0).join(added, "entity").select("entity", "kind", "pattern")
+            around = around.union(block.keep(more, "around"))
+        known = known.union(added)
     return known.where(~F.col("seed")).select("entity", "kind")
 
 
 def find(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, mark, base and found spans (arrays of kind, start, end) of every document."""
+    """doc_id, mark, base and found spans (arrays of kind, start, end) of every document; seeds of no base form are found ones."""
     scanned = scan(documents)
-    said = scanned.select("doc_id", "mark", F.explode("mentions").alias("m")).select("doc_id", "mark", "m.*")
-    added = bootstrap(said, rule)
-    new = (
-        said.where(F.col("kind").isNull()).drop("kind").join(added, "entity")
-        .groupBy("doc_id", "mark").agg(F.collect_set(F.struct("kind", "start", "end")).alias("found"))
-        .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "found")
+    said = scanned.select("doc_id", "mark", F.explode("seeds").alias("s")).select("doc_id", "mark", "s.*")
+    added = materialize(bootstrap(documents, said, rule), "added")
+    span = F.struct("kind", "start", "end")
+    new = said.where(F.col("kind") == SECRET).select("doc_id", "mark", span.alias("span"))
+    if not added.isEmpty():
+        more = occurrences(documents, bits_of(added, "entity")).join(added, "entity")
+        new = new.union(more.select("doc_id", "mark", span))
+    new = new.groupBy("doc_id", "mark").agg(F.collect_set("span").alias("found")).select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "found"
     )
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return scanned.join(
@@ -211,8 +368,8 @@ def find(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def report(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Counts of the base forms, the digest of the base spans, and all spans as text."""
-    rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
+    """Counts of the base forms, the digest of the base spans, all spans as text, and how many were found beyond the base."""
+    rank = F.create_map(*[x for i, k in enumerate((*KINDS, SECRET)) for x in (F.lit(k), F.lit(i))])
 
     def listed(spans):
         ordered = F.array_sort(
@@ -224,5 +381,6 @@ def report(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return find(documents, rule).select(
         "doc_id", *[count(k) for k in KINDS],
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
-        listed(F.concat("base", "found")).alias("spans"),
+        listed(F.concat("base", "found")).alias("spans"), F.size("found").cast("long").alias("n_found"),
+        F.size(F.concat("base", "found")).cast("long").alias("n_spans"),
     )
