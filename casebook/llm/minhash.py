@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casebook.llm.common import carried, components, row_slices, same_key
 from casebook.operators.ordering import first_per_key
-from casebook.session import materialize
+from casebook.session import Passing, materialize
 
 BANDS, ROWS, BITS = 25, 5, 2
 PERMUTATIONS = 128
@@ -58,7 +58,7 @@ MULTIPLIERS = _random.integers(0, 1 << 64, PERMUTATIONS, dtype=np.uint64) | np.u
 MIXERS = _random.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
 
 SIGNATURES = (
-    "doc_id long, mark long, text string, n_shingles long, node binary, bands array<long>, signature array<long>"
+    "doc_id long, mark long, n_shingles long, node binary, bands array<long>, signature array<long>"
 )
 
 
@@ -121,11 +121,14 @@ def packed(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low << shifts, axis=1).view(np.int64)
 
 
+def marked(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
+
+
 def signatures(documents: DataFrame, rule: Rule) -> DataFrame:
-    """One stored row per document with its set size, node, bands and packed signature."""
+    """One stored row per document with its set size, node, bands and packed signature; texts stay in the input."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("mark", pa.int64()), ("text", pa.string()), ("n_shingles", pa.int64()),
-        ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64())),
+        ("doc_id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64())),
     ])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,13 +148,12 @@ def signatures(documents: DataFrame, rule: Rule) -> DataFrame:
                     bands.append(None)
                     signs.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2)]
-                + [pa.array(x, f.type) for x, f in zip((sizes, nodes, bands, signs), list(schema)[3:], strict=True)],
+                [batch.column(0), batch.column(1)]
+                + [pa.array(x, f.type) for x, f in zip((sizes, nodes, bands, signs), list(schema)[2:], strict=True)],
                 schema=schema,
             )
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
-    return materialize(rows.mapInArrow(sign, SIGNATURES), "signatures")
+    return materialize(marked(documents).mapInArrow(sign, SIGNATURES), "signatures")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -172,24 +174,23 @@ def least_estimate(rule: Rule) -> float:
     return t - MARGIN * math.sqrt(p * (1 - p) / PERMUTATIONS) / (1 - chance)
 
 
-def texts_of(wanted: DataFrame, signed: DataFrame) -> DataFrame:
-    """Stored (node, text) of the wanted nodes.
+def texts_of(wanted: DataFrame, signed: DataFrame, documents: DataFrame) -> DataFrame:
+    """Stored (node, text) of the wanted nodes, read from the input.
 
-    One row stands for a node; it is named by id and text, so copies do not meet under one key.
+    One row stands for a node, named by its id and the hash of its text, so copies do not meet under one key. Rows that repeat
+    both are taken once.
     """
-    holders = (
+    whole = lambda df: df.withColumn("key", F.coalesce("doc_id", F.lit(0)))
+    holders = whole(
         signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
-        .join(wanted, "node").select("node", F.col("row.doc_id").alias("id"), F.col("row.mark").alias("text_mark"))
-    )
-    found = signed.select(F.col("node").alias("of"), "doc_id", "mark", "text").join(
-        holders,
-        (F.col("of") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("text_mark")),
-    )
-    return materialize(found.select("node", "text"), "texts")
+        .join(wanted, "node").select("node", "row.doc_id", "row.mark")
+    ).withColumnRenamed("doc_id", "id")
+    found = whole(marked(documents)).join(holders, ["key", "mark"]).where(F.col("doc_id").eqNullSafe(F.col("id")))
+    return materialize(first_per_key(found, ["key", "mark", "node"], [F.col("text")]).select("node", "text"), "texts")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Those pairs (a, b) of nodes whose full sets reach the threshold, stored."""
+    """Those pairs (a, b) of nodes whose full sets reach the threshold."""
     rows = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -211,7 +212,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             chosen = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], schema=schema)
 
-    return materialize(rows.mapInArrow(check, "a binary, b binary").distinct(), "links")
+    return rows.mapInArrow(check, "a binary, b binary").distinct()
 
 
 def place(turn: int, group: str = "group", size: str = "size") -> Column:
@@ -220,9 +221,9 @@ def place(turn: int, group: str = "group", size: str = "size") -> Column:
 
 
 def sized(labels: DataFrame) -> DataFrame:
-    """Labels (node, group, size), stored."""
+    """Labels (node, group, size)."""
     sizes = labels.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    return materialize(labels.join(sizes, "group").select("node", "group", "size"), "labels")
+    return labels.join(sizes, "group").select("node", "group", "size")
 
 
 def group_links(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -240,19 +241,22 @@ def hook(labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     """
     to = F.min(F.struct(place(turn, "b", "size_b").alias("place"), F.col("b")))["b"]
     first = group_links(labels, links).groupBy("a").agg(to.alias("to"))
-    first = materialize(first.select(F.col("a").alias("group"), "to"), "hooks")
-    for _ in range(2):
-        further = first.select(F.col("group").alias("to"), F.col("to").alias("on"))
-        first = first.join(further, "to", "left").select("group", F.coalesce("on", "to").alias("to"))
-    return sized(labels.join(first, "group", "left").select("node", F.coalesce("to", "group").alias("group")))
+    with Passing(labels.sparkSession) as block:
+        first = materialize(first.select(F.col("a").alias("group"), "to"), "hooks")
+        for _ in range(2):
+            further = first.select(F.col("group").alias("to"), F.col("to").alias("on"))
+            first = first.join(further, "to", "left").select("group", F.coalesce("on", "to").alias("to"))
+        moved = labels.join(first, "group", "left").select("node", F.coalesce("to", "group").alias("group"))
+        return block.keep(sized(moved), "labels")
 
 
 def closed(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (node, group), stored, with one group per connected component of the links (a, b) between groups."""
-    found = components(group_links(labels, links)).select(F.col("node").alias("group"), "component")
-    return materialize(
-        labels.join(found, "group", "left").select("node", F.coalesce("component", "group").alias("group")), "labels"
-    )
+    with Passing(labels.sparkSession) as block:
+        found = components(group_links(labels, links)).select(F.col("node").alias("group"), "component")
+        return block.keep(
+            labels.join(found, "group", "left").select("node", F.coalesce("component", "group").alias("group")), "labels"
+        )
 
 
 def pivot_pairs(labelled: DataFrame, rule: Rule, turn: int) -> DataFrame:
@@ -322,12 +326,13 @@ def supported(labelled: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     still = materialize(mixed(labelled).drop("least"), "mixed").withColumn("s", F.lit(0).cast("long"))
     left = still.count()
     while left:
-        counts = support(still, texts, rule)
-        counted = mixed(still.drop("s").withColumn("name", F.xxhash64("node")).join(counts, "name", "left").drop("name"))
-        s = F.coalesce("s", F.lit(0))
-        least = F.greatest(F.col("least"), F.ceil(F.col("n") * rule.percent / 100))
-        enough = s * (100 + rule.percent) >= rule.percent * (F.col("n") + least)
-        still = materialize(mixed(counted.where(enough).drop("least")).drop("least"), "mixed")
+        with Passing(labelled.sparkSession) as block:
+            counts = support(still, texts, rule)
+            counted = mixed(still.drop("s").withColumn("name", F.xxhash64("node")).join(counts, "name", "left").drop("name"))
+            s = F.coalesce("s", F.lit(0))
+            least = F.greatest(F.col("least"), F.ceil(F.col("n") * rule.percent / 100))
+            enough = s * (100 + rule.percent) >= rule.percent * (F.col("n") + least)
+            still = block.keep(mixed(counted.where(enough).drop("least")).drop("least"), "mixed")
         before, left = left, still.count()
         if left > 0.9 * before:
             break
@@ -358,10 +363,11 @@ def take_turns(
     """Labels after some turns over the rows (bucket, node, …), and the links found."""
     links = []
     for turn in turns:
-        labelled = materialize(rows.join(labels, "node"), "labelled")
-        if pairs_across(labelled) <= bound:
-            break
-        links.append(confirm(pivot_pairs(labelled, rule, turn), texts, rule))
+        with Passing(rows.sparkSession) as block:
+            labelled = materialize(rows.join(labels, "node"), "labelled")
+            if pairs_across(labelled) <= bound:
+                break
+            links.append(block.keep(confirm(pivot_pairs(labelled, rule, turn), texts, rule), "links"))
         if links[-1].isEmpty():
             break
         labels = hook(labels, links[-1], turn)
@@ -369,7 +375,13 @@ def take_turns(
 
 
 def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row per document: doc_id, mark, n_shingles, component_id, kept."""
+    """One stored row per document: doc_id, mark, n_shingles, component_id, kept. Tables made on the way are removed."""
+    with Passing(documents.sparkSession) as block:
+        return block.keep(classes(documents, rule), "classes")
+
+
+def classes(documents: DataFrame, rule: Rule) -> DataFrame:
+    """The rows of ``near_duplicates``, from tables that must still be there when they are read."""
     signed = signatures(documents, rule)
     filled = signed.where(F.col("node").isNotNull())
     nodes = materialize(
@@ -382,8 +394,8 @@ def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     every = nodes.select("node", "signature", "n", F.explode("bands").alias("bucket"))
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket")
     rows = materialize(every.join(shared, "bucket"), "buckets")
-    labels = sized(rows.select("node").distinct().withColumn("group", F.col("node")))
-    texts = texts_of(labels.select("node"), signed)
+    labels = materialize(sized(rows.select("node").distinct().withColumn("group", F.col("node"))), "labels")
+    texts = texts_of(labels.select("node"), signed, documents)
     bound = PAIRS_PER_NODE * labels.count()
     labels, links = take_turns(rows, labels, texts, rule, range(TURNS), bound)
     still = supported(rows.join(labels, "node"), texts, rule)
@@ -391,7 +403,7 @@ def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     labels, more = take_turns(still.select(names), labels, texts, rule, range(TURNS, TURNS + MORE_TURNS), bound)
     if more:
         still = supported(still.select(names).join(labels, "node"), texts, rule)
-    links += [*more, confirm(across(still, nodes, rule), texts, rule)]
+    links += [*more, materialize(confirm(across(still, nodes, rule), texts, rule), "links")]
     labels = closed(labels, reduce(DataFrame.union, links))
 
     named = nodes.select("node", "id").join(labels, "node", "left").select(
