@@ -232,7 +232,7 @@ def scan(documents: DataFrame) -> DataFrame:
                 base = base_spans(text)
                 bases.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in base])
                 said = []
-                if base or KEY.search(text):
+                if base or DIGIT.search(text) and KEY.search(text):
                     h, listed = hashed(text, base, Plain())
                     signed, around = h.view(np.int64), patterns_of(h).view(np.int64)
                     for i, (start, end, kind, _) in enumerate(listed):
@@ -273,9 +273,12 @@ def look_up(documents: DataFrame, bits: bytes, by_pattern: bool) -> DataFrame:
                     here = h[met].view(np.int64)
                     parts.append(np.stack([np.zeros_like(here), np.full(len(here), -1), here], axis=1))
             if parts:
-                rows, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
-                columns = [np.ascontiguousarray(rows[:, i]) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(n.astype(np.int64))], names=names)
+                rows = np.concatenate(parts)
+                rows = rows[np.lexsort(rows.T)]
+                first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
+                n = np.diff(np.r_[first, len(rows)]).astype(np.int64)
+                columns = [np.ascontiguousarray(rows[first, i]) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(n)], names=names)
 
     return read_rows(documents).mapInArrow(read, "pattern long, form long, entity long, n long")
 
