@@ -1,33 +1,40 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes of a text: h = 2h + gear[byte], so a 32-bit value
-knows the last 32 bytes. A chunk ends where the top bits of h are zero, but not
-before ``least`` bytes and at the latest after ``most``. Ends depend on content
-alone: behind an insertion, chunks are soon the same again. Equal chunks (128-bit
-digest) of different documents are duplicates. ``duplicate_runs`` lists runs of them.
-
-Chunks at the edges of a passage hold other bytes too, so ``duplicate_passages``
-does not depend on whole chunks. It cuts where the gear hash of ``REACH`` bytes is
-the least of all that begin in a window, so wide that every stretch of ``run``
-bytes holds a cut with the ``core`` bytes behind it. Equal cores are candidates
-only: each is compared byte by byte, to both sides, with the first and the last
-place of its core, and what matches over ``run`` bytes or more is a passage; the
-pieces of a passage overlap and are put together. Texts below ``run`` bytes are
-compared as wholes. The first place of a passage (by id, then text) keeps it.
-
-The hash of a whole text comes from five doubling steps on arrays. Chunks are
-counted with partial aggregation; a chunk of many documents only moves a smallest
-and a largest id. Occurrences of shared chunks are found by a join whose hot keys
-can be split, and only a document's own chunks ever come together.
-
-Defined cases: null or empty text has no chunks; rows that repeat an id are parts
-of one document and do not repeat each other; null ids are one document; other
-columns are ignored.
+knows ``REACH`` bytes. A text is cut wherever the hash of the bytes behind a place
+is the least of all places in some window of ``Rule.window``. A chunk reaches from a
+cut to the end of the bytes that decided on the next cut, so both its ends depend
+on its content alone: chunks vary in length, and behind an insertion they are the
+same again. Every stretch of ``run`` bytes holds two cuts and with them a whole chunk.
+
+Chunks are deduplicated by digest. A chunk belongs to a string if windows inside the
+string decide on both its cuts; wherever the string stands, it has the same chunks.
+So a string of ``run`` bytes can only stand elsewhere too if all its chunks do, and
+all other strings are out. What is left is decided by digests of whole strings:
+first one longer string per cut, which settles all starts up to the next cut at
+once, so that the inside of a long copy costs a digest a cut; then the string of
+``run`` bytes at each start that is still open, which are the ends of the copies.
+What these may match can lie inside a copy that is settled: of each settled group
+the first place joins in with those of its strings whose first chunk an open one has.
+Equal strings at different places are repeats; no two places are chosen as witnesses
+for others. A passage is what such strings cover together where they overlap. Texts
+below ``run`` bytes are compared as wholes. Of the places compared, the first one of
+a string (by id, then text, then place) keeps it.
+
+Strings are grouped by 128 bits with partial aggregation, which moves a first and
+a last place per string; occurrences find their group by a join whose hot keys can
+be split. Only a document's own places ever come together.
+
+Defined cases: null or empty text has no chunks; rows that repeat an id and a text
+are one and do not repeat each other; rows of one id with different texts are
+parts of one document; null ids are one document; a very long text is hashed in
+pieces and its rows grow with its length; other columns are ignored. Bounds are
+moved inwards to whole characters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casebook.llm.common import carried, row_slices, same_key
-from casebook.session import materialize
+from casebook.session import Passing, materialize
 
 GEAR = np.random.default_rng(20_240_603).integers(0, 1 << 32, 256, dtype=np.uint32)
 REACH = 32
@@ -46,16 +53,26 @@ NO_ID = -(1 << 63)
 
 @dataclass(frozen=True)
 class Rule:
-    least: int = 16
-    bits: int = 5  # a chunk ends once in 2**bits bytes on average after ``least``
-    most: int = 256
-    run: int = 100
-    core: int = 64  # bytes behind a cut that make two places candidates
+    run: int = 100  # bytes from which on a string that stands elsewhere counts
+
+    def __post_init__(self) -> None:
+        if self.run < 2 * REACH:
+            raise ValueError(f"run must be {2 * REACH} at least, so that a chunk fits into every string")
 
     @property
     def window(self) -> int:
-        """Cuts are at most this far apart."""
-        return self.run - self.core + 1
+        """Cuts are at most this far apart: a string of ``run`` bytes holds two such windows."""
+        return (self.run - REACH + 1) // 2
+
+    @property
+    def turns(self) -> int:
+        """Windows in a string of ``run`` bytes."""
+        return self.run - REACH + 1 - self.window + 1
+
+    @property
+    def longer(self) -> int:
+        """Length of the string that settles all starts from a cut up to the next one."""
+        return self.run + self.window
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -69,291 +86,229 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_ends(data: np.ndarray, rule: Rule) -> list[int]:
-    """Ends of the chunks of a text."""
-    shift, ends, last = np.uint32(32 - rule.bits), [], 0
-    for start in range(0, len(data), PIECE):
-        before = min(start, REACH - 1)
-        h = gear_hashes(data[start - before : start + PIECE])[before:]
-        for end in (np.flatnonzero((h >> shift) == 0) + start + 1).tolist():
-            if end - last < rule.least:
-                continue
-            while end - last > rule.most:
-                last += rule.most
-                ends.append(last)
-            if end - last >= rule.least:
-                last = end
-                ends.append(end)
-    n = len(data)
-    while n - last > rule.most:
-        last += rule.most
-        ends.append(last)
-    if last < n:
-        ends.append(n)
-    return ends
+def cut_places(data: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose hash is the least of some window of places (the first of equal ones), and the first such window of each."""
+    places, wide, cuts, firsts = len(data) - REACH + 1, rule.window, [], []
+    for start in range(0, max(0, places - wide + 1), PIECE):
+        stop = min(start + PIECE + wide - 1, places)
+        h = gear_hashes(data[start : stop + REACH - 1])[REACH - 1 :].astype(np.uint64)
+        least = (h << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
+        span = 1
+        while span < wide:
+            step = min(span, wide - span)
+            least, span = np.minimum(least[:-step], least[step:]), span + step
+        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)  # never falls from one window to the next
+        new = np.flatnonzero(np.diff(at, prepend=-1))
+        cuts.append(at[new] + start)
+        firsts.append(new + start)
+    if not cuts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    found, which = np.unique(np.concatenate(cuts), return_index=True)
+    return found, np.concatenate(firsts)[which]
 
 
-def chunks(documents: DataFrame, rule: Rule) -> DataFrame:
-    """doc, mark, seq, low, high and digest (two longs) of every chunk."""
-    schema = pa.schema([
-        ("doc", pa.int64()), ("mark", pa.int64()), ("seq", pa.int32()), ("low", pa.int32()), ("high", pa.int32()),
-        ("d0", pa.int64()), ("d1", pa.int64()),
-    ])
+def chunk_bounds(raw: bytes, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each chunk its first and last byte places (end exclusive) and the last window that decides on its first cut.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_slices(batches, 128):
-            docs, marks, counts, lows, highs, seqs, digests = [], [], [], [], [], [], []
-            for doc, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                ends = chunk_ends(np.frombuffer(raw, np.uint8), rule)
-                if not ends:
-                    continue
-                starts = [0, *ends[:-1]]
-                docs.append(doc)
-                marks.append(mark)
-                counts.append(len(ends))
-                lows += starts
-                highs += ends
-                seqs.append(np.arange(len(ends), dtype=np.int32))
-                digests += [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(starts, ends, strict=True)]
-            if docs:
-                both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(np.array(docs, np.int64), counts)), pa.array(np.repeat(np.array(marks, np.int64), counts)),
-                        pa.array(np.concatenate(seqs)), pa.array(lows, pa.int32()), pa.array(highs, pa.int32()),
-                        pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()),
-                    ],
-                    schema=schema,
-                )
+    The chunk belongs to the strings that hold this window and the next one. A text below ``run`` bytes is one chunk.
+    """
+    if len(raw) < rule.run:
+        return np.zeros(1, np.int64), np.full(1, len(raw), np.int64), np.zeros(1, np.int64)
+    cuts, firsts = cut_places(np.frombuffer(raw, np.uint8), rule)
+    return cuts[:-1], cuts[1:] + REACH, firsts[1:] - 1
 
-    rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("mark"),
-        F.col("text").cast("string").alias("text"),
-    )
-    return rows.mapInArrow(cut, "doc long, mark long, seq int, low int, high int, d0 long, d1 long")
 
+def digests_of(raw: bytes, low: np.ndarray, high: np.ndarray, rule: Rule) -> np.ndarray:
+    """Digests of chunks. They only nominate, so 64 bits do."""
+    seed = int(len(raw) < rule.run)
+    found = [xxhash.xxh3_64_intdigest(raw[a:b], seed) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+    return np.array(found, np.uint64).view(np.int64)
 
-def duplicate_runs(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Stretches of a document that other documents have too.
 
-    doc_id, mark, low, high (bytes), n_chunks, first_doc_id (the smallest id that has
-    the first of the chunks), other_doc_id (another document that has it), and
-    ``removed``: the byte spans of chunks that an earlier document keeps.
-    """
-    shared = chunks(documents, rule).groupBy("d0", "d1").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    shared = materialize(shared.where(F.col("first") != F.col("last")), "shared")
-    held = renamed_join(chunks(documents, rule), shared)
-    # Neighbours have consecutive numbers, so number less rank is the same along a run.
-    order = Window.partitionBy("doc", "mark").orderBy("seq")
-    runs = held.withColumn("run", F.col("seq") - F.dense_rank().over(order)).groupBy("doc", "mark", "run").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.count_distinct("seq").alias("n_chunks"),
-        F.min(F.struct("seq", "first", "last")).alias("lead"),
-        F.array_sort(
-            F.collect_set(F.when(F.col("first") != F.col("doc"), F.struct("low", "high")))
-        ).alias("removed"),
-    )
-    named = lambda c: F.when(c != NO_ID, c)
-    other = F.when(F.col("lead.first") == F.col("doc"), F.col("lead.last")).otherwise(F.col("lead.first"))
-    return runs.where(F.col("high") - F.col("low") >= rule.run).select(
-        named(F.col("doc")).alias("doc_id"), "mark", "low", "high", "n_chunks",
-        named(F.col("lead.first")).alias("first_doc_id"), named(other).alias("other_doc_id"), "removed",
-    )
+def keyed(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("mark"),
+        F.col("text").cast("string").alias("text"),
+    ).where(F.octet_length("text") > 0)
 
 
-def renamed_join(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    of = shared.select(F.col("d0").alias("s0"), F.col("d1").alias("s1"), "first", "last")
-    return rows.join(of, (F.col("d0") == F.col("s0")) & (F.col("d1") == F.col("s1"))).select(
-        "doc", "mark", "seq", "low", "high", "first", "last"
-    )
+PLACE = [("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32())]
+Found = tuple[np.ndarray, ...]
 
 
-def least_cuts(data: np.ndarray, rule: Rule) -> np.ndarray:
-    """Places whose gear hash is the least of some window of places; of equal ones in a row, as few as leave no window empty."""
-    wide, found = rule.window, []
-    last = len(data) - rule.run  # the last place at which a stretch of ``run`` bytes can begin
-    places = last + wide  # a core fits behind each of them
-    for start in range(0, last + 1, PIECE):
-        stop = min(start + PIECE + wide - 1, places)
-        h = gear_hashes(data[start : stop + REACH - 1])[REACH - 1 :].astype(np.uint64)
-        least = (h << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
-        span = 1
-        while span < wide:
-            step = min(span, wide - span)
-            least, span = np.minimum(least[:-step], least[step:]), span + step
-        chosen = np.unique((least & np.uint64(0xFFFFFFFF)).astype(np.int64))
-        same = np.flatnonzero(h[chosen[1:]] == h[chosen[:-1]])
-        if len(same):
-            drop, held = [], -1
-            for i in same.tolist():  # i and i + 1 are equal; i goes if the one kept before reaches i + 1
-                if held >= 0 and i > 0 and h[chosen[i - 1]] == h[chosen[i]] and chosen[i + 1] - chosen[held] <= wide:
-                    drop.append(i)
-                else:
-                    held = i
-            chosen = np.delete(chosen, drop)
-        found.append(chosen + start)
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-
-
-def core_keys(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit key of the ``size`` bytes behind each place; equal keys are compared byte by byte later."""
-    key = np.full(len(at), 0x9E3779B97F4A7C15, np.uint64)
-    views = np.lib.stride_tricks.sliding_window_view(data, 8)
-    for i in [*range(0, size - 7, 8), *([size - 8] if size % 8 else [])]:
-        part = np.ascontiguousarray(views[at + i]).view(np.uint64).ravel()
-        key = (key ^ part) * np.uint64(0xD6E8FEB86659FD93)
-        key ^= key >> np.uint64(32)
-    return key.view(np.int64)
-
-
-def cuts(documents: DataFrame, rule: Rule) -> DataFrame:
-    """doc, mark, at and key of every cut; a text below ``run`` bytes has one, for the whole of it."""
-    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("key", pa.int64())])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def of_texts(rows: DataFrame, find: Callable[..., Found | None], more: list[tuple[str, pa.DataType]], kinds: str) -> DataFrame:
+    """doc, mark, at and further columns of the places that ``find`` gives for a text and what stands beside it."""
+    schema = pa.schema(PLACE + more)
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches, 128):
-            docs, marks, counts, places, keys = [], [], [], [], []
-            for doc, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                if not raw:
-                    continue
-                if len(raw) < rule.run:
-                    at, key = np.zeros(1, np.int64), np.array([xxhash.xxh3_64_intdigest(raw, 1)], np.uint64).view(np.int64)
-                else:
-                    data = np.frombuffer(raw, np.uint8)
-                    at = least_cuts(data, rule)
-                    key = core_keys(data, at, rule.core)
-                docs.append(doc)
-                marks.append(mark)
-                counts.append(len(at))
-                places.append(at)
-                keys.append(key)
+            docs, marks, counts, parts = [], [], [], []
+            for doc, mark, text, *rest in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                got = find(text.encode("utf-8", "surrogatepass"), *rest)
+                if got is not None and len(got[0]):
+                    docs.append(doc)
+                    marks.append(mark)
+                    counts.append(len(got[0]))
+                    parts.append(got)
             if docs:
+                columns = [np.repeat(np.array(docs, np.int64), counts), np.repeat(np.array(marks, np.int64), counts)]
+                columns += [np.concatenate(c) for c in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(np.array(docs, np.int64), counts)), pa.array(np.repeat(np.array(marks, np.int64), counts)),
-                        pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(keys)),
-                    ],
-                    schema=schema,
+                    [pa.array(c).cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                 )
 
-    return keyed(documents).mapInArrow(cut, "doc long, mark long, at int, key long")
+    return rows.mapInArrow(take, f"doc long, mark long, at int, {kinds}")
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    return documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("mark"),
-        F.col("text").cast("string").alias("text"),
-    )
+def chunks(documents: DataFrame, rule: Rule) -> DataFrame:
+    """doc, mark, at and digest of every chunk."""
 
+    def find(raw: bytes) -> Found:
+        low, high, _ = chunk_bounds(raw, rule)
+        return low, digests_of(raw, low, high, rule)
 
-def surroundings(documents: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
-    """Each held cut with the bytes around it: ``left`` of them before it, the core, and those behind."""
-    schema = pa.schema([
-        ("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("left", pa.int32()), ("bytes", pa.binary()),
-    ])
-    reach = rule.window
+    return of_texts(keyed(documents), find, [("digest", pa.int64())], "digest long")
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_slices(batches, 64):
-            for doc, mark, text, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                raw = text.encode("utf-8", "surrogatepass")
-                at = [p["at"] for p in places]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc] * len(at), pa.int64()), pa.array([mark] * len(at), pa.int64()), pa.array(at, pa.int32()),
-                        pa.array([p["key"] for p in places], pa.int64()), pa.array([min(a, reach) for a in at], pa.int32()),
-                        # One byte more than is compared, to see whether a character ends there.
-                        pa.array([raw[max(0, a - reach) : a + rule.core + reach + 1] for a in at], pa.binary()),
-                    ],
-                    schema=schema,
-                )
 
-    places = held.groupBy("doc", "mark").agg(F.collect_set(F.struct("at", "key")).alias("places"))
-    texts = keyed(documents).join(places, ["doc", "mark"]).select("doc", "mark", "text", "places")
-    return texts.mapInArrow(take, "doc long, mark long, at int, key long, left int, bytes binary")
-
-
-def common(a: bytes, b: bytes) -> int:
-    """Length of the common beginning."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    return next(i for i in range(n) if a[i] != b[i])
-
-
-def matched(a: bytes, left_a: int, b: bytes, left_b: int, rule: Rule) -> tuple[int, int] | None:
-    """The stretch around the cuts that is equal, from the cut in ``a``; whole characters only. None if too short."""
-    front_a, front_b, back_a, back_b = a[:left_a], b[:left_b], a[left_a:], b[left_b:]
-    if left_a == left_b == 0 and len(a) < rule.run and a == b:
-        return 0, len(a)
-    most = rule.core + rule.window
-    high = common(back_a[:most], back_b[:most])
-    low = -common(front_a[::-1], front_b[::-1])
-    if high < rule.core or high - low < rule.run:
-        return None
-    inside = lambda i: left_a + i < len(a) and a[left_a + i] & 0xC0 == 0x80
-    while low < high and inside(low):
-        low += 1
-    while low < high and inside(high):
-        high -= 1
-    return low, high
-
-
-def matches(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """doc, mark, at, low, high, first (the place compared is the first one), whether it is in another document, and ids."""
-    schema = pa.schema([
-        ("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("low", pa.int32()), ("high", pa.int32()),
-        ("first", pa.bool_()), ("first_doc", pa.int64()), ("other_doc", pa.int64()),
-    ])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_slices(batches, 4096):
-            rows = []
-            for doc, mark, at, left, data, f, z in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                for first, p in ((True, f), (False, z)):
-                    if (p["doc"], p["mark"], p["at"]) == (doc, mark, at) or not first and p == f:
-                        continue
-                    got = matched(data, left, p["bytes"], p["left"], rule)
-                    if got:
-                        rows.append((doc, mark, at, at + got[0], at + got[1], first, min(doc, p["doc"]), p["doc"]))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), schema, strict=True)], schema=schema)
-
-    kind = "doc long, mark long, at int, low int, high int, first boolean, first_doc long, other_doc long"
-    return pairs.select("doc", "mark", "at", "left", "bytes", "f", "z").mapInArrow(compare, kind)
+def open_starts(raw: bytes, shared: list[int], rule: Rule) -> np.ndarray:
+    """Whether all chunks of the string of ``run`` bytes at each start are shared."""
+    low, _, turn = chunk_bounds(raw, rule)
+    lost = turn[~np.isin(low, shared)]
+    steps = np.zeros(len(raw) - rule.run + 2, np.int64)
+    np.add.at(steps, np.maximum(lost - rule.turns + 2, 0), 1)
+    np.add.at(steps, np.minimum(lost + 1, len(steps) - 1), -1)
+    return np.cumsum(steps)[:-1] == 0
+
+
+def strings(raw: bytes, at: np.ndarray, size: int, seed: int = 0) -> Found:
+    """at, end, low and high (whole characters) and the digest in two parts of the strings of ``size`` bytes."""
+    digests = b"".join([xxhash.xxh3_128_digest(raw[i : i + size], seed) for i in at.tolist()])
+    both = np.frombuffer(digests, np.int64).reshape(-1, 2)
+    inside = np.frombuffer(raw + b" ", np.uint8) & 0xC0 == 0x80
+    end = at + size
+    low, high = at.copy(), end.copy()
+    for _ in range(3):
+        low += inside[low]
+        high -= inside[high]
+    return at, end, low, high, both[:, 0], both[:, 1]
+
+
+STRING = [(c, pa.int32()) for c in ("end", "low", "high")] + [("d0", pa.int64()), ("d1", pa.int64())]
+STRING_KINDS = "end int, low int, high int, d0 long, d1 long"
+
+
+def longer_strings(documents: DataFrame, shared: DataFrame, rule: Rule) -> DataFrame:
+    """The longer string at every cut from which on no chunk in it is out."""
+
+    def find(raw: bytes, places: list[int]) -> Found | None:
+        if len(raw) < rule.longer:
+            return None
+        taken = np.concatenate(([0], np.cumsum(open_starts(raw, places, rule))))
+        cuts, _ = cut_places(np.frombuffer(raw, np.uint8), rule)
+        cuts = cuts[cuts + rule.longer <= len(raw)]
+        return strings(raw, cuts[taken[cuts + rule.window + 1] - taken[cuts] == rule.window + 1], rule.longer)
+
+    return of_texts(beside(documents, places=shared), find, STRING, STRING_KINDS)
+
+
+def beside(documents: DataFrame, **places: DataFrame) -> DataFrame:
+    """Texts with an array of places per given frame; texts without any are left out."""
+    rows = None
+    for name in places:
+        part = places[name].select("doc", "mark", *[F.col("at") if n == name else F.lit(None).cast("int") for n in places])
+        part = part.toDF("doc", "mark", *places)
+        rows = part if rows is None else rows.unionByName(part)
+    lists = rows.groupBy("doc", "mark").agg(*[F.collect_list(n).alias(n) for n in places])
+    return keyed(documents).join(lists, ["doc", "mark"]).select("doc", "mark", "text", *places)
+
+
+def settled_starts(n: int, settled: list[int], rule: Rule) -> np.ndarray:
+    """Whether a longer string settles the string of ``run`` bytes at each start of a text of ``n`` bytes."""
+    steps = np.zeros(n - rule.run + 2, np.int64)
+    np.add.at(steps, settled, 1)
+    np.add.at(steps, np.array(settled, np.int64) + rule.window + 1, -1)
+    return np.cumsum(steps)[:-1] > 0
+
+
+def open_strings(documents: DataFrame, shared: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
+    """The string at every start that is neither out nor settled, with the digest of its first chunk; short texts as wholes."""
+
+    def find(raw: bytes, shared: list[int], settled: list[int]) -> Found:
+        low, high, turn = chunk_bounds(raw, rule)
+        if len(raw) < rule.run:
+            return *strings(raw, low, len(raw), 1), digests_of(raw, low, high, rule)
+        starts = np.flatnonzero(open_starts(raw, shared, rule) & ~settled_starts(len(raw), settled, rule))
+        lead, back = np.unique(np.searchsorted(turn, starts), return_inverse=True)
+        return *strings(raw, starts, rule.run), digests_of(raw, low[lead], high[lead], rule)[back]
+
+    rows = beside(documents, shared=shared, settled=known)
+    return of_texts(rows, find, [*STRING, ("digest", pa.int64())], f"{STRING_KINDS}, digest long")
+
+
+def settled_strings(documents: DataFrame, wanted: DataFrame, first: DataFrame, rule: Rule) -> DataFrame:
+    """The strings that first places of longer strings settle, if they begin with a wanted chunk."""
+
+    def find(raw: bytes, wanted: list[int], settled: list[int]) -> Found | None:
+        if not wanted or not settled:
+            return None
+        low, _, turn = chunk_bounds(raw, rule)
+        starts = np.flatnonzero(settled_starts(len(raw), settled, rule))
+        return strings(raw, starts[np.isin(low[np.searchsorted(turn, starts)], wanted)], rule.run)
+
+    return of_texts(beside(documents, wanted=wanted, settled=first), find, STRING, STRING_KINDS)
+
+
+def repeated(found: DataFrame) -> DataFrame:
+    """The strings of a stored frame that stand at two places or more, with the first and the last of them."""
+    place = F.struct("doc", "mark", "at")
+    groups = found.groupBy("d0", "d1").agg(F.min(place).alias("f"), F.max(place).alias("z")).where(F.col("f") != F.col("z"))
+    first = (F.col("doc") == F.col("f.doc")) & (F.col("mark") == F.col("f.mark")) & (F.col("at") == F.col("f.at"))
+    other = F.when(F.col("f.doc") != F.col("doc"), F.col("f.doc")).when(F.col("z.doc") != F.col("doc"), F.col("z.doc"))
+    return found.join(groups, ["d0", "d1"]).select(
+        "doc", "mark", "at", "end", "low", "high", first.alias("keeps"), F.col("f.doc").alias("first"), other.alias("other")
+    )
+
+
+def shared_chunks(documents: DataFrame, rule: Rule) -> DataFrame:
+    """Places of the chunks that stand elsewhere too."""
+    place = F.xxhash64("doc", "mark", "at")
+    groups = chunks(documents, rule).groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    digests = materialize(groups.where(F.col("a") != F.col("b")).select("digest"), "digests")
+    return materialize(chunks(documents, rule).join(digests, "digest").select("doc", "mark", "at", "digest"), "shared")
 
 
 def duplicate_passages(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Passages of ``run`` bytes or more that stand elsewhere too, and texts below that length that equal another text.
 
-    Columns as in ``duplicate_runs``; ``n_chunks`` counts the cuts that matched, and
-    ``other_doc_id`` is another document if the first or last place is in one, else
-    the document itself, which then repeats the passage.
+    doc_id, mark (of the text), low, high (bytes),
+    first_doc_id (the smallest id that holds one of them), other_doc_id (another
+    document with the first of them that has one, else the document itself, which
+    then repeats the passage), and ``removed``: the spans that an earlier place keeps.
     """
-    place = F.xxhash64("doc", "mark", "at")
-    shared = cuts(documents, rule).groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-    shared = materialize(shared.where(F.col("a") != F.col("b")).select("key"), "shared")
-    held = materialize(surroundings(documents, cuts(documents, rule).join(shared, "key"), rule), "held")
-    at = F.struct("doc", "mark", "at", "left", "bytes")
-    ends = materialize(held.groupBy("key").agg(F.min(at).alias("f"), F.max(at).alias("z")), "ends")
-    pieces = materialize(matches(held.join(ends, "key"), rule), "pieces")
+    with Passing(documents.sparkSession) as block:
+        shared = shared_chunks(documents, rule)
+        known = materialize(repeated(materialize(longer_strings(documents, shared, rule), "longer")), "known")
+        ends = materialize(open_strings(documents, shared, known, rule), "ends")
+        first = known.where("keeps")
+        wanted = shared.join(ends.select("digest").distinct(), "digest").join(first.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
+        inside = materialize(settled_strings(documents, wanted, first, rule), "inside")
+        single = repeated(ends.drop("digest").unionByName(inside))
+        pieces = block.keep(known.unionByName(single), "pieces")
     # A piece begins a passage unless one before it reaches over its start.
-    order = Window.partitionBy("doc", "mark").orderBy("low", "high")
-    reached = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(reached > F.col("low"), 0).otherwise(1)
+    order = Window.partitionBy("doc", "mark").orderBy("at", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached > F.col("at"), 0).otherwise(1)
     numbered = pieces.withColumn("begins", begins).withColumn(
         "run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
     passages = numbered.groupBy("doc", "mark", "run").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.count_distinct("at").alias("n_chunks"),
-        F.min("first_doc").alias("first"),
-        F.min(F.when(F.col("other_doc") != F.col("doc"), F.struct("at", "other_doc")))["other_doc"].alias("other"),
-        F.array_sort(F.collect_set(F.when(F.col("first"), F.struct("low", "high")))).alias("removed"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("first").alias("first"), F.min(F.when(F.col("other").isNotNull(), F.struct("at", "other")))["other"].alias("other"),
+        F.array_sort(F.collect_set(F.when(~F.col("keeps"), F.struct("low", "high")))).alias("removed"),
     )
     named = lambda c: F.when(c != NO_ID, c)
     return passages.select(
-        named(F.col("doc")).alias("doc_id"), "mark", "low", "high", "n_chunks", named(F.col("first")).alias("first_doc_id"),
+        named(F.col("doc")).alias("doc_id"), "mark", "low", "high", named(F.col("first")).alias("first_doc_id"),
         named(F.coalesce("other", "doc")).alias("other_doc_id"), "removed",
     )
 

@@ -41,8 +41,9 @@ def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[p
 
 def carried(documents: DataFrame, *more: Column) -> DataFrame:
     """Whole input rows as the struct ``row`` beside their key doc_id, mark: no input name can clash with a working one."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in documents.columns]
     return documents.select(
-        F.struct(*[documents[c] for c in documents.columns]).alias("row"), documents["doc_id"].alias("doc_id"),
+        F.struct(*[documents[c] for c in quoted]).alias("row"), documents["doc_id"].alias("doc_id"),
         F.xxhash64(documents["text"]).alias("mark"), *more,
     )
 

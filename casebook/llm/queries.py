@@ -22,7 +22,7 @@ def op1_member_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.duplicate_passages(table(spark, sf_dir, "documents")).select(
-        "doc_id", "low", "high", "n_chunks", "first_doc_id", "other_doc_id"
+        "doc_id", "low", "high", "first_doc_id", "other_doc_id"
     )
 
 

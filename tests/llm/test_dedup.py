@@ -90,7 +90,7 @@ def test_empty_table(documents):
     assert minhash.near_duplicates(nothing).collect() == []
     assert minhash.keep_one(nothing).collect() == []
     assert suffixes.remove_repeats(nothing).collect() == []
-    assert chunks.duplicate_runs(nothing).collect() == []
+    assert chunks.duplicate_passages(nothing).collect() == []
     assert chunks.deduplicate(nothing).collect() == []
 
 
@@ -156,57 +156,94 @@ def test_family_merges_equal_ranks_and_finds_matches_across_batches(documents, m
     assert family.levels[3].agg({"n": "sum"}).first()[0] == suffixes.cores(documents([(i, t) for i, t in enumerate([*texts, texts[2]])]), 192).count()
 
 
-def gear_ends(data, rule):
-    """The same chunks by a plain loop."""
-    h, last, ends = 0, 0, []
-    for i, byte in enumerate(data):
-        h = ((h << 1) + int(chunks.GEAR[byte])) & 0xFFFFFFFF
-        size = i + 1 - last
-        if size >= rule.least and (h >> (32 - rule.bits) == 0 or size == rule.most):
-            last = i + 1
-            ends.append(last)
-    return ends + ([len(data)] if last < len(data) else [])
+def plain_cuts(data, rule):
+    """The same cuts by a plain loop over windows."""
+    hashes = []
+    for i in range(len(data) - chunks.REACH + 1):
+        h = 0
+        for byte in data[i : i + chunks.REACH]:
+            h = ((h << 1) + int(chunks.GEAR[byte])) & 0xFFFFFFFF
+        hashes.append(h)
+    return sorted({min(range(i, i + rule.window), key=lambda j: (hashes[j], j)) for i in range(len(hashes) - rule.window + 1)})
 
 
-def test_chunk_ends_match_the_rolling_loop(make_sentence, monkeypatch):
+def test_cuts_match_the_rolling_loop_and_every_string_holds_a_chunk(make_sentence, monkeypatch):
     import numpy as np
 
     rng = random.Random(8)
-    rule = chunks.Rule()
-    texts = [b"", b"a", b"a" * 1000, make_sentence(rng, 800).encode(), bytes(rng.randrange(256) for _ in range(5000))]
+    texts = [b"", b"a" * 99, b"a" * 1000, make_sentence(rng, 300).encode(), bytes(rng.randrange(256) for _ in range(2000)), b"ab" * 300]
     for piece in (1 << 20, 333):
         monkeypatch.setattr(chunks, "PIECE", piece)
-        for data in texts:
-            assert chunks.chunk_ends(np.frombuffer(data, np.uint8), rule) == gear_ends(data, rule)
-
-
-def test_shared_chunks_match_brute_force_and_resist_insertions(documents, corpus):
-    import numpy as np
-
-    rule = chunks.Rule()
-    holders, places = defaultdict(set), defaultdict(set)
-    for doc_id, text, *_ in corpus:
-        data = (text or "").encode()
-        ends = chunks.chunk_ends(np.frombuffer(data, np.uint8), rule)
-        for seq, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
-            holders[data[a:b]].add(doc_id)
-            places[doc_id, text].add((seq, a, b, data[a:b]))
-    expected = set()
-    for (doc_id, _), parts in places.items():
-        run = []
-        for seq, a, b, data in [*sorted(parts), (10**9, 0, 0, b"")]:
-            if run and seq != run[-1][0] + 1 or seq == 10**9:
-                if run and run[-1][2] - run[0][1] >= rule.run:
-                    expected.add((doc_id, run[0][1], run[-1][2]))
-                run = []
-            if len(holders[data]) > 1:
-                run.append((seq, a, b))
-    got = chunks.duplicate_runs(documents(corpus)).collect()
-    assert {(r.doc_id, r.low, r.high) for r in got} == expected
-    # The passage stands at a different place in each of these texts.
-    assert set(range(52, 60)) <= {r.doc_id for r in got}
-    assert not {r.doc_id for r in got} & ({*range(40)} - {3, 5})
-    assert all(r.other_doc_id != r.doc_id for r in got)
+        for rule in (chunks.Rule(), chunks.Rule(run=64), chunks.Rule(run=151)):
+            for data in texts:
+                assert chunks.cut_places(np.frombuffer(data, np.uint8), rule)[0].tolist() == plain_cuts(data, rule)
+                low, high, turn = chunks.chunk_bounds(data, rule)
+                whole = set(zip(low.tolist(), high.tolist(), strict=True))
+                for i in range(len(data) - rule.run + 1):
+                    # The chunks of a string alone are those that belong to it wherever it stands.
+                    a, b, _ = chunks.chunk_bounds(data[i : i + rule.run], rule)
+                    mine = (turn >= i) & (turn <= i + rule.turns - 2)
+                    assert len(a) and set(zip((a + i).tolist(), (b + i).tolist(), strict=True)) <= whole
+                    assert low[mine].tolist() == (a + i).tolist()
+
+
+def brute_passages(rows, length=100):
+    """(doc_id, low, high) of what strings of ``length`` bytes that stand elsewhere cover together where they overlap."""
+    texts = {(doc_id, text) for doc_id, text, *_ in rows if text}
+    seen = Counter()
+    for _, text in texts:
+        data = text.encode()
+        seen.update(data[i : i + length] for i in range(max(1, len(data) - length + 1)))
+    found = []
+    for doc_id, text in texts:
+        data, end = text.encode(), -1
+        for i in range(max(1, len(data) - length + 1)):
+            if seen[data[i : i + length]] > 1:
+                if i >= end:
+                    found.append([doc_id, text, i, 0])
+                found[-1][3] = end = min(i + length, len(data))
+    inside = lambda data, i: i < len(data) and data[i] & 0xC0 == 0x80
+    for f in found:
+        data = f[1].encode()
+        while inside(data, f[2]):
+            f[2] += 1
+        while inside(data, f[3]):
+            f[3] -= 1
+    return sorted([(d, low, high) for d, _, low, high in found], key=str)
+
+
+def found_passages(df):
+    return sorted([(r.doc_id, r.low, r.high) for r in df.collect()], key=str)
+
+
+def test_passages_match_all_strings_of_100_bytes(documents, corpus, make_sentence):
+    assert found_passages(chunks.duplicate_passages(documents(corpus))) == brute_passages(corpus)
+    # Copies pieced together from others, whose chunks are shared here and there but not together.
+    rng = random.Random(31)
+    whole = [make_sentence(rng, 60) for _ in range(12)]
+    rows = list(enumerate(whole))
+    for i in range(100, 220):
+        parts = []
+        for _ in range(4):
+            text = rng.choice(whole)
+            at = rng.randrange(len(text))
+            parts.append(text[at : at + rng.randint(30, 220)])
+        rows.append((i, rng.choice(["", " "]).join(parts)))
+    rows += [(300, "ab" * 400), (301, "ab" * 80 + "c" + "ab" * 90), (302, "x" * 700 + "y" + "x" * 300), (303, "é" * 150), (304, "aé" * 90)]
+    assert found_passages(chunks.duplicate_passages(documents(rows))) == brute_passages(rows)
+
+
+def test_passages_that_open_with_a_stock_phrase(documents, make_sentence):
+    rng = random.Random(32)
+    rows = []
+    for size in (100, 105, 115, 130, 160):
+        for i in range(60):
+            opening = make_sentence(rng, 40)[:80]
+            passage = opening + make_sentence(rng, 60)[: size - 80]
+            at = len(rows)
+            rows += [(at + k, f"{make_sentence(rng, 20)} {x} {make_sentence(rng, 20)}") for k, x in enumerate([opening, passage, passage, opening])]
+    assert found_passages(chunks.duplicate_passages(documents(rows))) == brute_passages(rows)
+    assert len(brute_passages(rows)) >= 2 * 290
 
 
 def test_deduplicate_keeps_the_first_document_and_all_other_bytes(documents, corpus):
