@@ -17,8 +17,9 @@ once, so that the inside of a long copy costs a digest a cut; then the string of
 What these may match can lie inside a copy that is settled: of each settled group
 the first place joins in with those of its strings whose first chunk an open one has.
 Equal strings at different places are repeats; no two places are chosen as witnesses
-for others. A passage is what such strings cover together where they overlap. Texts
-below ``run`` bytes are compared as wholes. Of the places compared, the first one of
+for others. A passage is what such strings cover together where they overlap. Equal
+whole texts, of any length, are found first; only the first of each goes on to
+chunks, and in the end its copies are passages as wholes. Of the places compared, the first one of
 a string (by id, then text, then place) keeps it.
 
 Strings are grouped by 128 bits with partial aggregation, which moves a first and
@@ -42,7 +43,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.llm.common import carried, row_slices, same_key
+from casebook.llm.common import carried, row_slices, same_key, small
 from casebook.session import Passing, materialize
 
 GEAR = np.random.default_rng(20_240_603).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -110,18 +111,17 @@ def cut_places(data: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
 def chunk_bounds(raw: bytes, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each chunk its first and last byte places (end exclusive) and the last window that decides on its first cut.
 
-    The chunk belongs to the strings that hold this window and the next one. A text below ``run`` bytes is one chunk.
+    The chunk belongs to the strings that hold this window and the next one. A text below ``run`` bytes has none.
     """
     if len(raw) < rule.run:
-        return np.zeros(1, np.int64), np.full(1, len(raw), np.int64), np.zeros(1, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     cuts, firsts = cut_places(np.frombuffer(raw, np.uint8), rule)
     return cuts[:-1], cuts[1:] + REACH, firsts[1:] - 1
 
 
-def digests_of(raw: bytes, low: np.ndarray, high: np.ndarray, rule: Rule) -> np.ndarray:
+def digests_of(raw: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Digests of chunks. They only nominate, so 64 bits do."""
-    seed = int(len(raw) < rule.run)
-    found = [xxhash.xxh3_64_intdigest(raw[a:b], seed) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+    found = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
     return np.array(found, np.uint64).view(np.int64)
 
 
@@ -136,6 +136,14 @@ PLACE = [("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int32())]
 Found = tuple[np.ndarray, ...]
 
 
+def whole_copies(documents: DataFrame) -> DataFrame:
+    """doc, mark, size (bytes), f and z (the first and the last document with the text) of texts that several documents have."""
+    rows = keyed(documents).select("doc", "mark", F.xxhash64(F.lit(1), "text").alias("more"), F.octet_length("text").alias("size"))
+    groups = rows.groupBy("mark", "more", "size").agg(F.min("doc").alias("f"), F.max("doc").alias("z"))
+    groups = materialize(groups.where(F.col("f") != F.col("z")), "groups")
+    return materialize(rows.join(groups, ["mark", "more", "size"]).select("doc", "mark", "size", "f", "z"), "copies")
+
+
 def of_texts(rows: DataFrame, find: Callable[..., Found | None], more: list[tuple[str, pa.DataType]], kinds: str) -> DataFrame:
     """doc, mark, at and further columns of the places that ``find`` gives for a text and what stands beside it."""
     schema = pa.schema(PLACE + more)
@@ -160,14 +168,14 @@ def of_texts(rows: DataFrame, find: Callable[..., Found | None], more: list[tupl
     return rows.mapInArrow(take, f"doc long, mark long, at int, {kinds}")
 
 
-def chunks(documents: DataFrame, rule: Rule) -> DataFrame:
-    """doc, mark, at and digest of every chunk."""
+def chunks(texts: DataFrame, rule: Rule) -> DataFrame:
+    """doc, mark, at and digest of every chunk of keyed texts."""
 
     def find(raw: bytes) -> Found:
         low, high, _ = chunk_bounds(raw, rule)
-        return low, digests_of(raw, low, high, rule)
+        return low, digests_of(raw, low, high)
 
-    return of_texts(keyed(documents), find, [("digest", pa.int64())], "digest long")
+    return of_texts(texts, find, [("digest", pa.int64())], "digest long")
 
 
 def open_starts(raw: bytes, shared: list[int], rule: Rule) -> np.ndarray:
@@ -180,21 +188,20 @@ def open_starts(raw: bytes, shared: list[int], rule: Rule) -> np.ndarray:
     return np.cumsum(steps)[:-1] == 0
 
 
-def strings(raw: bytes, at: np.ndarray, size: int, seed: int = 0) -> Found:
-    """at, end, low and high (whole characters) and the digest in two parts of the strings of ``size`` bytes."""
-    digests = b"".join([xxhash.xxh3_128_digest(raw[i : i + size], seed) for i in at.tolist()])
+def strings(raw: bytes, at: np.ndarray, size: int) -> Found:
+    """at, size, trim (bytes of cut characters in front, times four, and at the end) and digest in two parts of strings."""
+    digests = b"".join([xxhash.xxh3_128_digest(raw[i : i + size]) for i in at.tolist()])
     both = np.frombuffer(digests, np.int64).reshape(-1, 2)
     inside = np.frombuffer(raw + b" ", np.uint8) & 0xC0 == 0x80
-    end = at + size
-    low, high = at.copy(), end.copy()
+    low, high = at.copy(), at + size
     for _ in range(3):
         low += inside[low]
         high -= inside[high]
-    return at, end, low, high, both[:, 0], both[:, 1]
+    return at, np.full(len(at), size), 4 * (low - at) + (at + size - high), both[:, 0], both[:, 1]
 
 
-STRING = [(c, pa.int32()) for c in ("end", "low", "high")] + [("d0", pa.int64()), ("d1", pa.int64())]
-STRING_KINDS = "end int, low int, high int, d0 long, d1 long"
+STRING = [("size", pa.int32()), ("trim", pa.int32()), ("d0", pa.int64()), ("d1", pa.int64())]
+STRING_KINDS = "size int, trim int, d0 long, d1 long"
 
 
 def longer_strings(documents: DataFrame, shared: DataFrame, rule: Rule) -> DataFrame:
@@ -231,15 +238,13 @@ def settled_starts(n: int, settled: list[int], rule: Rule) -> np.ndarray:
 
 
 def open_strings(documents: DataFrame, shared: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
-    """The string at every start that is neither out nor settled, with the digest of its first chunk; short texts as wholes."""
+    """The string at every start that is neither out nor settled, with the digest of its first chunk."""
 
     def find(raw: bytes, shared: list[int], settled: list[int]) -> Found:
         low, high, turn = chunk_bounds(raw, rule)
-        if len(raw) < rule.run:
-            return *strings(raw, low, len(raw), 1), digests_of(raw, low, high, rule)
         starts = np.flatnonzero(open_starts(raw, shared, rule) & ~settled_starts(len(raw), settled, rule))
         lead, back = np.unique(np.searchsorted(turn, starts), return_inverse=True)
-        return *strings(raw, starts, rule.run), digests_of(raw, low[lead], high[lead], rule)[back]
+        return *strings(raw, starts, rule.run), digests_of(raw, low[lead], high[lead])[back]
 
     rows = beside(documents, shared=shared, settled=known)
     return of_texts(rows, find, [*STRING, ("digest", pa.int64())], f"{STRING_KINDS}, digest long")
@@ -265,16 +270,34 @@ def repeated(found: DataFrame) -> DataFrame:
     first = (F.col("doc") == F.col("f.doc")) & (F.col("mark") == F.col("f.mark")) & (F.col("at") == F.col("f.at"))
     other = F.when(F.col("f.doc") != F.col("doc"), F.col("f.doc")).when(F.col("z.doc") != F.col("doc"), F.col("z.doc"))
     return found.join(groups, ["d0", "d1"]).select(
-        "doc", "mark", "at", "end", "low", "high", first.alias("keeps"), F.col("f.doc").alias("first"), other.alias("other")
+        "doc", "mark", "at", "size", "trim", first.alias("keeps"), F.col("f.doc").alias("first"), other.alias("other")
     )
 
 
-def shared_chunks(documents: DataFrame, rule: Rule) -> DataFrame:
-    """Places of the chunks that stand elsewhere too."""
-    place = F.xxhash64("doc", "mark", "at")
-    groups = chunks(documents, rule).groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-    digests = materialize(groups.where(F.col("a") != F.col("b")).select("digest"), "digests")
-    return materialize(chunks(documents, rule).join(digests, "digest").select("doc", "mark", "at", "digest"), "shared")
+def shared_chunks(texts: DataFrame, rule: Rule) -> DataFrame:
+    """Places of the chunks that stand elsewhere too, with their digests."""
+    with Passing(texts.sparkSession) as block:
+        every = materialize(chunks(texts, rule), "chunks")
+        place = F.xxhash64("doc", "mark", "at")
+        groups = every.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+        digests = materialize(groups.where(F.col("a") != F.col("b")).select("digest"), "digests")
+        return block.keep(every.join(digests, "digest").select("doc", "mark", "at", "digest"), "shared")
+
+
+def repeated_strings(documents: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """The repeated strings of the texts, as ``repeated`` gives them."""
+    spark = documents.sparkSession
+    with Passing(spark) as block:
+        shared = shared_chunks(texts, rule)
+        with Passing(spark) as inner:
+            known = inner.keep(repeated(materialize(longer_strings(documents, shared, rule), "longer")), "known")
+        ends = materialize(open_strings(documents, shared, known, rule), "ends")
+        first = known.where("keeps")
+        wanted = shared.join(ends.select("digest").distinct(), "digest")
+        wanted = wanted.join(first.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
+        inside = materialize(settled_strings(documents, wanted, first, rule), "inside")
+        single = repeated(ends.drop("digest").unionByName(inside))
+        return block.keep(known.unionByName(single), "strings")
 
 
 def duplicate_passages(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -285,15 +308,17 @@ def duplicate_passages(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     document with the first of them that has one, else the document itself, which
     then repeats the passage), and ``removed``: the spans that an earlier place keeps.
     """
-    with Passing(documents.sparkSession) as block:
-        shared = shared_chunks(documents, rule)
-        known = materialize(repeated(materialize(longer_strings(documents, shared, rule), "longer")), "known")
-        ends = materialize(open_strings(documents, shared, known, rule), "ends")
-        first = known.where("keeps")
-        wanted = shared.join(ends.select("digest").distinct(), "digest").join(first.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
-        inside = materialize(settled_strings(documents, wanted, first, rule), "inside")
-        single = repeated(ends.drop("digest").unionByName(inside))
-        pieces = block.keep(known.unionByName(single), "pieces")
+    copies = whole_copies(documents)
+    later = copies.where(F.col("doc") != F.col("f")).select("doc", "mark").distinct()
+    texts = keyed(documents).join(small(later), ["doc", "mark"], "left_anti")
+    wholes = copies.select(
+        "doc", "mark", F.lit(0).alias("at"), "size", F.lit(0).alias("trim"), (F.col("doc") == F.col("f")).alias("keeps"),
+        F.col("f").alias("first"), F.when(F.col("f") != F.col("doc"), F.col("f")).otherwise(F.col("z")).alias("other"),
+    )
+    end = F.col("at") + F.col("size")
+    pieces = repeated_strings(documents, texts, rule).unionByName(wholes).select(
+        "*", end.alias("end"), (F.col("at") + F.shiftright("trim", 2)).alias("low"), (end - F.col("trim") % 4).alias("high")
+    )
     # A piece begins a passage unless one before it reaches over its start.
     order = Window.partitionBy("doc", "mark").orderBy("at", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
