@@ -266,7 +266,8 @@ def settled_strings(documents: DataFrame, wanted: DataFrame, first: DataFrame, r
 def repeated(found: DataFrame) -> DataFrame:
     """The strings of a stored frame that stand at two places or more, with the first and the last of them."""
     place = F.struct("doc", "mark", "at")
-    groups = found.groupBy("d0", "d1").agg(F.min(place).alias("f"), F.max(place).alias("z")).where(F.col("f") != F.col("z"))
+    groups = found.groupBy("d0", "d1").agg(F.min(place).alias("f"), F.max(place).alias("z"))
+    groups = materialize(groups.where(F.col("f") != F.col("z")), "groups")
     first = (F.col("doc") == F.col("f.doc")) & (F.col("mark") == F.col("f.mark")) & (F.col("at") == F.col("f.at"))
     other = F.when(F.col("f.doc") != F.col("doc"), F.col("f.doc")).when(F.col("z.doc") != F.col("doc"), F.col("z.doc"))
     return found.join(groups, ["d0", "d1"]).select(
@@ -288,16 +289,17 @@ def repeated_strings(documents: DataFrame, texts: DataFrame, rule: Rule) -> Data
     """The repeated strings of the texts, as ``repeated`` gives them."""
     spark = documents.sparkSession
     with Passing(spark) as block:
-        shared = shared_chunks(texts, rule)
         with Passing(spark) as inner:
-            known = inner.keep(repeated(materialize(longer_strings(documents, shared, rule), "longer")), "known")
-        ends = materialize(open_strings(documents, shared, known, rule), "ends")
-        first = known.where("keeps")
-        wanted = shared.join(ends.select("digest").distinct(), "digest")
-        wanted = wanted.join(first.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
-        inside = materialize(settled_strings(documents, wanted, first, rule), "inside")
-        single = repeated(ends.drop("digest").unionByName(inside))
-        return block.keep(known.unionByName(single), "strings")
+            shared = shared_chunks(texts, rule)
+            with Passing(spark):
+                known = block.keep(repeated(materialize(longer_strings(documents, shared, rule), "longer")), "known")
+            ends = inner.keep(open_strings(documents, shared, known, rule), "ends")
+            first = known.where("keeps")
+            wanted = shared.join(ends.select("digest").distinct(), "digest")
+            wanted = wanted.join(first.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
+            inside = inner.keep(settled_strings(documents, wanted, first, rule), "inside")
+        single = block.keep(repeated(ends.drop("digest").unionByName(inside)), "single")
+    return known.unionByName(single)
 
 
 def duplicate_passages(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
