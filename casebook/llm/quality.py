@@ -2,10 +2,14 @@
 
 Statistics of a text (words, characters, symbols, repeated lines and passages)
 become five transformed measures. Per language and source, a minimum-covariance-
-determinant estimate is found by concentration: start from medians and absolute
-deviations, keep the ``held`` share of rows with the least distance, take their
-mean and covariance, and repeat. Rows whose squared Mahalanobis distance passes
-``cutoff`` are rejected.
+determinant estimate is sought by concentration from four starts: medians with absolute
+deviations, all rows, rows drawn in by a hyperbolic tangent, and directions
+from the medians alone. A step keeps the ``held`` share of rows with the least distance
+and takes their mean and covariance; a start is left when its determinant no longer falls
+by ``settled`` (in logarithm), and since the floors bound it from below, each is. The
+least determinant of all starts counts; the rows that it finds ordinary (chi-squared
+up to ``ordinary``) give the final mean and covariance. Rows whose squared Mahalanobis
+distance passes ``cutoff`` are rejected.
 
 DataFrame functions only. A row's statistics need no shuffle: repeated three-word
 windows are found in a sorted array of the text's own windows. Every step over
@@ -20,10 +24,11 @@ from all rows. Each row gets one verdict. ``floors`` are standard deviations add
 every measure, so that a measure that hardly varies in a group cannot reject
 ordinary texts.
 
-Defined cases: null or empty text has no words and fails the limits; null
-language or source counts as the empty name; repeated rows each count; an empty
-table gives an empty result; other columns are kept by ``keep_good`` and ignored
-elsewhere.
+Defined cases: null or empty text has no words and fails the limits; a very long text is
+one row with its counts; null language or source counts as the empty name; repeated rows
+each count; rows at the same distance are held or left together, and of starts with equal
+determinants (to six digits) the first in the order above counts; an empty table gives an
+empty result; other columns are kept by ``keep_good`` and ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -39,6 +44,8 @@ from casebook.session import materialize
 SYMBOLS = "#*$%&|<>"
 BLANK_CHARACTERS = " \t\n\x0b\f\r"
 MEASURES = ("m0", "m1", "m2", "m3", "m4")
+GROUP = ("g", "start")
+FACTORS = [f"c{i}" for i in range(len(MEASURES))] + [f"w{i}{j}" for i in range(len(MEASURES)) for j in range(i + 1)]
 #: Median of the chi-squared distribution with five degrees of freedom.
 CHI_MEDIAN = 4.351
 
@@ -48,12 +55,18 @@ class Rule:
     least_words: int = 50
     most_repeat_percent: int = 50
     held: float = 0.75
-    steps: int = 5
+    settled: float = 1e-4
+    #: Chi-squared with five degrees of freedom is above this once in forty.
+    ordinary: float = 12.833
     #: Chi-squared with five degrees of freedom is above this once in ten million.
     cutoff: float = 41.0
     least_rows: int = 50
     floors: tuple[float, ...] = (0.5, 0.05, 0.05, 0.15, 0.15)
 
+    def __post_init__(self) -> None:
+        if self.settled <= 0:
+            raise ValueError("settled must be above 0, so that every start ends")
+
 
 def with_statistics(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per document: doc_id, mark, lang, source, counts of its text and ``base_failed``."""
@@ -129,7 +142,7 @@ def at_share(binned: DataFrame, keys: list[str], share: float) -> DataFrame:
 
 
 def factors(found: DataFrame) -> DataFrame:
-    """Per group g: centre c0… and the inverse w of the covariance's Cholesky factor.
+    """Per group g and start: ``volume`` (log determinant), centre c0… and the inverse w of the covariance's Cholesky factor.
 
     Each entry is a column of its own, so that the arithmetic stays as small as it is by hand.
     """
@@ -150,7 +163,8 @@ def factors(found: DataFrame) -> DataFrame:
             ) / col("l", j + gap, j + gap)
             for j in range(d - gap)
         })
-    return found.select("g", *[f"c{i}" for i in range(d)], *[f"w{i}{j}" for i in range(d) for j in range(i + 1)])
+    volume = reduce(lambda s, t: s + t, [2 * F.ln(f"l{i}{i}") for i in range(d)])
+    return found.select(*GROUP, volume.alias("volume"), *FACTORS)
 
 
 def squared_distance() -> Column:
@@ -191,39 +205,85 @@ def with_groups(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.join(groups, ["_lang", "_source"], "left").drop("_lang", "_source")
 
 
-def estimates(good: DataFrame, rule: Rule) -> DataFrame:
-    """Per group g: centre, covariance and the ``scale`` that makes the median distance what it should be."""
+def fitted(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Factors of the mean and the covariance of the rows of each group and start."""
+    moments = [F.avg(m).alias(f"c{i}") for i, m in enumerate(MEASURES)]
+    moments += [
+        (F.covar_pop(MEASURES[i], MEASURES[j]) + (rule.floors[i] ** 2 if i == j else 0.0)).alias(f"v{i}{j}") for i, j in PAIRS
+    ]
+    return factors(rows.groupBy(*GROUP).agg(*moments))
+
+
+def starts(good: DataFrame, rule: Rule) -> DataFrame:
+    """The four first estimates of each group."""
     d = len(MEASURES)
     long = good.select("g", F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(m).alias("x")) for i, m in enumerate(MEASURES)])).alias("e"))
     long = long.select("g", "e.k", "e.x")
     middle = lambda rows, value: at_share(rows.withColumn("bin", F.floor(value / BIN).cast("long")), ["g", "k"], 0.5)
     medians = small(materialize(middle(long, F.col("x")).select("g", "k", ((F.col("at") + 0.5) * BIN).alias("med")), "medians"))
     apart = middle(long.join(medians, ["g", "k"]), F.abs(F.col("x") - F.col("med")))
-    start = medians.join(apart, ["g", "k"]).withColumn("sd", 1.4826 * (F.col("at") + 0.5) * BIN)
+    spread = medians.join(apart, ["g", "k"]).withColumn("sd", 1.4826 * (F.col("at") + 0.5) * BIN)
     pick = lambda i, c: F.max(F.when(F.col("k") == i, F.col(c)))
-    found = start.groupBy("g").agg(
+    robust = spread.groupBy("g").agg(
         *[pick(i, "med").alias(f"c{i}") for i in range(d)],
-        *[
-            (pick(i, "sd") * pick(i, "sd") + rule.floors[i] ** 2 if i == j else F.lit(0.0)).alias(f"v{i}{j}")
-            for i, j in PAIRS
-        ],
+        *[F.sqrt(pick(i, "sd") * pick(i, "sd") + rule.floors[i] ** 2).alias(f"s{i}") for i in range(d)],
     )
-    found = small(materialize(factors(found), "start"))
-    for step in range(rule.steps):
-        near = good.join(found, "g").withColumn("bin", log_bin(squared_distance())).select("g", *MEASURES, "bin")
-        limits = small(materialize(at_share(near, ["g"], rule.held), "limits"))
-        held = near.join(limits, "g").where(F.col("bin") <= F.col("at"))
-        found = held.groupBy("g").agg(
-            *[F.avg(m).alias(f"c{i}") for i, m in enumerate(MEASURES)],
-            *[
-                (F.covar_pop(MEASURES[i], MEASURES[j]) + (rule.floors[i] ** 2 if i == j else 0.0)).alias(f"v{i}{j}")
-                for i, j in PAIRS
-            ],
-        )
-        found = small(materialize(factors(found), f"step{step}"))
+    robust = small(materialize(robust, "robust"))
+    alone = factors(robust.select(
+        "g", F.lit(0).alias("start"), *[f"c{i}" for i in range(d)],
+        *[(F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i, j in PAIRS],
+    ))
+    rows = good.join(robust, "g")
+    rows = rows.withColumns({f"z{i}": (F.col(f"m{i}") - F.col(f"c{i}")) / F.col(f"s{i}") for i in range(d)})
+    length = F.sqrt(reduce(lambda s, t: s + t, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(d)]) + F.lit(1e-12))
+    rows = rows.withColumn("_length", length / d**0.5)
+    moved = lambda start, place: F.struct(F.lit(start).alias("start"), *[place(i).alias(m) for i, m in enumerate(MEASURES)])
+    drawn = rows.select("g", F.explode(F.array(
+        moved(1, lambda i: F.col(f"m{i}")),
+        moved(2, lambda i: F.col(f"c{i}") + F.col(f"s{i}") * F.tanh(f"z{i}")),
+        moved(3, lambda i: F.col(f"c{i}") + F.col(f"s{i}") * F.col(f"z{i}") / F.col("_length")),
+    )).alias("e"))
+    return alone.unionByName(fitted(drawn.select("g", "e.*"), rule))
+
+
+def least_determinants(good: DataFrame, rule: Rule) -> DataFrame:
+    """Per group g the settled estimate with the least determinant: start, volume and factors."""
+
+    def concentrated(found: DataFrame) -> DataFrame:
+        near = good.join(found.select(*GROUP, *FACTORS), "g").withColumn("bin", log_bin(squared_distance()))
+        near = near.select(*GROUP, *MEASURES, "bin")
+        limits = small(materialize(at_share(near, [*GROUP], rule.held), "limits"))
+        return fitted(near.join(limits, [*GROUP]).where(F.col("bin") <= F.col("at")), rule)
+
+    first = small(materialize(starts(good, rule), "starts"))
+    going = small(materialize(concentrated(first), "held"))
+    ended = []
+    while not going.isEmpty():
+        before = going.select(*GROUP, *[F.col(c).alias(f"_{c}") for c in ("volume", *FACTORS)])
+        falls = F.col("volume") < F.col("_volume") - rule.settled
+        taken = [F.when(falls, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in ("volume", *FACTORS)]
+        step = materialize(concentrated(going).join(before, [*GROUP]).select(*GROUP, falls.alias("falls"), *taken), "held")
+        ended.append(step.where(~F.col("falls")).drop("falls"))
+        going = small(step.where("falls").drop("falls"))
+    whole = reduce(DataFrame.unionByName, ended) if ended else going
+    chosen = F.min_by(F.struct("start", "volume", *FACTORS), F.struct(F.round("volume", 6), F.col("start")))
+    return whole.groupBy("g").agg(chosen.alias("e")).select("g", "e.*")
+
+
+def scaled(good: DataFrame, found: DataFrame) -> DataFrame:
+    """Add the ``scale`` that makes a group's median distance what it should be; never below 1."""
     apart = at_share(good.join(found, "g").withColumn("bin", log_bin(squared_distance())), ["g"], 0.5)
     scale = F.greatest(F.lit(1.0), F.exp((F.col("at") + 0.5) * BIN) / CHI_MEDIAN)
-    return materialize(found.join(apart.select("g", scale.alias("scale")), "g"), "estimates")
+    return found.join(apart.select("g", scale.alias("scale")), "g")
+
+
+def estimates(good: DataFrame, rule: Rule) -> DataFrame:
+    """Per group g: factors of the centre and covariance of its ordinary rows, and their ``scale``."""
+    least = small(materialize(least_determinants(good, rule), "least"))
+    least = small(materialize(scaled(good, least), "scaled"))
+    ordinary = good.join(least, "g").where(squared_distance() <= rule.ordinary * F.col("scale")).select(*GROUP, *MEASURES)
+    found = small(materialize(fitted(ordinary, rule), "ordinary"))
+    return materialize(scaled(good, found).drop("start", "volume"), "estimates")
 
 
 def verdicts(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import itertools
 import math
 import random
 import re
@@ -368,22 +369,40 @@ def statistics(text):
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(hit))
 
 
-def brute_verdicts(good, rule):
-    """Distances by numpy: the same start, bins and steps, written as plain loops over one group."""
-    x = np.array([[math.log(n), math.log(c / n), math.sqrt(s / c), math.sqrt(d / m), math.sqrt(r / n)] for n, c, s, d, r, m in good])
+def plain_estimate(x, rule):
+    """Log determinant and held rows of the settled estimate with the least one, and the distances that follow, by numpy."""
     at = lambda bins, share: sorted(bins)[math.ceil(share * len(bins) - 1e-9) - 1]
     floors = np.diag(np.square(rule.floors))
+    fit = lambda rows: (rows.mean(axis=0), np.cov(rows.T, bias=True) + floors)
+    distance = lambda centre, cov: np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+    bins = lambda centre, cov: np.floor(np.log(distance(centre, cov) + 1e-6) / 0.01)
+    volume = lambda cov: np.linalg.slogdet(cov)[1]
+
+    def step(found):
+        b = bins(*found)
+        return fit(x[b <= at(b, rule.held)])
+
     centre = np.array([(at(np.floor(c / 0.01), 0.5) + 0.5) * 0.01 for c in x.T])
     spread = np.array([1.4826 * (at(np.floor(np.abs(c - m) / 0.01), 0.5) + 0.5) * 0.01 for c, m in zip(x.T, centre, strict=True)])
-    cov = np.diag(spread**2) + floors
-    distance = lambda: np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
-    bins = lambda: np.floor(np.log(distance() + 1e-6) / 0.01)
-    for _ in range(rule.steps):
-        b = bins()
-        held = x[b <= at(b, rule.held)]
-        centre, cov = held.mean(axis=0), np.cov(held.T, bias=True) + floors
-    scale = max(1.0, math.exp((at(bins(), 0.5) + 0.5) * 0.01) / quality.CHI_MEDIAN)
-    return distance() / scale
+    spread = np.sqrt(spread**2 + np.square(rule.floors))
+    z = (x - centre) / spread
+    length = np.sqrt((z**2).sum(axis=1) + 1e-12)[:, None]
+    found = [(centre, np.diag(spread**2)), fit(x), fit(centre + spread * np.tanh(z)), fit(centre + spread * z / length * 5**0.5)]
+    settled = []
+    for now in map(step, found):
+        while volume((then := step(now))[1]) < volume(now[1]) - rule.settled:
+            now = then
+        settled.append(now)
+    least = min(settled, key=lambda e: round(volume(e[1]), 6))
+    scale = lambda e: max(1.0, math.exp((at(bins(*e), 0.5) + 0.5) * 0.01) / quality.CHI_MEDIAN)
+    final = fit(x[distance(*least) <= rule.ordinary * scale(least)])
+    return volume(least[1]), distance(*final) / scale(final)
+
+
+def brute_verdicts(good, rule):
+    """Distances by numpy, written as plain loops over one group."""
+    x = np.array([[math.log(n), math.log(c / n), math.sqrt(s / c), math.sqrt(d / m), math.sqrt(r / n)] for n, c, s, d, r, m in good])
+    return plain_estimate(x, rule)[1]
 
 
 def test_statistics_and_distances(documents, corpus, make_sentence):
@@ -415,6 +434,31 @@ def test_statistics_and_distances(documents, corpus, make_sentence):
     assert quality.keep_good(documents([(1, None), (2, "short")])).collect() == []
 
 
+def test_the_least_determinant_of_all_subsets_is_found(spark):
+    rng = np.random.default_rng(16)
+    rule, groups = quality.Rule(floors=(0.01,) * 5), {}
+    for g in range(6):  # 12 rows around a slanted line, and 4 apart: scattered, or together so that they hide each other
+        x = rng.normal(0, 0.2, (16, 5)) + rng.normal(0, 1, (16, 1)) * rng.choice([1, -1], 5)
+        x[12:] = rng.normal(0, 3, (4, 5)) if g % 2 else rng.normal(0, 0.1, (4, 5)) + 4 * rng.choice([1, -1], 5)
+        groups[str(g)] = x
+    good = spark.createDataFrame([(g, *map(float, row)) for g, x in groups.items() for row in x], ["g", *quality.MEASURES])
+    got = {r.g: r.volume for r in quality.least_determinants(good, rule).collect()}
+    for g, x in groups.items():
+        assert got[g] == pytest.approx(plain_estimate(x, rule)[0], abs=1e-6)
+        held = np.array(list(itertools.combinations(range(16), 12)))
+        rows = x[held] - x[held].mean(axis=1, keepdims=True)
+        least = np.linalg.slogdet(np.einsum("sri,srj->sij", rows, rows) / 12 + np.diag(np.square(rule.floors)))[1].min()
+        assert got[g] == pytest.approx(least, abs=1e-6)
+
+
+def test_equal_rows_one_row_and_no_rows_have_estimates(spark):
+    rows = [("same", 1.0, 2.0, 0.0, 0.0, 0.0)] * 9 + [("one", 3.0, 1.0, 0.5, 0.0, 0.0)]
+    good = spark.createDataFrame(rows, ["g", *quality.MEASURES])
+    found = quality.estimates(good, quality.Rule())
+    assert sorted((r.g, r.c0, r.scale) for r in found.collect()) == [("one", 3.0, 1.0), ("same", 1.0, 1.0)]
+    assert quality.estimates(good.limit(0), quality.Rule()).collect() == []
+
+
 def test_small_sources_are_judged_by_all_rows_of_their_language(documents, make_sentence):
     rng = random.Random(15)
     good = lambda: "\n".join(make_sentence(rng, 12) for _ in range(rng.randint(6, 20)))
