@@ -178,14 +178,12 @@ def chunks(texts: DataFrame, rule: Rule) -> DataFrame:
     return of_texts(texts, find, [("digest", pa.int64())], "digest long")
 
 
-def open_starts(raw: bytes, shared: list[int], rule: Rule) -> np.ndarray:
-    """Whether all chunks of the string of ``run`` bytes at each start are shared."""
-    low, _, turn = chunk_bounds(raw, rule)
-    lost = turn[~np.isin(low, shared)]
-    steps = np.zeros(len(raw) - rule.run + 2, np.int64)
-    np.add.at(steps, np.maximum(lost - rule.turns + 2, 0), 1)
-    np.add.at(steps, np.minimum(lost + 1, len(steps) - 1), -1)
-    return np.cumsum(steps)[:-1] == 0
+def open_starts(n: int, low: np.ndarray, turn: np.ndarray, shared: list[int], rule: Rule) -> np.ndarray:
+    """Whether all chunks of the string of ``run`` bytes at each start of a text of ``n`` bytes are shared."""
+    lost, size = turn[~np.isin(low, shared)], n - rule.run + 2
+    opens = np.bincount(np.maximum(lost - rule.turns + 2, 0), minlength=size)
+    closes = np.bincount(np.minimum(lost + 1, size - 1), minlength=size)
+    return np.cumsum(opens - closes)[:-1] == 0
 
 
 def strings(raw: bytes, at: np.ndarray, size: int) -> Found:
@@ -210,8 +208,9 @@ def longer_strings(documents: DataFrame, shared: DataFrame, rule: Rule) -> DataF
     def find(raw: bytes, places: list[int]) -> Found | None:
         if len(raw) < rule.longer:
             return None
-        taken = np.concatenate(([0], np.cumsum(open_starts(raw, places, rule))))
-        cuts, _ = cut_places(np.frombuffer(raw, np.uint8), rule)
+        low, high, turn = chunk_bounds(raw, rule)
+        taken = np.concatenate(([0], np.cumsum(open_starts(len(raw), low, turn, places, rule))))
+        cuts = np.append(low, high[-1] - REACH)
         cuts = cuts[cuts + rule.longer <= len(raw)]
         return strings(raw, cuts[taken[cuts + rule.window + 1] - taken[cuts] == rule.window + 1], rule.longer)
 
@@ -242,7 +241,7 @@ def open_strings(documents: DataFrame, shared: DataFrame, known: DataFrame, rule
 
     def find(raw: bytes, shared: list[int], settled: list[int]) -> Found:
         low, high, turn = chunk_bounds(raw, rule)
-        starts = np.flatnonzero(open_starts(raw, shared, rule) & ~settled_starts(len(raw), settled, rule))
+        starts = np.flatnonzero(open_starts(len(raw), low, turn, shared, rule) & ~settled_starts(len(raw), settled, rule))
         lead, back = np.unique(np.searchsorted(turn, starts), return_inverse=True)
         return *strings(raw, starts, rule.run), digests_of(raw, low[lead], high[lead])[back]
 
