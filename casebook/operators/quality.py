@@ -137,14 +137,16 @@ def fk_violations(
     """(reference, violations): fact keys that are set but absent in the referenced frame.
 
     ``references`` maps a name to (fact column, referenced frame, its key). Fact
-    keys are grouped first, so a hot key crosses the join once.
+    keys are grouped first, so a hot key crosses the join once. Keys are merged:
+    the size Spark expects of a stored key column is that of its packed file, so
+    parents of any size would be broadcast, and all of them at once.
     """
     out = None
     for name, (column, parent, key) in references.items():
         keys = fact.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(
             F.count(F.lit(1)).alias("_n")
         )
-        lost = keys.join(parent.select(F.col(key).alias("_k")), "_k", "left_anti").agg(
+        lost = keys.join(parent.select(F.col(key).alias("_k")).hint("merge"), "_k", "left_anti").agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")
         )
         row = lost.select(F.lit(name).alias("reference"), "violations")

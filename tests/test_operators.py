@@ -344,3 +344,12 @@ def test_aliases_are_clustered_as_what_they_stand_for(spark):
     aliases = spark.createDataFrame([("af", "alpha front"), ("bet group", "beta")], "alias string, name string")
     got = {r.name: r.cluster for r in fuzzy.cluster_names(names, 2, aliases).collect()}
     assert got == {"alpha front": "alpha front", "af": "alpha front", "alpha frnt": "alpha front", "beta": "beta", "bet group": "beta", "unknown": "unknown"}
+
+
+def test_reference_checks_broadcast_no_parent(spark):
+    """A parent that Spark takes for small is merged: twenty of them at once once filled the driver."""
+    fact = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "k long")
+    parents = {"all": ("k", spark.range(1, 4), "id"), "some": ("k", spark.createDataFrame([(3,), (None,)], "id long"), "id")}
+    found = Q.fk_violations(fact, parents)
+    assert {r["reference"]: r["violations"] for r in found.collect()} == {"all": 0, "some": 3}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
