@@ -11,6 +11,7 @@ from casebook.functions import values
 from casebook.functions.text import location_key
 from casebook.operators.ordering import dense_ids, first_per_key
 from casebook.operators.quality import in_range, in_set
+from casebook.session import materialize, merged_if_large
 
 RECONCILED_COLUMNS = {
     "incidents": ["eventid", "year", "month", "day", "extended", "success"],
@@ -118,10 +119,16 @@ DEFAULT_ID = 1
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Equality on all pairs in which NULL equals NULL."""
+    """Equality on all pairs in which NULL equals NULL.
+
+    A hash of all parts goes first, where their types agree: a merge join then sorts by one number.
+    """
     condition = F.lit(True)
-    for mine, theirs in pairs:
-        condition = condition & left[mine].eqNullSafe(right[theirs])
+    mine, theirs = [m for m, _ in pairs], [t for _, t in pairs]
+    if [left.schema[m].dataType for m in mine] == [right.schema[t].dataType for t in theirs]:
+        condition = F.xxhash64(*[left[m] for m in mine]) == F.xxhash64(*[right[t] for t in theirs])
+    for m, t in pairs:
+        condition = condition & left[m].eqNullSafe(right[t])
     return condition
 
 
@@ -143,12 +150,11 @@ def build_dimension(source: DataFrame, dim: Dimension) -> DataFrame:
 def lookup_ids(df: DataFrame, dim_frame: DataFrame, dim: Dimension) -> DataFrame:
     """Add the dimension's id by natural key; unmatched rows take the default member.
 
-    No broadcast is forced: adaptive execution broadcasts a dimension it measured
-    as small and splits hot keys of a large one.
+    A dimension of few rows may be broadcast, one of many is merged, and adaptive
+    execution splits its hot keys. Of members with equal keys the smallest id counts.
     """
-    keys = dim_frame.select(
-        F.col(dim.id_column), *[F.col(k).alias(f"_{dim.table}_{k}") for k in dim.natural_key]
-    )
+    named = [F.col(k).alias(f"_{dim.table}_{k}") for k in dim.natural_key]
+    keys = merged_if_large(dim_frame.groupBy(*named).agg(F.min(dim.id_column).alias(dim.id_column)), dim_frame)
     pairs = [(column, f"_{dim.table}_{k}") for k, column in dim.keys.items()]
     joined = df.join(keys, null_safe(df, keys, pairs), "left").drop(*[theirs for _, theirs in pairs])
     return joined.withColumn(dim.id_column, F.coalesce(dim.id_column, F.lit(DEFAULT_ID)))
@@ -159,7 +165,11 @@ FACT_FLAGS = ["success", "propvalue_imputed", "us_casualty_imputed", "high_impac
 
 
 def load_fact(cleaned: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Look up all six ids, check domains, keep one row per event: the first in order of its columns."""
+    """Look up all six ids, check domains, keep one row per event: the first in order of its columns.
+
+    Rows are ranked only if some event stands twice in ``cleaned``, as no look-up repeats a row.
+    """
+    repeated = cleaned.where(F.col("eventid").isNotNull()).groupBy("eventid").count().where("count > 1")
     keyed = cleaned
     for name, dim in DIMENSIONS.items():
         keyed = lookup_ids(keyed, dimensions[name], dim)
@@ -177,7 +187,7 @@ def load_fact(cleaned: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFr
     for c in FACT_FLAGS:
         domain = domain & in_set(c, [0, 1])
     valid = fact.where(domain & F.col("eventid").isNotNull())
-    one = first_per_key(valid, ["eventid"], [F.col(c) for c in valid.columns[1:]])
+    one = valid if repeated.isEmpty() else first_per_key(valid, ["eventid"], [F.col(c) for c in valid.columns[1:]])
     return one.withColumn("total_casualties", F.col("nkill") + F.col("nwound"))
 
 
@@ -185,7 +195,7 @@ def star_flat(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame
     """The fact with every dimension's columns; an unmatched id leaves NULLs."""
     flat = fact
     for name, dim in DIMENSIONS.items():
-        flat = flat.join(dimensions[name], dim.id_column, "left")
+        flat = flat.join(merged_if_large(dimensions[name]), dim.id_column, "left")
     return flat.drop(*[d.id_column for d in DIMENSIONS.values()])
 
 
@@ -194,7 +204,7 @@ def lookup_min_id(
 ) -> DataFrame:
     """Lookup on part of a key: the smallest id per key, so no row fans out."""
     smallest = dim_frame.groupBy(*on).agg(F.min(id_column).alias(id_column))
-    renamed = smallest.select(id_column, *[F.col(c).alias(f"_{c}") for c in on])
+    renamed = merged_if_large(smallest.select(id_column, *[F.col(c).alias(f"_{c}") for c in on]), dim_frame)
     pairs = [(c, f"_{c}") for c in on]
     return df.join(renamed, null_safe(df, renamed, pairs), "left").drop(*[theirs for _, theirs in pairs])
 

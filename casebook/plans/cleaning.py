@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casebook.functions import fixed_values as V, values
 from casebook.operators import cleaning as C
+from casebook.session import materialize
 
 TEXT_COLUMNS = [
     "region_txt", "country_txt", "provstate", "city", "propextent_txt", "attacktype1_txt", "weaptype1_txt",
@@ -103,8 +104,13 @@ def one_per_event(raw: DataFrame, rules: CleaningRules) -> tuple[DataFrame, dict
 
 
 def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(cleaned rows, rejected or suspect rows by reason)."""
+    """(cleaned rows, rejected or suspect rows by reason).
+
+    Without the sample's cut a pass looks for it first, so what this and the last pass read is stored.
+    """
     df, rejected = one_per_event(raw, rules)
+    if rules.sample_cut is None:
+        df = materialize(df, "one_per_event")
     df = impute_property_values(df, rules)
     df = df.withColumn("propvalue_category", values.value_category(F.col("propvalue")))
     df = C.fill_missing(df, zero=["nkill", "nwound", "nkillter", "nwoundter", "nkillus", "nwoundus", "property"])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casebook.operators import quality as Q, warehouse as W
 from casebook.plans.cleaning import CleaningRules, clean
-from casebook.session import fresh_path, materialize, store
+from casebook.session import Passing, fresh_path, materialize
 from casebook.sources import tables
 from casebook.sources.versions import VersionedTable
 
@@ -64,24 +64,20 @@ def build(cleaned: DataFrame) -> Star:
     return Star(cleaned, dimensions, fact, published.read(), checks)
 
 
-_cleaned: dict[tuple[str, str], str] = {}
+_cleaned: dict[tuple[str, str], DataFrame] = {}
 _stars: dict[tuple[str, str], Star] = {}
 
 
-def cleaned_path(spark: SparkSession, sf_dir: str) -> str:
-    """Where the cleaned incident view lies, written once per application and input folder."""
+def cleaned_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned incident view, written once per application and input folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _cleaned:
-        raw = tables.raw_incidents(spark, sf_dir)
-        cleaned, _ = clean(raw, view_rules(spark, sf_dir))
-        _cleaned[key] = store(cleaned.withColumnRenamed("event_id", "eventid"), "cleaned")
+        with Passing(spark) as block:
+            cleaned, _ = clean(tables.raw_incidents(spark, sf_dir), view_rules(spark, sf_dir))
+            _cleaned[key] = block.keep(cleaned.withColumnRenamed("event_id", "eventid"), "cleaned")
     return _cleaned[key]
 
 
-def cleaned_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(cleaned_path(spark, sf_dir))
-
-
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The published star of the incident view."""
     key = (spark.sparkContext.applicationId, sf_dir)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from casebook.session import merged_if_large
+
 PICKED_COUNTRY = "nation_3"
 
 
@@ -43,10 +45,10 @@ def incidents_from(
     """Raw incidents; with ``documents`` each one whose key equals a document's carries its text."""
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     joined = (
-        orders.join(customer, c == F.col("c_custkey"))
+        orders.join(merged_if_large(customer), c == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(_line_facts(lines), o == F.col("l_orderkey"), "left")
+        .join(merged_if_large(_line_facts(lines), lines), o == F.col("l_orderkey"), "left")
     )
     summary = []
     if documents is not None:

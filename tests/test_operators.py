@@ -353,3 +353,32 @@ def test_reference_checks_broadcast_no_parent(spark):
     found = Q.fk_violations(fact, parents)
     assert {r["reference"]: r["violations"] for r in found.collect()} == {"all": 0, "some": 3}
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_dimensions_are_merged_with_the_same_ids(spark):
+    """100,001 members pass for a small table by their size; as a broadcast relation they do not stay small."""
+    dim = W.DIMENSIONS["dim_terroristgroup"]
+    n, flag = F.col("id"), F.lit(0)
+    name = F.when(n != 7, F.concat(F.lit("g"), n))
+    many = spark.range(1, 100_002).select(n.alias("group_id"), name.alias("group_name"), flag.alias("uncertainty"), flag.alias("unknown_group_flag"))
+    given = [(1, "g5", 0, 0), (2, None, 0, 0), (3, "absent", 0, 0), (4, "g5", None, 0)]
+    df = spark.createDataFrame(given, "e long, group_name string, uncertainty1 int, unknown_group int")
+    twice = many.unionAll(many.where("group_id = 5").withColumn("group_id", F.lit(9).cast("long")))
+    found = W.lookup_ids(df, twice, dim)
+    assert rows(found.select("e", "group_id")) == [(1, 5), (2, 7), (3, 1), (4, 1)]
+    partly = W.lookup_min_id(df, twice, "group_id", ["group_name"])
+    assert rows(partly.select("e", F.coalesce("group_id", F.lit(0)))) == [(1, 5), (2, 7), (3, 0), (4, 5)]
+    assert "BroadcastHashJoin" not in plan(found) and "BroadcastHashJoin" not in plan(partly)
+
+
+def test_null_safe_equality_takes_zeros_and_kinds_as_equal(spark):
+    one = spark.createDataFrame([(1, 0.0, None), (2, -0.0, "x")], "i int, d double, s string")
+    two = spark.createDataFrame([(1, -0.0, None), (2, 0.0, "x")], "j int, e double, t string")
+    pairs = [("i", "j"), ("d", "e"), ("s", "t")]
+    assert one.join(two, W.null_safe(one, two, pairs)).count() == 2
+    wide = two.withColumn("j", F.col("j").cast("long"))
+    assert one.join(wide, W.null_safe(one, wide, pairs)).count() == 2
