@@ -226,13 +226,15 @@ def late_members(
     ``more`` are further columns of the dimension; of several values of a member the first in order stays.
     """
     if more:
-        first = df.groupBy(*natural_key).agg(F.min(F.struct(*more)).alias("_first"))
+        # Distinct rows first: a minimum of structs sorts what it reads. Members and details read the stored result.
+        first = df.select(*natural_key, *more).distinct().groupBy(*natural_key).agg(F.min(F.struct(*more)).alias("_first"))
+        first = materialize(first, "first_details")
         details = first.select(*[F.col(c).alias(f"_of_{c}") for c in natural_key], "_first.*")
-        found = late_members(df, dim_frame, id_column, natural_key)
+        found = late_members(first, dim_frame, id_column, natural_key)
         same = null_safe(found, details, [(c, f"_of_{c}") for c in natural_key])
-        return found.join(details, same).select(id_column, *natural_key, *more)
+        return found.join(merged_if_large(details, first), same).select(id_column, *natural_key, *more)
     members = df.select(*natural_key).distinct()
-    known = dim_frame.select(*[F.col(c).alias(f"_{c}") for c in natural_key]).distinct()
+    known = merged_if_large(dim_frame.select(*[F.col(c).alias(f"_{c}") for c in natural_key]).distinct(), dim_frame)
     pairs = [(c, f"_{c}") for c in natural_key]
     missing = members.join(known, null_safe(members, known, pairs), "left_anti")
     largest = dim_frame.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
@@ -245,18 +247,23 @@ def resolve_location(events: DataFrame, dim_location: DataFrame) -> tuple[DataFr
 
     Returns (events with location_id and the step that found it, the new members).
     Every step joins ids already reduced to one per key, so no event is repeated.
+    New members come from the distinct places of the events, not from all events.
     """
     dim = with_location_key(dim_location)
     steps = {"full": FULL_PLACE, "named": NAMED_PLACE, "key": ["location_key"]}
-    out = with_location_key(events)
-    for step, on in steps.items():
-        out = lookup_min_id(out, dim.select("location_id", *on), "location_id", on)
-        out = out.withColumnRenamed("location_id", f"_{step}_id")
+
+    def stepped(df: DataFrame) -> DataFrame:
+        out = with_location_key(df)
+        for step, on in steps.items():
+            out = lookup_min_id(out, dim.select("location_id", *on), "location_id", on)
+            out = out.withColumnRenamed("location_id", f"_{step}_id")
+        return out
+
     found = F.coalesce(*[F.col(f"_{s}_id") for s in steps])
-    missed = out.where(found.isNull())
-    new = late_members(
-        missed, dim_location, "location_id", FULL_PLACE, [c for c in PLACE_DETAILS if c in events.columns]
-    )
+    details = [c for c in PLACE_DETAILS if c in events.columns]
+    missed = stepped(events.select(*FULL_PLACE, *details).distinct()).where(found.isNull())
+    new = materialize(late_members(missed, dim_location, "location_id", FULL_PLACE, details), "new_places")
+    out = stepped(events)
     out = lookup_min_id(out, new.select("location_id", *FULL_PLACE), "location_id", FULL_PLACE)
     step_name = F.lit("new")
     for step in reversed(list(steps)):
