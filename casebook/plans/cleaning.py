@@ -157,6 +157,11 @@ def impute_property_values(df: DataFrame, rules: CleaningRules) -> DataFrame:
 
 def sample_cut(raw: DataFrame, rules: CleaningRules) -> tuple[str, int] | None:
     """The last row of the capped sample over all of ``raw``: what a load of it in parts needs as ``sample_cut``."""
-    df = C.impute_by_bucket(one_per_event(raw, rules)[0], rules.extent_values, "propvalue_imputed")
+    # Few events have a row that may be sampled; only their rows are prepared in full and ranked.
+    parts = C.select_existing(raw, ["eventid", "property", "propvalue", "propextent_txt"])
+    some = C.impute_by_bucket(C.rename(prepared(parts), RENAMES), rules.extent_values, "propvalue_imputed")
+    events = some.where(C.in_sample()).select(F.col("event_id").alias("_event")).distinct().hint("merge")
+    needy = raw.join(events, raw["eventid"] == events["_event"], "left_semi")
+    df = C.impute_by_bucket(one_per_event(needy, rules)[0], rules.extent_values, "propvalue_imputed")
     cut = C.sample_cut(df, "event_id", rules.sample_cap, rules.sample_seed).first()["cut"]
     return None if cut is None else (cut["o"], cut["k"])

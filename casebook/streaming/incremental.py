@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from casebook.operators import warehouse as W
 from casebook.operators.ordering import first_per_key
 from casebook.plans.cleaning import CleaningRules, clean
-from casebook.session import Folder, Scratch
+from casebook.session import Folder, Passing, Scratch
 
 
 def read_parts(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame | None:
@@ -77,7 +77,7 @@ class Target:
         known = self.loaded_keys(spark, rows, batch_id)
         fresh = rows.withColumn("bucket", self.bucket())
         if known is not None:
-            fresh = fresh.join(known, ["bucket", *self.key], "left_anti")
+            fresh = fresh.join(known.hint("merge"), ["bucket", *self.key], "left_anti")
         ordered = fresh.repartition("bucket").sortWithinPartitions("bucket", *self.key)
         ordered.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={batch_id}")
 
@@ -138,7 +138,7 @@ def dimensions_upto(star: Star, cleaned: DataFrame, batch_id: int) -> dict[str,
 
 def load_batch(raw: DataFrame, batch_id: int, star: Star, rules: CleaningRules) -> None:
     """One batch, from raw rows to facts. Running it again with the same rows changes nothing."""
-    with Scratch(raw.sparkSession) as keep:
+    with Passing(raw.sparkSession), Scratch(raw.sparkSession) as keep:
         cleaned, _ = clean(raw, rules)
         cleaned = keep(cleaned.withColumnRenamed("event_id", "eventid"), "cleaned")
         # The dimensions do not depend on each other, so their jobs share the cluster.

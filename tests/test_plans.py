@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 import compare
 from casebook import schemas
-from casebook.operators import quality as Q, warehouse as W
-from casebook.plans import catalog, star
-from casebook.plans.cleaning import clean
+from casebook.operators import cleaning as C, quality as Q, warehouse as W
+from casebook.plans import catalog, queries_warehouse, star
+from casebook.plans.cleaning import clean, one_per_event, sample_cut
 from casebook.session import fresh_path, materialize
 from casebook.sources import files, tables
 
@@ -158,3 +158,41 @@ def test_no_cartesian_products(spark):
     for name in ("pct_total_countries", "member_set_algebra", "cap_iqr", "fuzzy_city"):
         plan = FUNCTIONS[name](spark, SF)._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_stand_once_are_neither_ranked_nor_prepared_twice(spark):
+    published = star.star(spark, SF)
+    assert "Window" not in plan(W.load_fact(published.cleaned, published.dimensions))
+    cleaned, _ = clean(tables.raw_incidents(spark, SF), star.view_rules(spark, SF))
+    assert "Window" not in plan(cleaned) and "lineitem" not in plan(cleaned)
+
+
+def test_outcome_runs_read_stored_rows(spark, monkeypatch):
+    given, write = [], files.write_outcomes
+    monkeypatch.setattr(files, "write_outcomes", lambda df, *rest: (given.append(df), write(df, *rest)))
+    FUNCTIONS["tagged_outcomes"](spark, SF)
+    assert len(given) == 3 and not any("Join" in plan(df) for df in given)
+
+
+def test_repeated_arrivals_are_one_pass(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(queries_warehouse, "clean", lambda raw, rules: (given.append(raw), clean(raw, rules))[1])
+    FUNCTIONS["repeated_event_kpis"](spark, SF)
+    raw, key = tables.raw_incidents(spark, SF), F.col("eventid")
+    wanted = raw.count() + raw.where(key % 3 == 0).count() + raw.where(key % 7 == 0).count()
+    assert "Union" not in plan(given[0]) and given[0].count() == wanted
+    assert given[0].where(key.isNull()).count() == raw.where(key % 7 == 0).count()
+
+
+def test_the_cut_of_the_sample_prepares_only_events_that_may_be_sampled(spark, monkeypatch):
+    given, cut = [], C.sample_cut
+    monkeypatch.setattr(C, "sample_cut", lambda df, *rest: (given.append(df), cut(df, *rest))[1])
+    raw, rules = tables.raw_incidents(spark, SF), star.view_rules(spark, SF)
+    found = sample_cut(raw, rules)
+    whole = C.impute_by_bucket(one_per_event(raw, rules)[0], rules.extent_values, "propvalue_imputed")
+    assert found == tuple(cut(whole, "event_id", rules.sample_cap, rules.sample_seed).first()["cut"])
+    assert "LeftSemi" in plan(given[0])
