@@ -32,7 +32,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from casebook.llm.common import row_slices
@@ -48,13 +47,24 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 KEY = re.compile(r"(?<![0-9A-Za-z])(?=[A-Fa-f]*+[0-9])(?=[0-9]*+[A-Fa-f])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")
-WORD = re.compile(r"\S+")
-NUMBER = re.compile(r"[0-9()+./-]*[0-9][0-9()+./-]*")
+BLANKS = re.compile(r"\s")
+NUMBER = re.compile(r"(?=[()+./-]*+[0-9])[0-9()+./-]++")
 NOT_DIGITS = re.compile(r"[^0-9]+")
 EDGES = ".,;:!?\"'()[]{}<>"
 #: Bits of the filter of a look-up, 1 MB in all. Beyond some two million entries it lets more through; results stay the same.
 FILTER_BITS = 23
 MIXERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+#: Characters of a text that are hashed at once, up to the next blank.
+PIECE = 1 << 18
+SOLID, FIGURE, EDGE, BLANK = range(4)
+SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+CODE_KINDS = np.zeros(0x110000, np.uint8)
+for _kind, _letters in ((FIGURE, "0123456789"), (EDGE, EDGES), (BLANK, SPACES)):
+    CODE_KINDS[list(map(ord, _letters))] = _kind
+_random = np.random.default_rng(20_240_608)
+CODE_HASHES = _random.integers(0, 1 << 64, 0x110000, dtype=np.uint64)
+BASE = int(_random.integers(0, 1 << 64, dtype=np.uint64)) & ~7 | 5
+_powers: tuple[np.ndarray, ...] = (np.empty(0, np.uint64),) * 2
 
 
 @dataclass(frozen=True)
@@ -119,20 +129,93 @@ def seed_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     return found
 
 
-class Plain(dict):
-    """Hash of a word in lower case without edge marks, 0 if nothing is left; computed once per word of a task."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        left = word.strip(EDGES).lower()
-        found = self[word] = (xxhash.xxh3_64_intdigest(left.encode("utf-8", "surrogatepass")) or 1) if left else 0
-        return found
-
-
-def units(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None, str]]:
-    """start, end, kind (of seeds) and plain text of every unit, in order."""
-    found: list[tuple[int, int, str | None, str]] = []
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the base of word hashes and of its inverse, kept for the task."""
+    global _powers
+    if n > len(_powers[0]):
+        grown = [np.full(2 * n, np.uint64(b), np.uint64) for b in (BASE, pow(BASE, -1, 1 << 64))]
+        for x in grown:
+            x[0] = 1
+            np.multiply.accumulate(x, out=x)
+        _powers = tuple(grown)
+    return _powers
+
+
+def code_points(text: str) -> np.ndarray:
+    if text.isascii():
+        return np.frombuffer(text.encode(), np.uint8)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def word_hashes(codes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of code points by prefix sums, never 0: no table of words is kept, however many there are."""
+    up, down = powers(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    values = CODE_HASHES.take(codes)
+    values *= up[: len(codes)]
+    np.cumsum(values, out=sums[1:])
+    h = sums.take(high)
+    h -= sums.take(low)
+    h *= down.take(low)
+    h ^= h >> np.uint64(32)
+    h *= MIXERS[2]
+    h ^= h >> np.uint64(29)
+    h[h == 0] = 1
+    return h
+
+
+def hash_of(text: str) -> np.uint64:
+    codes = code_points(text.lower())
+    return word_hashes(codes, np.array([0]), np.array([len(codes)]))[0]
+
+
+def piece_words(text: str) -> tuple[np.ndarray, ...]:
+    """Start, end and hash (in lower case) of each word without edge marks, and which of them hold a digit."""
+    lower = text.lower()
+    same = len(lower) == len(text)  # else places would move: hashed word by word
+    codes = code_points(lower if same else text)
+    kind = CODE_KINDS.take(codes)
+    filled = np.zeros(len(kind) + 2, bool)
+    np.not_equal(kind, BLANK, out=filled[1:-1])
+    change = np.flatnonzero(filled[1:] != filled[:-1])
+    low, high = change[::2].copy(), change[1::2].copy()
+    # Most words have one mark at an end, if any; beyond that the next letter is looked up, however far it is.
+    low += kind.take(low) == EDGE
+    high -= (kind.take(high - 1) == EDGE) & (low < high)
+    left, right = np.flatnonzero(kind.take(low, mode="clip") == EDGE), np.flatnonzero(kind.take(high - 1) == EDGE)
+    if len(left) or len(right):
+        solid = np.flatnonzero(kind < EDGE)
+        low[left] = np.append(solid, len(kind))[np.searchsorted(solid, low[left])]
+        high[right] = np.append(-1, solid)[np.searchsorted(solid, high[right])] + 1
+    worded = low < high
+    if not worded.all():
+        low, high = low[worded], high[worded]
+    figures = np.flatnonzero(kind == FIGURE)
+    numeric = np.unique(np.searchsorted(low, figures, "right") - 1) if len(figures) else figures
+    if same:
+        return low, high, word_hashes(codes, low, high), numeric
+    listed = [hash_of(text[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+    return low, high, np.array(listed, np.uint64), numeric
+
+
+def words_of(text: str) -> tuple[np.ndarray, ...]:
+    """``piece_words`` of a text of any length, read in pieces that end at a blank."""
+    if len(text) <= PIECE:
+        return piece_words(text)
+    parts, at, before = [], 0, 0
+    while at < len(text):
+        blank = BLANKS.search(text, at + PIECE)
+        stop = blank.start() if blank else len(text)
+        low, high, h, numeric = piece_words(text[at:stop])
+        parts.append((low + at, high + at, h, numeric + before))
+        at, before = stop, before + len(low)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def units_of(text: str, base: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, str]]:
+    """Start, end and hash of every unit, in order, and the kinds of those that are seeds."""
+    if not base and not DIGIT.search(text):
+        return *words_of(text)[:3], {}
     order = (*KINDS, SECRET)
     merged: list[list] = []
     for kind, start, end in sorted(seed_spans(text, base), key=lambda x: (x[1], x[2])):
@@ -141,41 +224,49 @@ def units(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, s
             merged[-1][2] = min(merged[-1][2], kind, key=order.index)
         else:
             merged.append([start, end, kind])
-    at, run = 0, False
-
-    def words(start: int, stop: int) -> None:
-        nonlocal run
-        for m in WORD.finditer(text, start, stop):
-            low, high = m.span()
-            number = NUMBER.fullmatch(m[0].rstrip(EDGES)) is not None
-            while low < high and text[low] in EDGES:
-                low += 1
-            while low < high and text[high - 1] in EDGES:
-                high -= 1
-            if low == high:
-                continue
-            if number and run and low == found[-1][1] + 1 and text[low - 1] == " ":
-                found[-1] = (found[-1][0], high, None, text[found[-1][0] : high].lower())
-            else:
-                found.append((low, high, None, text[low:high].lower()))
-            run = number
-
-    for start, end, kind in merged:
-        words(at, start)
-        found.append((start, end, kind, text[start:end].lower()))
-        at, run = end, False
-    words(at, len(text))
-    return found
+    parts, kinds, at, n = [], {}, 0, 0
+    for start, end, kind in [*merged, (len(text), None, None)]:
+        if at < start:
+            low, high, h = with_runs(text[at:start])
+            parts.append((low + at, high + at, h))
+            n += len(low)
+        if kind:
+            parts.append((np.array([start]), np.array([end]), np.array([hash_of(text[start:end])], np.uint64)))
+            kinds[n] = kind
+            n, at = n + 1, end
+    return *(np.concatenate(x) for x in zip(*parts, strict=True)), kinds
+
+
+def with_runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a text without seeds, runs of number words with single blanks between made one."""
+    low, high, h, numeric = words_of(text)
+    gone, head, last = [], -1, -2
+    for i in numeric.tolist():
+        start = int(low[i])
+        while start and text[start - 1] in EDGES:
+            start -= 1
+        if not NUMBER.fullmatch(text, start, int(high[i])):
+            continue
+        if last == i - 1 and low[i] == high[i - 1] + 1 and text[low[i] - 1] == " ":
+            gone.append((head, i))
+        else:
+            head = i
+        last = i
+    if gone:
+        ends = dict(gone)  # the last word of each run
+        for head, i in ends.items():
+            high[head] = high[i]
+            h[head] = hash_of(text[low[head] : high[head]])
+        stays = np.ones(len(low), bool)
+        stays[[i for _, i in gone]] = False
+        low, high, h = low[stays], high[stays], h[stays]
+    return low, high, h
 
 
-def hashed(text: str, base: list[tuple[str, int, int]], plain: Plain) -> tuple[np.ndarray, list | None]:
-    """Hashes of a text's units, and the units themselves where words are not units already."""
-    if base or DIGIT.search(text):
-        listed = units(text, base)
-        return np.array([xxhash.xxh3_64_intdigest(u[3].encode("utf-8", "surrogatepass")) or 1 for u in listed], np.uint64), listed
-    words = text.split()
-    h = np.fromiter(map(plain.__getitem__, words), np.uint64, len(words))
-    return h[h != 0], None
+def units(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None, str]]:
+    """start, end, kind (of seeds) and plain text of every unit, in order."""
+    low, high, _, kinds = units_of(text, base)
+    return [(a, b, kinds.get(i), text[a:b].lower()) for i, (a, b) in enumerate(zip(low.tolist(), high.tolist(), strict=True))]
 
 
 def patterns_of(h: np.ndarray) -> np.ndarray:
@@ -183,15 +274,19 @@ def patterns_of(h: np.ndarray) -> np.ndarray:
     n = len(h)
     found = np.zeros((3, n), np.uint64)
 
-    def mix(form: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        x = (a ^ MIXERS[form]) * MIXERS[0]
-        x = ((x ^ (x >> np.uint64(29))) + b) * MIXERS[1]
-        return (x ^ (x >> np.uint64(32))) | np.uint64(1)
+    def mix(form: int, a: np.ndarray, b: np.ndarray, out: np.ndarray) -> None:
+        x = a ^ MIXERS[form]
+        x *= MIXERS[0]
+        x ^= x >> np.uint64(29)
+        x += b
+        x *= MIXERS[1]
+        np.bitwise_xor(x, x >> np.uint64(32), out=out)
+        out |= np.uint64(1)
 
     if n > 2:
-        found[0, 2:] = mix(0, h[:-2], h[1:-1])
-        found[1, :-2] = mix(1, h[1:-1], h[2:])
-        found[2, 1:-1] = mix(2, h[:-2], h[2:])
+        mix(0, h[:-2], h[1:-1], found[0, 2:])
+        mix(1, h[1:-1], h[2:], found[1, :-2])
+        mix(2, h[:-2], h[2:], found[2, 1:-1])
     return found
 
 
@@ -209,9 +304,11 @@ def bits_of(hashes: DataFrame, name: str) -> bytes:
 
 
 def passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of the hashes that pass the filter; the second bit is looked at where the first is set."""
     mask, six, one = np.uint64((1 << FILTER_BITS) - 1), np.uint64(6), np.uint64(1)
-    test = lambda x: (bits[x >> six] >> (x & np.uint64(63))) & one
-    return (test(h & mask) & test((h >> np.uint64(40)) & mask)).astype(bool)
+    test = lambda x: (bits.take((x >> six).view(np.int64)) >> (x & np.uint64(63))) & one
+    at = np.flatnonzero(test(h & mask))
+    return at[np.flatnonzero(test((h[at] >> np.uint64(40)) & mask))]
 
 
 def read_rows(documents: DataFrame) -> DataFrame:
@@ -233,12 +330,11 @@ def scan(documents: DataFrame) -> DataFrame:
                 bases.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in base])
                 said = []
                 if base or DIGIT.search(text) and KEY.search(text):
-                    h, listed = hashed(text, base, Plain())
+                    low, high, h, kinds = units_of(text, base)
                     signed, around = h.view(np.int64), patterns_of(h).view(np.int64)
-                    for i, (start, end, kind, _) in enumerate(listed):
-                        if kind:
-                            near = [int(x) for x in around[:, i] if x]
-                            said.append({"kind": kind, "start": start, "end": end, "entity": int(signed[i]), "patterns": near})
+                    for i, kind in kinds.items():
+                        near = [int(x) for x in around[:, i] if x]
+                        said.append({"kind": kind, "start": int(low[i]), "end": int(high[i]), "entity": int(signed[i]), "patterns": near})
                 seeds.append(said)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(bases, pa.list_(span)), pa.array(seeds, pa.list_(seed))], schema=schema
@@ -258,20 +354,22 @@ def look_up(documents: DataFrame, bits: bytes, by_pattern: bool) -> DataFrame:
     names = ["pattern", "form", "entity", "n"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, table = Plain(), np.frombuffer(bits, np.uint64)
+        table = np.frombuffer(bits, np.uint64)
         for batch in row_slices(batches):
             parts = []
             for text in batch.column(2).to_pylist():
-                h, _ = hashed(text, base_spans(text), plain) if text else (np.empty(0, np.uint64), None)
-                around = patterns_of(h) if len(h) else np.empty((3, 0), np.uint64)
+                h = units_of(text, base_spans(text))[2] if text else np.empty(0, np.uint64)
                 met = None if by_pattern else passes(h, table)
-                for form in range(3):
-                    at = np.flatnonzero((around[form] != 0) & (passes(around[form], table) if by_pattern else met))
-                    if len(at):
-                        parts.append(np.stack([around[form, at].view(np.int64), np.full(len(at), form), h[at].view(np.int64)], axis=1))
-                if met is not None and met.any():
+                if met is not None and len(met):
                     here = h[met].view(np.int64)
                     parts.append(np.stack([np.zeros_like(here), np.full(len(here), -1), here], axis=1))
+                if by_pattern or len(met):
+                    around = patterns_of(h)
+                    for form in range(3):
+                        at = passes(around[form], table) if by_pattern else met
+                        at = at[around[form, at] != 0]
+                        if len(at):
+                            parts.append(np.stack([around[form, at].view(np.int64), np.full(len(at), form), h[at].view(np.int64)], axis=1))
             if parts:
                 rows = np.concatenate(parts)
                 rows = rows[np.lexsort(rows.T)]
@@ -288,16 +386,14 @@ def occurrences(documents: DataFrame, bits: bytes) -> DataFrame:
     names = ["doc_id", "mark", "entity", "start", "end"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, table = Plain(), np.frombuffer(bits, np.uint64)
+        table = np.frombuffer(bits, np.uint64)
         for batch in row_slices(batches):
             rows = []
             for doc, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                base = base_spans(text) if text else []
-                h, listed = hashed(text, base, plain) if text else (np.empty(0, np.uint64), None)
-                at = np.flatnonzero(passes(h, table))
-                if len(at):
-                    listed = listed or units(text, base)
-                    rows += [(doc, mark, int(h[i : i + 1].view(np.int64)[0]), *listed[i][:2]) for i in at.tolist() if not listed[i][2]]
+                if text:
+                    low, high, h, kinds = units_of(text, base_spans(text))
+                    at = passes(h, table).tolist()
+                    rows += [(doc, mark, int(h.view(np.int64)[i]), int(low[i]), int(high[i])) for i in at if i not in kinds]
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds, strict=True)], names=names)
@@ -326,7 +422,9 @@ def bootstrap(documents: DataFrame, seeds: DataFrame, rule: Rule = Rule()) -> Da
             "pattern", "kind", "held", (F.col("held") / (F.col("total") + 1)).alias("precision")
         ).where((F.col("held") >= rule.support) & (F.col("precision") >= rule.precision))
         with Passing(spark) as block:
-            met = slots.join(good, "pattern").join(known.select("entity").distinct(), "entity", "left_anti")
+            # Stored, so that Spark looks up the known ones among what stands in good slots, not in all slots.
+            standing = materialize(slots.join(good, "pattern").select("entity", "kind", "precision", "form", "n"), "standing")
+            met = standing.join(known.select("entity").distinct(), "entity", "left_anti")
             scored = met.groupBy("entity", "kind").agg(
                 (1 - F.exp(F.sum(F.log(1 - F.col("precision"))))).alias("score"),
                 F.greatest(*[F.sum(F.when(F.col("form") == form, F.col("n")).otherwise(0)) for form in range(3)]).alias("inside"),

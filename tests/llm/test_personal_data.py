@@ -137,3 +137,35 @@ def test_units_of_overlapping_and_touching_spans():
     ]
     assert pii.units("", []) == []
     assert [u[3] for u in pii.units("12 34  56 x 7", [])] == ["12 34", "56", "x", "7"]
+
+
+def test_known_identifiers_are_looked_up_in_good_slots_only(documents, make_sentence, monkeypatch):
+    """The anti join reads stored rows of good slots; below a join with all slots its rows would grow with those."""
+    plans, stored = [], pii.materialize
+
+    def noted(df, tag):
+        if tag == "candidates":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, tag)
+
+    monkeypatch.setattr(pii, "materialize", noted)
+    pii.find(documents([(i, t) for i, t in enumerate(talks(make_sentence))])).count()
+    assert plans
+    for plan in plans:
+        assert [line for line in plan.splitlines() if "Join " in line] == [line for line in plan.splitlines() if "Join LeftAnti" in line]
+        assert plan.count("Join LeftAnti") == 1
+
+
+def test_places_and_hashes_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(5)
+    letters = [*"aB1 23  .,()[]-+/\t\nΣσİ\xa0é@x ", "a@b.co ", "1.2.3.4", "555 12 ", "deadbeef" * 4 + "1", "\U0001F600"]
+    hashes = {}
+    monkeypatch.setattr(pii, "PIECE", 40)
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(120)))
+        low, high, h, kinds = pii.units_of(text, pii.base_spans(text))
+        for i, (a, b) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
+            assert hashes.setdefault(text[a:b].lower(), int(h[i])) == int(h[i])
+            assert i in kinds or text[a] not in pii.EDGES and text[b - 1] not in pii.EDGES
+    assert len(set(hashes.values())) == len(hashes)
+    assert [u[3] for u in pii.units("1" * 100_000 + "x 7", [])] == ["1" * 100_000 + "x", "7"]
