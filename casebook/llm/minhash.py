@@ -50,6 +50,8 @@ LANES = PERMUTATIONS * BITS // 64
 LOW_OF_PAIR = 0x5555555555555555
 #: Turns at most, and pairs a node below which no more are taken; results do not depend on them.
 TURNS, MORE_TURNS, PAIRS_PER_NODE = 3, 4, 20
+#: Labels of so few nodes are broadcast instead of shuffled in every join; results do not depend on it.
+FEW = 50_000
 #: Standard errors below the threshold at which an estimate still counts: a link falls below it three times in a million.
 MARGIN = 4.5
 
@@ -220,15 +222,19 @@ def place(turn: int, group: str = "group", size: str = "size") -> Column:
     return F.struct((-F.col(size)).alias("size"), F.xxhash64(F.lit(turn), group).alias("turn"))
 
 
-def sized(labels: DataFrame) -> DataFrame:
+def near(df: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(df) if few else df
+
+
+def sized(labels: DataFrame, few: bool = False) -> DataFrame:
     """Labels (node, group, size)."""
     sizes = labels.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    return labels.join(sizes, "group").select("node", "group", "size")
+    return labels.join(near(sizes, few), "group").select("node", "group", "size")
 
 
-def group_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+def group_links(labels: DataFrame, links: DataFrame, few: bool = False) -> DataFrame:
     """Distinct links (a, b) between the groups of linked nodes, with the size of b."""
-    of = lambda node, *names: labels.select(F.col("node").alias(node), *[F.col(c).alias(n) for c, n in names])
+    of = lambda node, *names: near(labels.select(F.col("node").alias(node), *[F.col(c).alias(n) for c, n in names]), few)
     both = links.join(of("a", ("group", "ga")), "a").join(of("b", ("group", "gb"), ("size", "size_b")), "b")
     return both.where(F.col("ga") != F.col("gb")).select(F.col("ga").alias("a"), F.col("gb").alias("b"), "size_b").distinct()
 
@@ -240,20 +246,21 @@ def hook(labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     apart is joined in later turns and at the end.
     """
     to = F.min(F.struct(place(turn, "b", "size_b").alias("place"), F.col("b")))["b"]
-    first = group_links(labels, links).groupBy("a").agg(to.alias("to"))
+    few = labels.count() <= FEW
+    first = group_links(labels, links, few).groupBy("a").agg(to.alias("to"))
     with Passing(labels.sparkSession) as block:
         first = materialize(first.select(F.col("a").alias("group"), "to"), "hooks")
         for _ in range(2):
             further = first.select(F.col("group").alias("to"), F.col("to").alias("on"))
-            first = first.join(further, "to", "left").select("group", F.coalesce("on", "to").alias("to"))
-        moved = labels.join(first, "group", "left").select("node", F.coalesce("to", "group").alias("group"))
-        return block.keep(sized(moved), "labels")
+            first = first.join(near(further, few), "to", "left").select("group", F.coalesce("on", "to").alias("to"))
+        moved = labels.join(near(first, few), "group", "left").select("node", F.coalesce("to", "group").alias("group"))
+        return block.keep(sized(moved, few), "labels")
 
 
 def closed(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (node, group), stored, with one group per connected component of the links (a, b) between groups."""
     with Passing(labels.sparkSession) as block:
-        found = components(group_links(labels, links)).select(F.col("node").alias("group"), "component")
+        found = components(group_links(labels, links, labels.count() <= FEW)).select(F.col("node").alias("group"), "component")
         return block.keep(
             labels.join(found, "group", "left").select("node", F.coalesce("component", "group").alias("group")), "labels"
         )
@@ -364,7 +371,7 @@ def take_turns(
     links = []
     for turn in turns:
         with Passing(rows.sparkSession) as block:
-            labelled = materialize(rows.join(labels, "node"), "labelled")
+            labelled = materialize(rows.join(near(labels, bound <= PAIRS_PER_NODE * FEW), "node"), "labelled")
             if pairs_across(labelled) <= bound:
                 break
             links.append(block.keep(confirm(pivot_pairs(labelled, rule, turn), texts, rule), "links"))

@@ -292,3 +292,16 @@ def test_short_copies_repeats_inside_and_every_stretch_of_100_bytes(documents, m
         if doc_id is not None and doc_id >= 100:
             low = text.encode().index(b"(" if doc_id < 400 else b"[") + 1
             assert [x[:2] for x in got[doc_id]] == [(low, low + 100)]
+
+
+def test_few_labels_are_broadcast_with_the_same_groups(spark, monkeypatch):
+    """Each shuffle of a few thousand labels costs a stage of all partitions in every turn."""
+    names = [bytes([i]) for i in range(40)]
+    labels = minhash.sized(spark.createDataFrame([(n, names[i // 3 * 3]) for i, n in enumerate(names)], "node binary, group binary"))
+    links = spark.createDataFrame([(names[i], names[(7 * i) % 40]) for i in range(1, 25)], "a binary, b binary")
+    plan = minhash.group_links(labels, links, True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=broadcast)") == 2
+    read = lambda: sorted((bytes(r.node), bytes(r.group), r.size) for r in minhash.hook(labels, links, 0).collect())
+    few = read()
+    monkeypatch.setattr(minhash, "FEW", -1)
+    assert read() == few
