@@ -15,8 +15,12 @@ pairs. Links are then found without listing a bucket's pairs:
 2. Nodes leave that cannot be linked with another group, since too few of their
    shingles occur in any: a copy with many words of its own meets nobody, however
    large its bucket. The others take more turns and are looked at again.
-3. What pairs of different groups are left in the buckets and pass the estimate
-   are confirmed.
+   This step is left out where the buckets hold few enough pairs to compare bits.
+3. What pairs of different groups are left in the buckets, pass the estimate and differ
+   in few enough bits of their parity sketches are confirmed. A bit tells whether an odd
+   number of a set's shingles falls on it, so two sets differ in as many shingles at least
+   as their sketches in bits: of pairs near below the threshold hardly one is listed,
+   and no link is lost.
 
 Pairs inside one group need no check, so the components of all links found are
 those of all banded links. 25 bands of 5 minima miss a link at similarity 0.85 with
@@ -50,6 +54,10 @@ LANES = PERMUTATIONS * BITS // 64
 LOW_OF_PAIR = 0x5555555555555555
 #: Turns at most, and pairs a node below which no more are taken; results do not depend on them.
 TURNS, MORE_TURNS, PAIRS_PER_NODE = 3, 4, 20
+#: A turn that links a smaller share of the nodes is the last; pairs a node up to which bits are compared at once. As above.
+LEAST_GAIN, COMPARED = 0.05, 2000
+#: Lanes of 64 bits in a parity sketch.
+SKETCH = 32
 #: Labels of so few nodes are broadcast instead of shuffled in every join; results do not depend on it.
 FEW = 50_000
 #: Standard errors below the threshold at which an estimate still counts: a link falls below it three times in a million.
@@ -123,6 +131,12 @@ def packed(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low << shifts, axis=1).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set: for each bit whether an odd number of its shingles falls on it."""
+    counts = np.bincount((shingles & np.uint64(64 * SKETCH - 1)).view(np.int64), minlength=64 * SKETCH)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def marked(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
 
@@ -346,12 +360,36 @@ def supported(labelled: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return still
 
 
-def across(still: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs (a, b) of different groups that share a bucket of supported rows and may be linked, once each, stored."""
-    still = materialize(still.join(nodes.select("node", "bands"), "node"), "open")
+def sketches(wanted: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """node and its parity sketch in the columns of ``lanes``, of the wanted nodes."""
+    schema = pa.schema([("node", pa.binary()), *[(c, pa.int64()) for c in lanes()]])
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in row_slices(batches):
+            found = [parities(shingle_set(text, rule.shingle, hashes)) for text in batch.column(1).to_pylist()]
+            if found:
+                columns = np.ascontiguousarray(np.stack(found).T)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], schema=schema)
+
+    rows = wanted.select("node").distinct().join(texts, "node").select("node", "text")
+    return rows.mapInArrow(sketch, ", ".join(["node binary", *[f"{c} long" for c in lanes()]]))
+
+
+def lanes(end: str = "") -> list[str]:
+    return [f"lane{i}{end}" for i in range(SKETCH)]
+
+
+def across(still: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs (a, b) of different groups that share a bucket of the rows and may be linked, once each, stored."""
+    still = materialize(still.join(nodes.select("node", "bands"), "node").join(sketches(still, texts, rule), "node"), "open")
     side = lambda end: still.select(
-        F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("bucket", "group", "bands", "signature", "n", "s")]
+        F.col("node").alias(end),
+        *[F.col(c).alias(f"{c}_{end}") for c in ("bucket", "group", "bands", "signature", "n", "s", *lanes())],
     )
+    differing = reduce(Column.__add__, [
+        F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(lanes("_a"), lanes("_b"), strict=True)
+    ])
     # A pair that shares several buckets counts in the first of them.
     first = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True)
     met = side("a").join(
@@ -359,25 +397,28 @@ def across(still: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
         (F.col("bucket_a") == F.col("bucket_b")) & (F.col("group_a") < F.col("group_b"))
         & (F.least("s_a", "s_b") * (100 + rule.percent) >= rule.percent * (F.col("n_a") + F.col("n_b")))
         & (estimate(F.col("signature_a"), F.col("signature_b")) >= least_estimate(rule))
+        & (differing * (100 + rule.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - rule.percent))
         & (F.element_at("bands_a", first.cast("int")) == F.col("bucket_a")),
     )
     return materialize(met.select("a", "b"), "across")
 
 
 def take_turns(
-    rows: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule, turns: range, bound: int
+    rows: DataFrame, labels: DataFrame, texts: DataFrame, rule: Rule, turns: range, n: int
 ) -> tuple[DataFrame, list[DataFrame]]:
-    """Labels after some turns over the rows (bucket, node, …), and the links found."""
-    links = []
+    """Labels of n nodes after some turns over the rows (bucket, node, …), and the links found."""
+    links, bound = [], PAIRS_PER_NODE * n
     for turn in turns:
         with Passing(rows.sparkSession) as block:
             labelled = materialize(rows.join(near(labels, bound <= PAIRS_PER_NODE * FEW), "node"), "labelled")
             if pairs_across(labelled) <= bound:
                 break
             links.append(block.keep(confirm(pivot_pairs(labelled, rule, turn), texts, rule), "links"))
-        if links[-1].isEmpty():
+        found = links[-1].count()
+        if found:
+            labels = hook(labels, links[-1], turn)
+        if found < max(1, LEAST_GAIN * n):
             break
-        labels = hook(labels, links[-1], turn)
     return labels, links
 
 
@@ -401,16 +442,22 @@ def classes(documents: DataFrame, rule: Rule) -> DataFrame:
     every = nodes.select("node", "signature", "n", F.explode("bands").alias("bucket"))
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket")
     rows = materialize(every.join(shared, "bucket"), "buckets")
-    labels = materialize(sized(rows.select("node").distinct().withColumn("group", F.col("node"))), "labels")
+    alone = rows.select("node").distinct().select("node", F.col("node").alias("group"), F.lit(1).cast("long").alias("size"))
+    labels = materialize(alone, "labels")
     texts = texts_of(labels.select("node"), signed, documents)
-    bound = PAIRS_PER_NODE * labels.count()
-    labels, links = take_turns(rows, labels, texts, rule, range(TURNS), bound)
-    still = supported(rows.join(labels, "node"), texts, rule)
-    names = ["bucket", "node", "signature", "n"]
-    labels, more = take_turns(still.select(names), labels, texts, rule, range(TURNS, TURNS + MORE_TURNS), bound)
-    if more:
-        still = supported(still.select(names).join(labels, "node"), texts, rule)
-    links += [*more, materialize(confirm(across(still, nodes, rule), texts, rule), "links")]
+    n = labels.count()
+    labels, links = take_turns(rows, labels, texts, rule, range(TURNS), n)
+    labelled = rows.join(labels, "node")
+    if pairs_across(labelled) <= COMPARED * n:
+        still = mixed(labelled).drop("least").withColumn("s", F.col("n"))
+    else:
+        still = supported(labelled, texts, rule)
+        names = ["bucket", "node", "signature", "n"]
+        labels, more = take_turns(still.select(names), labels, texts, rule, range(TURNS, TURNS + MORE_TURNS), n)
+        if more:
+            still = supported(still.select(names).join(labels, "node"), texts, rule)
+        links += more
+    links.append(materialize(confirm(across(still, nodes, texts, rule), texts, rule), "links"))
     labels = closed(labels, reduce(DataFrame.union, links))
 
     named = nodes.select("node", "id").join(labels, "node", "left").select(

@@ -305,3 +305,43 @@ def test_few_labels_are_broadcast_with_the_same_groups(spark, monkeypatch):
     few = read()
     monkeypatch.setattr(minhash, "FEW", -1)
     assert read() == few
+
+
+def test_pairs_near_below_the_threshold_are_not_listed(documents, spark, make_sentence, monkeypatch):
+    """Near copies, similar by about 0.8 and hardly linked, share buckets: their pairs grow with the square of the group."""
+    rng = random.Random(41)
+    base = make_sentence(rng, 220).split()
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(len(words)), 8 if i % 30 else 3):
+            words[at] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    listed, stored = [], minhash.materialize
+
+    def noted(df, tag):
+        found = stored(df, tag)
+        if tag == "across":
+            listed.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash, "materialize", noted)
+    sets = [word_set(t, 3) for _, t in rows]
+    linked = sum(100 * len(a & b) >= 85 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    for compared in (minhash.COMPARED, 0):  # with and without the step by support
+        monkeypatch.setattr(minhash, "COMPARED", compared)
+        got = minhash.near_duplicates(documents(rows), minhash.Rule(3, 85)).collect()
+        assert key((r.doc_id, r.n_shingles, r.component_id) for r in got) == key(brute_components(rows, 3, 85))
+    assert len(listed) == 2 and max(listed) <= linked + 200
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for size in (1, 50, 600, 9000):
+        one = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for change in (0, 1, size // 9, size):
+            two = np.concatenate([one[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)])
+            bits = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in minhash.parities(one) ^ minhash.parities(two))
+            assert bits <= len(np.setxor1d(one, two)) and (bits > 0) == (change > 0)
