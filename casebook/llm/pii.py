@@ -13,8 +13,11 @@ stands in up to three patterns: the two units before it, the two after it, one o
 3. New identifiers are looked up in all texts and bring patterns of their own. This repeats until none is added.
 
 A look-up is a scan by Arrow batches that compares hashes of units with a bit filter of fixed size, aggregates
-what passes within the batch, and is joined with the exact set afterwards: the filter only thins out what is
-shuffled. Spark keeps the graph as tables of distinct pairs. Identifiers and patterns are 64-bit hashes.
+what passes within the task, and is joined with the exact set afterwards: the filter only thins out what is
+shuffled. A look-up knows how many distinct identifiers a pattern may have and still be good, and how often an
+identifier may occur and still have its share in slots. What goes beyond in one task alone is given as one row: a
+common pattern or word costs a row a task, however often it stands. A pattern that was given up is looked up again
+once its known identifiers would allow more than then. Spark keeps the graph as tables of distinct pairs. Identifiers and patterns are 64-bit hashes.
 
 Long runs cannot make matching quadratic: emails are grown from their "@", addresses begin where a run of digits begins.
 
@@ -53,6 +56,11 @@ NOT_DIGITS = re.compile(r"[^0-9]+")
 EDGES = ".,;:!?\"'()[]{}<>"
 #: Bits of the filter of a look-up, 1 MB in all. Beyond some two million entries it lets more through; results stay the same.
 FILTER_BITS = 23
+#: Entries of a look-up's table of limits, 1 MB in all (those that meet have the larger limit); rows a task gathers at most.
+LIMITS = 1 << 18
+GATHER = 1 << 18
+#: Forms of the rows that count an identifier everywhere, and that give up a pattern.
+ALL, OVER = -1, -2
 MIXERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 #: Characters of a text that are hashed at once, up to the next blank.
 PIECE = 1 << 18
@@ -303,6 +311,40 @@ def bits_of(hashes: DataFrame, name: str) -> bytes:
     return filled.tobytes()
 
 
+def limits_of(hashes: DataFrame, name: str) -> bytes:
+    """The table of limits of a column of hashes, from their column ``most``; ``LIMITS`` rows at most come to the driver."""
+    place = F.shiftrightunsigned(name, 20).bitwiseAND(LIMITS - 1)
+    filled = np.zeros(LIMITS, np.int32)
+    for row in hashes.groupBy(place.alias("place")).agg(F.max("most").alias("most")).toLocalIterator():
+        filled[row.place] = min(row.most, (1 << 31) - 1)
+    return filled.tobytes()
+
+
+def limit_of(names: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    return limits.take((names.view(np.uint64) >> np.uint64(20) & np.uint64(LIMITS - 1)).view(np.int64))
+
+
+def thinned(rows: np.ndarray, limits: np.ndarray, by_pattern: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Summed rows (pattern, form, entity, n) without what goes beyond its limit, and the names of that.
+
+    Of a pattern with more rows one row is left, of an entity that occurs more often the row that counts it.
+    """
+    rows = rows[np.lexsort(rows[:, :3].T)]
+    first = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
+    n = np.add.reduceat(rows[:, 3], first)
+    rows = rows[first]
+    rows[:, 3] = n
+    names, of = np.unique(rows[:, 0 if by_pattern else 2], return_inverse=True)
+    counted = np.ones(len(n)) if by_pattern else np.where(rows[:, 1] == ALL, n, 0)
+    over = np.bincount(of, counted) > limit_of(names, limits)
+    rows = rows[~over[of] | (rows[:, 1] < 0)]
+    if by_pattern and over.any():
+        marks = np.zeros((int(over.sum()), 4), np.int64)
+        marks[:, 0], marks[:, 1] = names[over], OVER
+        rows = np.concatenate([rows, marks])
+    return rows, names[over]
+
+
 def passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Places of the hashes that pass the filter; the second bit is looked at where the first is set."""
     mask, six, one = np.uint64((1 << FILTER_BITS) - 1), np.uint64(6), np.uint64(1)
@@ -346,37 +388,50 @@ def scan(documents: DataFrame) -> DataFrame:
     ), "spans")
 
 
-def look_up(documents: DataFrame, bits: bytes, by_pattern: bool) -> DataFrame:
+def look_up(documents: DataFrame, bits: bytes, limits: bytes, by_pattern: bool) -> DataFrame:
     """pattern, form, entity, n: how often a unit stands in a pattern, for patterns (or entities) that pass the filter.
 
-    Summed within slices of rows only. By entity, an occurrence also counts as form -1, pattern 0.
+    Summed within tasks only. By entity, an occurrence also counts as form ALL, pattern 0. What goes beyond its limit in
+    a task is not whole: such a pattern has a row of form OVER, such an entity counts more than its limit.
     """
     names = ["pattern", "form", "entity", "n"]
 
+    def rows_of(text: str | None, table: np.ndarray) -> Iterator[np.ndarray]:
+        h = units_of(text, base_spans(text))[2] if text else np.empty(0, np.uint64)
+        met = None if by_pattern else passes(h, table)
+        if met is not None and len(met):
+            here = h[met].view(np.int64)
+            yield np.stack([np.zeros_like(here), np.full(len(here), ALL), here, np.ones_like(here)], axis=1)
+        if by_pattern or len(met):
+            around = patterns_of(h)
+            for form in range(3):
+                at = passes(around[form], table) if by_pattern else met
+                at = at[around[form, at] != 0]
+                if len(at):
+                    here = h[at].view(np.int64)
+                    yield np.stack([around[form, at].view(np.int64), np.full(len(at), form), here, np.ones_like(here)], axis=1)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(bits, np.uint64)
+        table, most = np.frombuffer(bits, np.uint64), np.frombuffer(limits, np.int32)
+        given = lambda rows: pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(4)], names=names
+        )
+        waiting, size, gone = [], 0, np.empty(0, np.int64)
         for batch in row_slices(batches):
-            parts = []
-            for text in batch.column(2).to_pylist():
-                h = units_of(text, base_spans(text))[2] if text else np.empty(0, np.uint64)
-                met = None if by_pattern else passes(h, table)
-                if met is not None and len(met):
-                    here = h[met].view(np.int64)
-                    parts.append(np.stack([np.zeros_like(here), np.full(len(here), -1), here], axis=1))
-                if by_pattern or len(met):
-                    around = patterns_of(h)
-                    for form in range(3):
-                        at = passes(around[form], table) if by_pattern else met
-                        at = at[around[form, at] != 0]
-                        if len(at):
-                            parts.append(np.stack([around[form, at].view(np.int64), np.full(len(at), form), h[at].view(np.int64)], axis=1))
+            parts = [x for text in batch.column(2).to_pylist() for x in rows_of(text, table)]
             if parts:
                 rows = np.concatenate(parts)
-                rows = rows[np.lexsort(rows.T)]
-                first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
-                n = np.diff(np.r_[first, len(rows)]).astype(np.int64)
-                columns = [np.ascontiguousarray(rows[first, i]) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(n)], names=names)
+                name = np.ascontiguousarray(rows[:, 0 if by_pattern else 2])
+                waiting.append(rows[(limit_of(name, most) > 0) & ~np.isin(name, gone)])
+                size += len(waiting[-1])
+            if size > GATHER:
+                rows, more = thinned(np.concatenate(waiting), most, by_pattern)
+                waiting, size, gone = [rows], len(rows), np.union1d(gone, more)
+                if size > GATHER // 2:
+                    yield given(rows)
+                    waiting, size = [], 0
+        if size:
+            yield given(thinned(np.concatenate(waiting), most, by_pattern)[0])
 
     return read_rows(documents).mapInArrow(read, "pattern long, form long, entity long, n long")
 
@@ -409,12 +464,21 @@ def bootstrap(documents: DataFrame, seeds: DataFrame, rule: Rule = Rule()) -> Da
     around = materialize(seeds.select("entity", "kind", F.explode("patterns").alias("pattern")).distinct(), "around")
     looked = slots = None
     while True:
-        able = around.groupBy("pattern", "kind").agg(count.alias("n")).where(F.col("n") >= rule.support).select("pattern").distinct()
-        able = materialize(able if looked is None else able.join(looked, "pattern", "left_anti"), "patterns")
+        able = around.groupBy("pattern", "kind").agg(count.alias("n")).where(F.col("n") >= rule.support)
+        # A good pattern has fewer distinct identifiers than ``needs``; twice that are read, so that few are looked up again.
+        able = able.groupBy("pattern").agg((F.floor(F.max("n") / rule.precision) + 1).alias("needs"))
+        if looked is not None:
+            able = able.join(looked.groupBy("pattern").agg(F.max("read").alias("read")), "pattern", "left")
+            able = able.where(F.col("read").isNull() | (F.col("read") < F.col("needs")))
+        able = materialize(able.select("pattern", (2 * F.col("needs")).alias("most")), "patterns")
         if not able.isEmpty():
-            found = look_up(documents, bits_of(able, "pattern"), True).join(able, "pattern")
+            found = look_up(documents, bits_of(able, "pattern"), limits_of(able, "pattern"), True).join(able.select("pattern"), "pattern")
             found = materialize(found.groupBy("pattern", "form", "entity").agg(F.sum("n").alias("n")), "slots")
-            slots, looked = (found, able) if slots is None else (slots.union(found), looked.union(able))
+            over = found.where(F.col("form") == OVER).select("pattern", F.lit(True).alias("over"))
+            read = F.when(F.col("over"), F.col("most")).otherwise(F.lit((1 << 63) - 1))
+            now = materialize(able.join(over, "pattern", "left").select("pattern", read.alias("read")), "looked")
+            found = found.join(over.select("pattern"), "pattern", "left_anti")
+            slots, looked = (found, now) if slots is None else (slots.union(found), looked.union(now))
         if slots is None:
             break
         held = around.groupBy("pattern", "kind").agg(count.alias("held"))
@@ -433,12 +497,15 @@ def bootstrap(documents: DataFrame, seeds: DataFrame, rule: Rule = Rule()) -> Da
             best = materialize(best.select("entity", "best.kind", "best.inside"), "candidates")
             if best.isEmpty():
                 break
+            # From more occurrences on, those in slots are below the share.
+            most = (F.floor(F.col("inside") / rule.share) + 1) if rule.share else F.lit((1 << 31) - 1)
             everywhere = materialize(
-                look_up(documents, bits_of(best, "entity"), False).join(best.select("entity"), "entity")
+                look_up(documents, bits_of(best, "entity"), limits_of(best.select("entity", most.alias("most")), "entity"), False)
+                .join(best.select("entity"), "entity")
                 .groupBy("pattern", "form", "entity").agg(F.sum("n").alias("n")),
                 "everywhere",
             )
-            totals = everywhere.where(F.col("form") == -1).select("entity", F.col("n").alias("all"))
+            totals = everywhere.where(F.col("form") == ALL).select("entity", F.col("n").alias("all"))
             added = best.join(totals, "entity").where(F.col("inside") >= rule.share * F.col("all")).select("entity", "kind")
             added = block.keep(added.withColumn("seed", F.lit(False)), "added")
             if added.isEmpty():

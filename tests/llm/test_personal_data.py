@@ -169,3 +169,42 @@ def test_places_and_hashes_do_not_depend_on_pieces(monkeypatch):
             assert i in kinds or text[a] not in pii.EDGES and text[b - 1] not in pii.EDGES
     assert len(set(hashes.values())) == len(hashes)
     assert [u[3] for u in pii.units("1" * 100_000 + "x 7", [])] == ["1" * 100_000 + "x", "7"]
+
+
+def test_common_patterns_and_words_cost_a_row_a_task(documents, make_sentence, monkeypatch):
+    """Slots of a pattern that cannot be good, and places of a word that cannot be an identifier, are not all given."""
+    import numpy as np
+
+    texts = [f"write to me at {'friend%d' % i if i > 9 else 'user%d@mail.org' % i} before noon" for i in range(400)]
+    texts += [f"{make_sentence(random.Random(i), 3)} home {make_sentence(random.Random(-i), 3)}" for i in range(300)]
+    docs = documents(list(enumerate(texts))).coalesce(1)
+    spark = docs.sparkSession
+    text = "write to me at user1@mail.org before noon"
+    h = pii.units_of(text, pii.base_spans(text))[2]
+    around = [(int(x), 40) for x in pii.patterns_of(h)[:, 4].view(np.int64)]
+    able = spark.createDataFrame(around, "pattern long, most long")
+    for gather in (pii.GATHER, 100):
+        monkeypatch.setattr(pii, "GATHER", gather)
+        got = pii.look_up(docs, pii.bits_of(able, "pattern"), pii.limits_of(able, "pattern"), True).join(able, "pattern").collect()
+        assert {r.pattern for r in got if r.form == pii.OVER} == {p for p, _ in around} and len(got) <= 3 * 45
+        word = spark.createDataFrame([(int(pii.hash_of("home").view(np.int64)), 20)], "entity long, most long")
+        got = pii.look_up(docs, pii.bits_of(word, "entity"), pii.limits_of(word, "entity"), False).join(word, "entity").collect()
+        assert sum(r.n for r in got if r.form == pii.ALL) > 20 and len(got) <= 150
+
+
+def test_patterns_given_up_are_looked_up_again(documents, make_sentence, monkeypatch):
+    """By the time many more identifiers are known, a pattern that had too many strangers is good."""
+    rng = random.Random(43)
+    texts = talks(make_sentence)
+    # Three seeds in a place with thirty others, which become known by another place first.
+    texts += [f"ring the bell for user{i}@mail{i}.org at dawn {make_sentence(rng, 8)}" for i in range(3)]
+    texts += [f"ring the bell for stranger_{i} at dawn {make_sentence(rng, 8)}" for i in range(30)]
+    texts += [f"write to me at stranger_{i} before noon please" for i in range(26)]
+    texts += [f"now write to me at user{i}@mail{i}.org before noon please" for i in range(30, 90)]
+    want = plain_bootstrap(texts, pii.Rule())
+    assert {(texts[d][a:b], k) for d, k, a, b in want} >= {(f"stranger_{i}", "email") for i in range(30)}
+    docs = documents([(i, t) for i, t in enumerate(texts)])
+    for gather in (pii.GATHER, 60):
+        monkeypatch.setattr(pii, "GATHER", gather)
+        got = pii.find(docs, pii.Rule()).collect()
+        assert {(r.doc_id, s.kind, s.start, s.end) for r in got for s in r.found} == want
