@@ -306,8 +306,8 @@ def bits_of(hashes: DataFrame, name: str) -> bytes:
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
     )
     filled = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in rows.toLocalIterator():
-        filled[row.place] = row.bits
+    found = rows.toArrow()  # at once: an iterator would run a job for each partition
+    filled[found["place"].to_numpy()] = found["bits"].to_numpy()
     return filled.tobytes()
 
 
@@ -315,8 +315,8 @@ def limits_of(hashes: DataFrame, name: str) -> bytes:
     """The table of limits of a column of hashes, from their column ``most``; ``LIMITS`` rows at most come to the driver."""
     place = F.shiftrightunsigned(name, 20).bitwiseAND(LIMITS - 1)
     filled = np.zeros(LIMITS, np.int32)
-    for row in hashes.groupBy(place.alias("place")).agg(F.max("most").alias("most")).toLocalIterator():
-        filled[row.place] = min(row.most, (1 << 31) - 1)
+    found = hashes.groupBy(place.alias("place")).agg(F.max("most").alias("most")).toArrow()
+    filled[found["place"].to_numpy()] = np.minimum(found["most"].to_numpy(), (1 << 31) - 1)
     return filled.tobytes()
 
 
