@@ -187,6 +187,39 @@ def test_cuts_match_the_rolling_loop_and_every_string_holds_a_chunk(make_sentenc
                     assert low[mine].tolist() == (a + i).tolist()
 
 
+def test_texts_read_together_have_the_chunks_of_each_alone(make_sentence, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(9)
+    raws = [make_sentence(rng, rng.randint(1, 80)).encode() for _ in range(60)]
+    raws += [b"a", b"ab" * 300, b"x" * 99, b"x" * 100, b"x" * 101, "é".encode() * 200, raws[0] + raws[1]]
+    raws += [make_sentence(rng, 3000).encode(), b"z" * 64, raws[3] + b" " + raws[5]]
+    monkeypatch.setattr(chunks, "JOINT", 4000)
+    groups = list(chunks.joint([len(r) for r in raws]))
+    assert [i for a, b in groups for i in range(a, b)] == list(range(len(raws))) and 1 < len(groups) < len(raws) // 2
+    assert chunks.Texts([b"a", b"bc"]).bounds(chunks.Rule())[0].tolist() == []
+    for rule in (chunks.Rule(), chunks.Rule(run=64), chunks.Rule(run=151)):
+        seen = {}
+        for a, b in groups:
+            texts = chunks.Texts(raws[a:b])
+            bounds = texts.bounds(rule)
+            alone = [[x + start for x in chunks.chunk_bounds(raw, rule)] for raw, start in zip(raws[a:b], texts.starts, strict=True)]
+            for got, want in zip(bounds, zip(*alone, strict=True), strict=True):
+                assert got.tolist() == np.concatenate(want).tolist()
+            # A digest depends on a chunk's bytes alone, and differs from those of other bytes.
+            for x, y, digest in zip(bounds[0], bounds[1], chunks.digests_of(texts.raw, bounds[0], bounds[1]).tolist(), strict=True):
+                assert seen.setdefault(texts.raw[x:y], digest) == digest
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_texts_are_numbered_in_the_order_of_id_and_text(documents):
+    rows = [(i % 700 - 300, f"text {i}") for i in range(2000)] + [(None, "a"), (None, "b"), (5, "text 305"), (1 << 62, "c"), (7, ""), (8, None)]
+    names = chunks.text_names(documents(rows).repartition(9))
+    got = sorted((r.number, r.doc, r.mark) for r in chunks.text_numbers(names).collect())
+    assert [n for n, _, _ in got] == list(range(2003))
+    assert [r[1:] for r in got] == sorted({(r.doc, r.mark) for r in names.collect()})
+
+
 def brute_passages(rows, length=100):
     """(doc_id, low, high) of what strings of ``length`` bytes that stand elsewhere cover together where they overlap."""
     texts = {(doc_id, text) for doc_id, text, *_ in rows if text}
