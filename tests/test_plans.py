@@ -8,7 +8,7 @@ from casebook import schemas
 from casebook.operators import cleaning as C, quality as Q, warehouse as W
 from casebook.plans import catalog, queries_warehouse, star
 from casebook.plans.cleaning import clean, one_per_event, sample_cut
-from casebook.session import fresh_path, materialize
+from casebook.session import Folder, fresh_path, materialize
 from casebook.sources import files, tables
 
 SF = "/root/testdata/sf0.001"
@@ -178,6 +178,34 @@ def test_outcome_runs_read_stored_rows(spark, monkeypatch):
     assert len(given) == 3 and not any("Join" in plan(df) for df in given)
 
 
+def test_outcomes_are_written_without_a_shuffle(spark, monkeypatch):
+    rows = [(i, None if i % 10 == 0 else i % 7, "x" * (i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "eventid long, nkill int, city string")
+    drops = {"none_killed": F.col("nkill") == 0}
+    suspects = {f"below_{n}": F.col("nkill") < n for n in range(2, 7)} | {"no_city": F.col("city") == ""}
+    wanted = [(*r, "accepted", "none") for r in rows if r[1] != 0]
+    wanted += [(*r, "set_aside", "none_killed") for r in rows if r[1] == 0]
+    wanted += [(*r, "set_aside", f"below_{n}") for r in rows for n in range(2, 7) if r[1] is not None and r[1] < n]
+    wanted += [(*r, "set_aside", "no_city") for r in rows if r[2] == ""]
+    next_shuffle, open_files = spark.sparkContext._jsc.sc().newShuffleId, "spark.sql.maxConcurrentOutputFileWriters"
+    for most in (files.OPEN_FILES, 2):  # with two files open, a task sorts its further rows
+        monkeypatch.setattr(files, "OPEN_FILES", most)
+        path, before = fresh_path(spark, "outcomes"), next_shuffle()
+        for run in (1, 2, 2):
+            files.write_outcomes(df, path, run, drops, suspects)
+        assert next_shuffle() == before + 1 and spark.conf.get(open_files, None) is None
+        found = files.read_outcomes(spark, path).select("run", *df.columns, "outcome", "reason").collect()
+        assert sorted(map(repr, map(tuple, found))) == sorted(repr((run, *r)) for run in (1, 2) for r in wanted)
+
+
+def test_outcome_runs_leave_only_what_they_write(spark):
+    folder = Folder(spark, fresh_path(spark, "any").rpartition("/")[0])
+    before = {*folder.names()}
+    found = FUNCTIONS["tagged_outcomes"](spark, SF)
+    assert [n.rpartition("-")[0] for n in {*folder.names()} - before] == ["outcomes"]
+    assert {r.run for r in found.collect()} == {1, 2}
+
+
 def test_repeated_arrivals_are_one_pass(spark, monkeypatch):
     given = []
     monkeypatch.setattr(queries_warehouse, "clean", lambda raw, rules: (given.append(raw), clean(raw, rules))[1])
